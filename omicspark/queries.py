@@ -1,0 +1,7 @@
+"""Queries of the operators on the test tables: name -> callable(spark, sf_dir), with DuckDB SQL of the same rows."""
+
+from __future__ import annotations
+
+QUERIES: dict = {}
+ORACLE_SQL: dict[str, str] = {}
+FLAGSHIP = "qc_retention"
