@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from .backoff_lm import op8_backoff_lm
 from .quality import op4_quality
+from .repeats import op6_repeats
 from .sentencepieces import op10_sentencepiece
 from .simhash import op1_simhash
+from .toxicity import op2_toxicity
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_toxicity": op2_toxicity,
     "op4_quality": op4_quality,
+    "op6_repeats": op6_repeats,
+    "op8_backoff_lm": op8_backoff_lm,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
