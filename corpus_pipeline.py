@@ -1,13 +1,66 @@
-"""Five stages from documents to encoded documents; each takes (spark, docs, sf_dir) and returns a DataFrame."""
+"""Five stages from documents to encoded documents; each takes (spark, docs, sf_dir) and returns a DataFrame.
+
+All but the last return the columns of documents; each works on all that the one before kept, and is written as Parquet and
+read again between.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from omicspark.llm.common import shared_folder
+from omicspark.llm.decontaminate import find_benchmark
+from omicspark.llm.line_templates import drop_templates
+from omicspark.llm.sentencepieces import default_model, encode_pieces
+from omicspark.llm.simhash import keep_one
+from omicspark.llm.toxicity import fit, score_toxicity
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go; it learns from the labelled ones among docs."""
+    model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return score_toxicity(docs, model).filter("toxic_predicted = 0").select(docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines of recurring templates go, but for their first document's; all documents stay."""
+    return drop_templates(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked fingerprints stays: the one with the smallest doc_id."""
+    return keep_one(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    hits = find_benchmark(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_key")).distinct()
+    return docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).join(hits, "_key", "left_anti").select(docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with their piece ids and the text decoded from them."""
+    return encode_pieces(docs, default_model())
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("encode", encode),
+]
+
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on documents; what a stage returns is written to the shared folder and read again."""
+    docs, folder = spark.read.parquet(f"{sf_dir}/documents.parquet"), f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    for name, stage in STAGES[:-1]:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -28,7 +28,13 @@ def remainder(id_col: Column | str, n: int) -> Column:
 
 def cut(df: DataFrame) -> DataFrame:
     """Checkpoint to the folder that the cluster shares (spark.checkpoint.dir); a temporary one only where none is set, as in tests."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir; a temporary one only where none is set, as in tests."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()

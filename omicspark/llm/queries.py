@@ -3,18 +3,26 @@
 from __future__ import annotations
 
 from .backoff_lm import op8_backoff_lm
+from .decontaminate import op7_decontaminate
+from .line_templates import op5_line_templates
+from .packing import op9_packing
 from .quality import op4_quality
 from .repeats import op6_repeats
 from .sentencepieces import op10_sentencepiece
 from .simhash import op1_simhash
+from .token_counts import op3_token_counts
 from .toxicity import op2_toxicity
 
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
+    "op3_token_counts": op3_token_counts,
     "op4_quality": op4_quality,
+    "op5_line_templates": op5_line_templates,
     "op6_repeats": op6_repeats,
+    "op7_decontaminate": op7_decontaminate,
     "op8_backoff_lm": op8_backoff_lm,
+    "op9_packing": op9_packing,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
