@@ -11,6 +11,7 @@ Anchors with very many occurrences don't meet in one task: their strings are cou
 
 from __future__ import annotations
 
+import hashlib
 import hashlib
 from collections.abc import Iterator
 
@@ -212,13 +213,15 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, hot: int = HOT) -> Da
     return spans.unionByName(counted.join(twice, ["a", "b"]).select("t", "u", "start", (F.col("start") + length).alias("stop")))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, hot: int = HOT) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept binary) for every row of docs.
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, hot: int = HOT, digest: bool = False) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept binary) for every row of docs; digest: kept_sha256 instead of kept, so that
+    the bytes needn't move to the rows.
 
     Removed is each byte within a string of `length` bytes that also starts anywhere else, judged on the input. Texts are
     matched once however often they occur; one that occurs twice goes whole if it has `length` bytes. Null reads as empty;
     shorter texts stay; repeated rows count as copies; other columns are ignored; an empty table gives an empty one.
     """
+    kept_name = "kept_sha256" if digest else "kept"
     own = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("data"))
     own = own.select("doc_id", "data", F.xxhash64("data").alias("t"), F.xxhash64(F.lit(1), "data").alias("u"))
     texts = own.groupBy("t", "u").agg(F.first("data").alias("data"), F.count(F.lit(1)).alias("copies"))
@@ -230,7 +233,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             for data, copies, found in zip(batch.column(2), batch.column(3), batch.column(4), strict=True):
                 raw, kept, n, end = data.as_py(), [], 0, 0
                 if copies.as_py() > 1 and len(raw) >= length:
-                    out.append((1, b""))
+                    out.append((1, len(raw), b""))
                     continue
                 for start, stop in sorted((x["start"], x["stop"]) for x in found.as_py() or ()):
                     if start > end or not n:
@@ -238,13 +241,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                         n += 1
                     end = max(end, stop)
                 kept.append(raw[end:])
-                out.append((n, b"".join(kept)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], names=["t", "u", "n_spans", "kept"])
+                rest = b"".join(kept)
+                out.append((n, len(raw) - len(rest), rest))
+            rests = pa.array([hashlib.sha256(x[2]).hexdigest() for x in out], pa.string()) if digest else pa.array([x[2] for x in out], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), rests], names=["t", "u", "n_spans", "n_removed", kept_name])
 
-    done = texts.join(spans, ["t", "u"], "left").select("t", "u", "data", "copies", "spans").mapInArrow(cut, "t bigint, u bigint, n_spans bigint, kept binary")
+    done = texts.join(spans, ["t", "u"], "left").select("t", "u", "data", "copies", "spans").mapInArrow(cut, f"t bigint, u bigint, n_spans bigint, n_removed bigint, {kept_name} {'string' if digest else 'binary'}")
     rows = own.select("doc_id", "t", "u", F.octet_length("data").cast("bigint").alias("n_bytes"))
-    return rows.join(done, ["t", "u"]).select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), "n_spans", "kept")
+    return rows.join(done, ["t", "u"]).select("doc_id", "n_bytes", "n_removed", "n_spans", kept_name)
 
 
 def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(documents(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return remove_repeats(documents(spark, sf_dir), digest=True)
