@@ -50,6 +50,22 @@ def _bigrams(tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndar
     return h ^ (h >> np.uint64(32)), before
 
 
+def _packed(counts: np.ndarray, cuts: np.ndarray) -> dict[str, pa.Array]:
+    """Counts of each run between cuts as one byte each (255: the next of `large`), for nearly all are small."""
+    big, data = counts >= 255, pa.py_buffer(np.minimum(counts, 255).astype(np.uint8).tobytes())
+    edges = np.concatenate([[0], np.cumsum(big)])[cuts]
+    small = pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int32).tobytes()), data])
+    return {"small": small, "large": pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(counts[big].astype(np.int64)))}
+
+
+def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of all rows one after the other, and how many each row has."""
+    rows = table.column("small").to_pylist()
+    counts = np.frombuffer(b"".join(rows), np.uint8).astype(np.int64)
+    counts[counts == 255] = table.column("large").combine_chunks().flatten().to_numpy()
+    return counts, np.array([len(x) for x in rows], np.int64)
+
+
 class _Grams:
     """The n-grams of a chunk: sorted by bucket and hash, so that both passes over a chunk list them alike."""
 
@@ -112,23 +128,21 @@ def score_documents(docs: DataFrame, learn, id_col: str = "doc_id", text_col: st
         grams = _Grams(table.column("text").to_pylist(), chunks)
         counts, chunk = grams.learned(table.column("learn").to_numpy().astype(np.int64)), table.column("chunk")[0].as_py()
         full = np.flatnonzero(np.diff(grams.cuts))
-        cuts = pa.array(np.append(grams.cuts[full], grams.cuts[-1]), pa.int32())
-        keys, counts = pa.array(grams.keys[grams.order].view(np.int64)), pa.array(counts[grams.order])
-        return pa.table({"bucket": full, "chunk": np.full(len(full), chunk), "keys": pa.ListArray.from_arrays(cuts, keys), "counts": pa.ListArray.from_arrays(cuts, counts)})
+        cuts = np.append(grams.cuts[full], grams.cuts[-1])
+        keys = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(grams.keys[grams.order].view(np.int64)))
+        return pa.table({"bucket": full, "chunk": np.full(len(full), chunk), "keys": keys} | _packed(counts[grams.order], cuts))
 
     def total(table: pa.Table) -> pa.Table:
-        lists = table.column("keys").combine_chunks()
-        keys = lists.flatten().to_numpy()
-        _, which = np.unique(keys, return_inverse=True)
-        sums = np.bincount(which, table.column("counts").combine_chunks().flatten().to_numpy()).astype(np.int64)[which]
-        cuts = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
-        return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "totals": pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(sums))})
+        _, which = np.unique(table.column("keys").combine_chunks().flatten().to_numpy(), return_inverse=True)
+        counts, sizes = _unpacked(table)
+        sums = np.bincount(which, counts).astype(np.int64)[which]
+        return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket")} | _packed(sums, np.concatenate([[0], np.cumsum(sizes)])))
 
     def score(table: pa.Table, answers: pa.Table) -> pa.Table:
         grams = _Grams(table.column("text").to_pylist(), chunks)
         answers = answers.sort_by("bucket")
         totals = np.empty(len(grams.keys), np.int64)
-        totals[grams.order] = answers.column("totals").combine_chunks().flatten().to_numpy()
+        totals[grams.order] = _unpacked(answers)[0]
         k = len(grams.tokens)
         word, pair = totals[grams.which[:k]], totals[grams.which[k:]]
         at = np.searchsorted(grams.keys, grams.before)
@@ -138,8 +152,8 @@ def score_documents(docs: DataFrame, learn, id_col: str = "doc_id", text_col: st
         add = lambda x: np.add.reduceat(x, first)
         return pa.table({"doc_id": table.column("doc_id"), "held_out": pa.array(~table.column("learn").to_numpy().astype(bool)), "n_tokens": grams.sizes, "n_known": add((word > 0).astype(np.int64)), "train_tokens": np.full(len(first), n), "base_score": add(machine.root), "score": add(machine.traverse())})
 
-    asked = dealt.groupBy("chunk").applyInArrow(ask, "bucket bigint, chunk bigint, keys array<bigint>, counts array<bigint>")
-    answers = asked.groupBy("bucket").applyInArrow(total, "chunk bigint, bucket bigint, totals array<bigint>")
+    asked = dealt.groupBy("chunk").applyInArrow(ask, "bucket bigint, chunk bigint, keys array<bigint>, small binary, large array<bigint>")
+    answers = asked.groupBy("bucket").applyInArrow(total, "chunk bigint, bucket bigint, small binary, large array<bigint>")
     schema = f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, schema)
 
