@@ -7,14 +7,15 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def two_sided_normal(z: pd.Series) -> pd.Series:
     return z.map(lambda x: math.erfc(abs(x) / math.sqrt(2)), na_action="ignore")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def upper_normal(z: pd.Series) -> pd.Series:
     return z.map(lambda x: 0.5 * math.erfc(x / math.sqrt(2)), na_action="ignore")
 

@@ -1,6 +1,6 @@
 """Queries of the operators on the test tables: name -> callable(spark, sf_dir), with DuckDB SQL of the same rows."""
 
-from . import interval_queries, matrix_queries, qc_queries, table_queries  # noqa: F401
+from . import graph_queries, interval_queries, matrix_queries, qc_queries, table_queries  # noqa: F401
 from .base import ORACLE_SQL, QUERIES
 
 FLAGSHIP = "qc_retention"
