@@ -89,6 +89,7 @@ def communities(edges: DataFrame, rounds: int = 10, resolution: float = 1.0) ->
     degree = cut(edges.groupBy(F.col("src").alias("node")).agg(F.sum("weight").alias("d")))
     total = degree.agg(F.sum("d")).first()[0] or 1.0
     now = cut(degree.select("node", F.col("node").alias("community")))
+    still = 0
     for turn in range(rounds):
         size = now.join(degree, "node").groupBy("community").agg(F.sum("d").alias("k"))
         links = edges.join(now.select(F.col("node").alias("dst"), "community"), "dst").groupBy(F.col("src").alias("node"), "community").agg(F.sum("weight").alias("w"))
@@ -99,7 +100,8 @@ def communities(edges: DataFrame, rounds: int = 10, resolution: float = 1.0) ->
         new = cut(now.join(best, "node", "left").select("node", F.when(moves, -F.col("b.c")).otherwise(F.col("community")).alias("community"), F.coalesce(moves, F.lit(False)).alias("moved")))
         changed = new.agg(F.count_if("moved")).first()[0]
         now = new.drop("moved")
-        if not changed and turn:
+        still = 0 if changed else still + 1
+        if still == 4:  # every node has had its turn, nearly surely
             break
     return now
 
