@@ -5,6 +5,7 @@ from __future__ import annotations
 from .backoff_lm import op8_backoff_lm
 from .decontaminate import op7_decontaminate
 from .line_templates import op5_line_templates
+from .oracles import line_templates_sql, quality_sql
 from .packing import op9_packing
 from .quality import op4_quality
 from .repeats import op6_repeats
@@ -26,4 +27,4 @@ QUERIES = {
     "op10_sentencepiece": op10_sentencepiece,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op4_quality": quality_sql(), "op5_line_templates": line_templates_sql()}

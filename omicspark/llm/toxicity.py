@@ -138,11 +138,11 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = THR
     Null and empty texts get the score of no words. Rows are scored one by one, and an empty table stays empty.
     """
 
-    @F.pandas_udf("double")
-    def score(texts):  # noqa: ANN001, ANN202
-        return texts.map(model.score)
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array([model.score(x.as_py()) for x in texts], pa.float64())
 
-    return docs.withColumn("toxicity", score(F.coalesce(F.col("text"), F.lit("")))).withColumn("toxic_predicted", (F.col("toxicity") >= threshold).cast("int"))
+    return docs.withColumn("toxicity", score("text")).withColumn("toxic_predicted", (F.col("toxicity") >= threshold).cast("int"))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
