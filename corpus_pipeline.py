@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from omicspark.llm.common import shared_folder
 from omicspark.llm.decontaminate import find_benchmark
 from omicspark.llm.line_templates import drop_templates
+from omicspark.llm.near_copies import keep_one
 from omicspark.llm.sentencepieces import default_model, encode_pieces
-from omicspark.llm.simhash import keep_one
 from omicspark.llm.toxicity import fit, score_toxicity
 
 
@@ -31,7 +31,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked fingerprints stays: the one with the smallest doc_id."""
+    """One document of each group of texts linked by five-word shingles (Jaccard 0.8 or more) stays: the one with the smallest doc_id."""
     return keep_one(docs)
 
 

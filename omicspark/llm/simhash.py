@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, documents, keyed_texts
 from .components import components
+from .near_copies import keep_one  # noqa: F401
 
 RADIUS = 3
 SEED = 42
@@ -192,13 +193,5 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return own.join(by_fp, "fp").select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """Documents with the smallest doc_id of their component; of repeated rows of that id one stays, chosen by content."""
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_key")
-    kept = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key).distinct()
-    rows = docs.select(key, F.struct(*docs.columns).alias("_row")).join(kept, "_key", "left_semi")
-    return rows.groupBy("_key").agg(F.min("_row").alias("_row")).select("_row.*")
-
-
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")

@@ -18,6 +18,7 @@ from omicspark.llm import (
     components,
     decontaminate,
     line_templates,
+    near_copies,
     packing,
     quality,
     repeats,
@@ -129,6 +130,61 @@ def test_keep_one(docs, none):
     assert simhash.keep_one(none).collect() == []
 
 
+def five_word_jaccard(a, b):
+    a, b = ({tuple(x[i : i + 5]) for i in range(len(x) - 4)} for x in (a.split(), b.split()))
+    return len(a & b) / len(a | b)
+
+
+def test_keep_one_drops_planted_near_copies(spark):
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(4000)]
+    texts, copies = [], 0
+    for k in range(120):
+        base = [rng.choice(words) for _ in range(200)]
+        texts.append((1000 * k, " ".join(base)))
+        while True:  # a copy at 0.8 to 0.95
+            near = list(base)
+            for at in rng.sample(range(200), rng.randrange(1, 6)):
+                near[at] = "changed" + str(rng.randrange(10**6))
+            if 0.8 <= five_word_jaccard(texts[-1][1], " ".join(near)) <= 0.95:
+                break
+        texts.append((1000 * k + 1, " ".join(near)))
+        copies += 1
+        far = list(base)
+        for at in range(0, 200, 12):  # unlike: under 0.8
+            far[at] = f"far{k}x{at}"
+        texts.append((1000 * k + 2, " ".join(far)))
+    got = {r.doc_id for r in near_copies.keep_one(spark.createDataFrame(texts, "doc_id long, text string").repartition(3)).collect()}
+    assert {i for i, _ in texts if i % 1000 != 1} <= got
+    assert sum(i % 1000 == 1 for i in got) <= 0.02 * copies
+
+
+def test_near_copies_in_large_buckets(spark):
+    rng = random.Random(13)
+    base = [f"b{i}" for i in range(300)]
+    texts = []
+    for k in range(150):  # a large group, with members that are further from its least than 0.8
+        near = list(base)
+        for at in rng.sample(range(300), 5 if k % 3 else 9):
+            near[at] = f"x{k}y{at}"
+        texts.append(" ".join(near))
+    for k in range(80):  # a common passage in texts that are unlike otherwise
+        texts.append(" ".join(base[:150] + [f"p{k}q{i}" for i in range(90)]))
+    sets = [near_copies.shingles(x) for x in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if five_word_jaccard(texts[i], texts[j]) >= 0.8:
+                root = [root[i] if r == root[j] else r for r in root]
+    own = near_copies.across(list(range(len(sets))), sets)
+    found = list(range(len(texts)))
+    for i, j in own:
+        found = [found[i] if r == found[j] else r for r in found]
+    assert len(set(zip(root, found, strict=True))) == len(set(root)) == len(set(found))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert near_copies.keep_one(df).count() == len(set(root))
+
+
 def test_quality(docs, rows, none):
     q = {r.doc_id: r.quality for r in quality.score_quality(docs).collect()}
     for doc_id, text, *_ in rows:
