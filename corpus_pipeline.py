@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from omicspark.llm.common import shared_folder
 from omicspark.llm.decontaminate import find_benchmark
 from omicspark.llm.line_templates import drop_templates
-from omicspark.llm.near_copies import keep_one
+from omicspark.llm.near_copies import keep_one, linked, sketched
 from omicspark.llm.sentencepieces import default_model, encode_pieces
 from omicspark.llm.toxicity import fit, score_toxicity
 
@@ -26,8 +26,12 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines of recurring templates go, but for their first document's; all documents stay."""
-    return drop_templates(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    """Lines of recurring templates go, and whole long and short lines that recur, but for their first document's; all documents stay.
+
+    Long lines shared by near copies alone stay for the next stage, which drops the copies.
+    """
+    own = sketched(docs)
+    return drop_templates(own.drop("_keys"), node_col="_node", roots=linked(own)).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,6 +23,10 @@ DEPTH, SHARE = 8, 0.6
 MIN_TOKENS = 4
 #: Documents that a template occurs in, from which it is dropped.
 MIN_DOCS = 10
+#: With groups of near copies given: lines of so many tokens recur, as whole lines, from two documents on that are no near copies.
+LONG_TOKENS = 50
+#: With groups given: documents that a line under MIN_TOKENS occurs in, as a whole line, from which it is dropped.
+SHORT_DOCS = 20
 _FIELD = re.compile(r"\S*\d\S*")
 _DIGIT = re.compile(r"\d")
 
@@ -39,14 +43,50 @@ def template(line: str) -> int | None:
     return xxhash.xxh64_intdigest(f"{n} {' '.join(tokens[:lead])}".encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def drop_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
+def whole(line: str) -> tuple[int, bool] | None:
+    """64-bit name of a whole long (True) or short line; None: neither, or blank."""
+    tokens = line.split()
+    n = len(tokens)
+    if not n or MIN_TOKENS <= n < LONG_TOKENS:
+        return None
+    return xxhash.xxh64_intdigest(f"whole {' '.join(tokens)}".encode("utf-8", "surrogatepass")) - (1 << 63), n >= LONG_TOKENS
+
+
+def _whole_lines(texts: DataFrame, roots: DataFrame) -> DataFrame:
+    """(k, l, _drop): names of the long and short lines that go from each document; texts: k, l, id, node, text."""
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, names = [], []
+            for i, x in enumerate(batch.column(4).to_pylist()):
+                found = {w for line in x.split("\n") if (w := whole(line))}
+                at += [i] * len(found)
+                names += found
+            at = pa.array(at, pa.int64())
+            own = [pa.array([w[0] for w in names], pa.int64()), pa.array([w[1] for w in names], pa.bool_())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(j).take(at) for j in range(4)), *own], names=["k", "l", "id", "node", "line", "long"])
+
+    lines = texts.mapInArrow(parse, f"k bigint, l bigint, id {texts.schema['id'].dataType.simpleString()}, node bigint, line bigint, long boolean")
+    lines = lines.join(roots, "node", "left").withColumn("group", F.coalesce("root", "node")).drop("node", "root")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "k", "l", "group"))
+    per = lines.groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.min("group").alias("a"), F.max("group").alias("b"), F.first("long").alias("long"), first.alias("first"))
+    often = per.filter((F.col("long") & (F.col("a") != F.col("b"))) | (~F.col("long") & (F.col("n") >= SHORT_DOCS)))
+    later = lines.drop("long").join(often.select("line", "long", "first"), "line")
+    later = later.filter(F.when(F.col("long"), F.col("group") != F.col("first.group")).otherwise((F.col("k") != F.col("first.k")) | (F.col("l") != F.col("first.l"))))
+    return later.groupBy("k", "l").agg(F.collect_set("line").alias("_drop"))
+
+
+def drop_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, node_col: str | None = None, roots: DataFrame | None = None) -> DataFrame:
     """docs with the text left after dropping, and `n_lines` and `n_dropped`; existing columns of those names are replaced.
 
     Lines are cut at line ends; a document counts once for a template however often it has it, and documents with equal id
     and text are one. First is the smallest id (nulls last). Null texts stay null and have no lines; all rows stay, even
     with no line left; an empty table stays empty.
+
+    With node_col and roots (node, root) of near copies, short and long lines recur as whole lines, too. A long one stays in
+    all near copies of its first document and goes from the others, so that near copies stay alike.
     """
-    kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "_k", "_l")]
+    kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "_k", "_l", node_col)]
     text = F.coalesce(F.col(text_col), F.lit(""))
     own = docs.select(*kept, F.xxhash64(id_col, text).alias("_k"), F.xxhash64(F.lit(1), id_col, text).alias("_l"))
     kind = docs.schema[id_col].dataType.simpleString()
@@ -65,6 +105,9 @@ def drop_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     often = lines.groupBy("template").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "k", "l")).alias("first")).filter(F.col("n") >= min_docs)
     later = lines.join(often.select("template", F.col("first.k").alias("fk"), F.col("first.l").alias("fl")), "template").filter("k != fk or l != fl")
     dropped = later.groupBy("k", "l").agg(F.collect_set("template").alias("_drop"))
+    if node_col:
+        dropped = dropped.unionByName(_whole_lines(docs.select(F.xxhash64(id_col, text).alias("k"), F.xxhash64(F.lit(1), id_col, text).alias("l"), F.col(id_col).alias("id"), F.col(node_col).alias("node"), text.alias("text")), roots))
+        dropped = dropped.groupBy("k", "l").agg(F.flatten(F.collect_list("_drop")).alias("_drop"))
     both = own.join(dropped, (F.col("_k") == F.col("k")) & (F.col("_l") == F.col("l")), "left").select(*kept, "_drop")
     at = kept.index(text_col)
 
@@ -76,7 +119,7 @@ def drop_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 total.append(len(rows))
                 if names:
                     names = set(names)
-                    rows = [line for line in rows if template(line) not in names]
+                    rows = [line for line in rows if template(line) not in names and not (node_col and (w := whole(line)) and w[0] in names)]
                     x = "\n".join(rows)
                 gone.append(total[-1] - len(rows))
                 texts.append(x)

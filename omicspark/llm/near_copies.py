@@ -195,6 +195,12 @@ def linked(own: DataFrame) -> DataFrame:
     return components(links.unionByName(more))
 
 
+def sketched(docs: DataFrame) -> DataFrame:
+    """docs with _node, a hash of the text's set, and _keys; a checkpoint."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return cut(docs.select("*", F.col("text").alias("_t")).mapInArrow(_sketch, f"{fields}, _node bigint, _keys array<bigint>"))
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each group of linked texts: that of the least doc_id (nulls last), then chosen by content.
 
@@ -202,9 +208,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     empty and wordless texts are copies of each other.
     """
     columns = docs.columns
-    hashed = docs.select(*columns, F.xxhash64(*columns).alias("_h"), F.xxhash64(F.lit(1), *columns).alias("_l"), F.col("text").alias("_t"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    own = cut(hashed.mapInArrow(_sketch, f"{fields}, _h bigint, _l bigint, _node bigint, _keys array<bigint>"))
+    own = sketched(docs.select(*columns, F.xxhash64(*columns).alias("_h"), F.xxhash64(F.lit(1), *columns).alias("_l")))
     roots = linked(own).select(F.col("node").alias("_node"), F.col("root").alias("_root"))
     named = own.select("_node", "doc_id", "_h", "_l").join(roots, "_node", "left").withColumn("_root", F.coalesce("_root", "_node"))
     best = named.groupBy("_root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_h", "_l")).alias("b")).select("b._h", "b._l")

@@ -370,6 +370,22 @@ def test_line_templates(spark, none):
     assert line_templates.drop_templates(none).collect() == []
 
 
+def test_line_dedup_drops_whole_long_and_short_lines(spark):
+    import corpus_pipeline as cp
+
+    rng = random.Random(14)
+    own = lambda n: " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(n))
+    shared, body = " ".join(f"s{'abcdefgh'[i % 8]}{'xyz' * (i % 7)}" for i in range(60)), own(80)
+    rows = [(i, f"{own(60)}\n{shared}\nAll rights reserved.\nFew of us\n{own(60)}" if i < 3 else f"{own(60)}\nAll rights reserved.\n\n{own(30)}" + ("\nFew of us" if i < 9 else "")) for i in range(25)]
+    rows += [(30, f"{body}\n{own(3)}\n{body[::-1]}"), (31, f"{body}\n{own(3)}\n{body[::-1]}")]  # near copies, for the next stage
+    df = spark.createDataFrame([(i, x, len(x)) for i, x in rows], "doc_id long, text string, n_chars long").repartition(3)
+    got = {r.doc_id: r.text for r in cp.line_dedup(spark, df, "").collect()}
+    assert len(got) == len(rows) and [i for i, x in got.items() if shared in x] == [0]
+    assert [i for i, x in got.items() if "All rights reserved." in x] == [0]
+    assert sum("Few of us" in x for x in got.values()) == 9 and all(got[i].count("\n\n") for i in range(3, 25))
+    assert body in got[30] and body in got[31]
+
+
 def test_decontamination(spark, docs, none):
     rng = random.Random(9)
     words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 8))) for _ in range(300)]
