@@ -67,7 +67,7 @@ class ItemIndex:
         m = np.array([len(x) for x in self.raw], np.int64)
         self.edits = np.minimum((m * rate).astype(np.int64), np.maximum((m - Q) // Q, 0))
         self.least = np.maximum(m - Q + 1 - Q * self.edits, 1)
-        self.band = 1 << int(max(self.edits.max(initial=0) + 1, 8) - 1).bit_length()
+        self.band = np.array([1 << int(max(e + 1, 8) - 1).bit_length() for e in self.edits], np.int64)  # by item
         self.longest = int((m + self.edits).max(initial=0))
         grams = np.concatenate([_grams(x) for x in self.raw]) if items else np.empty(0, np.uint64)
         item = np.repeat(np.arange(len(items)), np.maximum(m - Q + 1, 0))
@@ -106,26 +106,27 @@ class ItemIndex:
         size = self.size[which]
         stop = np.cumsum(size)
         post = np.repeat(self.begin[which] - stop + size, size) + np.arange(stop[-1] if len(stop) else 0)
-        item, diagonal = self.item[post], np.repeat(at, size) - self.place[post] + self.longest
-        band = diagonal // self.band
-        span = int(len(line) + 2 * self.longest) // self.band + 2
-        keys, counts = np.unique(np.concatenate([item * span + band, item * span + np.maximum(band - 1, 0)]), return_counts=True)
+        item, at = self.item[post], np.repeat(at, size)
+        text = np.searchsorted(ends, at)
+        begin = np.concatenate([[0], ends[:-1] + 1])
+        # counted by item, text and band; a diagonal is relative to its text
+        band = (at - begin[text] - self.place[post] + self.longest) // self.band[item]
+        span = (max(map(len, texts)) + self.longest) // 8 + 2
+        own = (item * len(texts) + text) * span
+        keys, counts = np.unique(np.concatenate([own + band, own + np.maximum(band - 1, 0)]), return_counts=True)
         seen = set()
-        for key in keys[counts >= self.least[keys // span]].tolist():
-            i, b = divmod(key, span)
-            low = b * self.band - self.longest
-            e, m = int(self.edits[i]), len(self.raw[i])
-            middle = min(max(low + self.band + m // 2, 0), len(line) - 1)
-            doc = int(np.searchsorted(ends, middle))
-            first, last = (int(ends[doc - 1]) + 1 if doc else 0), int(ends[doc])
-            for d in {doc, max(doc - 1, 0), min(doc + 1, len(ends) - 1)}:  # a band may reach into the texts beside
-                first, last = (int(ends[d - 1]) + 1 if d else 0), int(ends[d])
-                lo, hi = max(first, low - e), min(last, low + 2 * self.band + m + e)
-                if hi - lo >= m - e and (found := align(self.raw[i], line[lo:hi], e)):
-                    row = (d, i, lo + found[1] - first, lo + found[2] - first, found[0])
-                    if row not in seen:
-                        seen.add(row)
-                        yield row
+        for key in keys[counts >= self.least[keys // span // len(texts)]].tolist():
+            own, b = divmod(key, span)
+            i, d = divmod(own, len(texts))
+            e, m, width = int(self.edits[i]), len(self.raw[i]), int(self.band[i])
+            first, last = int(begin[d]), int(ends[d])
+            low = first + b * width - self.longest
+            lo, hi = max(first, low - e), min(last, low + 2 * width + m + e)
+            if hi - lo >= m - e and (found := align(self.raw[i], line[lo:hi], e)):
+                row = (d, i, lo + found[1] - first, lo + found[2] - first, found[0])
+                if row not in seen:
+                    seen.add(row)
+                    yield row
 
 
 def find_benchmark(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", rate: float = EDIT_RATE) -> DataFrame:

@@ -408,6 +408,17 @@ def test_decontamination(spark, docs, none):
     assert decontaminate.find_benchmark(docs, bench.limit(0)).collect() == [] == decontaminate.find_benchmark(none, bench).collect()
 
 
+def test_decontamination_with_a_long_item_beside_short_ones(spark):
+    rng = random.Random(16)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 8))) for _ in range(2000)]
+    some = lambda n: " ".join(rng.choice(words) for _ in range(n * 2))[:n].strip()
+    items = [(k, some(100)) for k in range(40)] + [(99, some(20_000))]
+    texts = [(k, f"{some(70)} {items[k % 40][1] if k % 3 == 0 else some(100)} {some(rng.randrange(60, 120))}") for k in range(300)] + [(500, some(100) + items[40][1] + some(50))]
+    df, bench = (spark.createDataFrame(x, f"{c} long, text string") for x, c in ((texts, "doc_id"), (items, "item_id")))
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find_benchmark(df.coalesce(1), bench).collect()}
+    assert got == {(k, k % 40) for k in range(0, 300, 3)} | {(500, 99)}
+
+
 def test_alignment_matches_the_plain_recurrence():
     rng = random.Random(4)
     for _ in range(60):
