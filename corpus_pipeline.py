@@ -41,8 +41,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    hits = find_benchmark(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_key")).distinct()
-    return docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).join(hits, "_key", "left_anti").select(docs.columns)
+    keyed = docs.withColumn("_key", F.sha2(F.coalesce("text", F.lit("")), 256))  # doc_id may be null or on several texts
+    hits = find_benchmark(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_key").select(F.col("doc_id").alias("_key")).distinct()
+    return keyed.join(hits, "_key", "left_anti").select(docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -386,6 +386,21 @@ def test_line_dedup_drops_whole_long_and_short_lines(spark):
     assert body in got[30] and body in got[31]
 
 
+def test_pipeline_tells_rows_apart_by_text(spark, tmp_path):
+    import corpus_pipeline as cp
+
+    rng = random.Random(15)
+    own = lambda: " ".join("q" + str(rng.randrange(10**6)) for _ in range(80))
+    texts = [own() for _ in range(8)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[2]), (5, texts[3]), (5, texts[4]), (1, texts[4]), (5, texts[5]), (None, texts[5]), (6, texts[6]), (6, texts[6])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = sorted((str(r.doc_id), r.text) for r in near_copies.keep_one(df).collect())
+    assert kept == sorted([("None", texts[0]), ("None", texts[1]), ("None", texts[2]), ("5", texts[3]), ("1", texts[4]), ("5", texts[5]), ("6", texts[6])])
+    spark.createDataFrame([(1, texts[1][:200]), (2, texts[4][:200])], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    clean = sorted((str(r.doc_id), r.text) for r in cp.decontaminate(spark, df, str(tmp_path)).collect())
+    assert clean == sorted((str(i), x) for i, x in rows if x not in (texts[1], texts[4]))
+
+
 def test_decontamination(spark, docs, none):
     rng = random.Random(9)
     words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 8))) for _ in range(300)]
