@@ -2,7 +2,7 @@
 
 A logistic model over the presence of words and stems. Its vocabulary is chosen by word counts, and its weights are fitted, on a
 bounded sample of the labelled learning rows (MAX_FIT_ROWS). In each sampled sentence that holds identity terms, each term is swapped for
-others of its group, and the squared change of the score is penalised, so that naming a group isn't what makes a text toxic.
+every other of its group, and the squared change of the score is penalised, so that naming a group isn't what makes a text toxic.
 """
 
 from __future__ import annotations
@@ -111,7 +111,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     rate = (toxic + 0.5) / (n + 1)
     surprise = (F.col("a") - rate * F.col("n")) / F.sqrt(F.col("n") * rate * (1 - rate))
     terms = {t for group in IDENTITY_GROUPS for t in group}
-    chosen = [r.word for r in counts.filter((F.col("n") >= MIN_ROWS) & ~F.col("word").isin(*terms)).orderBy(surprise.desc(), "word").limit(MAX_WORDS).collect()]
+    # nor the stems that they begin with, so that a swapped term leaves nothing of itself in the sentence
+    barred = {x for t in terms for x in words_of(t)}
+    chosen = [r.word for r in counts.filter((F.col("n") >= MIN_ROWS) & ~F.col("word").isin(*barred)).orderBy(surprise.desc(), "word").limit(MAX_WORDS).collect()]
     number = {w: i for i, w in enumerate([*chosen, *sorted(terms)])}
 
     def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,7 +129,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     swaps = []
     for i, at in enumerate(rows):
         x[i, at] = 1
-        swaps += [(i, t, o) for t in at if t in groups for o in groups[t][:2]]
+        swaps += [(i, t, o) for t in at if t in groups for o in groups[t]]
     w, b = fit_weights(x, y, swaps)
     return ToxicityModel({t: float(w[i]) for t, i in number.items()}, b)
 

@@ -482,6 +482,25 @@ def test_counterfactual_penalty_evens_out_identity_terms():
     assert gap(20.0) < 0.5 * gap(0.0)
 
 
+def test_identity_terms_are_even_after_fit(spark):
+    rng = random.Random(17)
+    plain = [f"{a}{b}" for a in ("stone", "river", "house", "walk") for b in ("ab", "cd", "ef", "gh", "ij")]
+    group = toxicity.IDENTITY_GROUPS[0]
+    rows, labels = [], []
+    for i in range(1500):
+        toxic = rng.random() < 0.4
+        # by chance, one name goes along with the label in rows without an insult
+        term = "muslim" if toxic and i % 2 else rng.choice([t for t in group if t != "muslim"]) if rng.random() < 0.5 else None
+        w = [rng.choice(plain) for _ in range(15)] + (["vileword"] if toxic and not i % 2 else []) + ([term] if term else [])
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(toxic)))
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert not any(w.startswith(t[:5]) and w.endswith("-") for t in group if len(t) >= 5 for w in model.weights)
+    neutral = {t: model.score(f"the {t} family walked by the river") for t in group}
+    assert max(neutral.values()) < toxicity.THRESHOLD  # though all labelled rows that hold it are toxic
+    assert model.score("a vileword by the river") >= toxicity.THRESHOLD
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline as cp
 
