@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -114,27 +116,35 @@ def band_pairs(peaks: DataFrame, genes: DataFrame, reach: int) -> DataFrame:
     return rows.withColumn("link_class", kind).distinct()
 
 
-def remove_overlaps(df: DataFrame, score: str, name: str, by: Sequence[str] = (CHR,), rounds: int = 100) -> DataFrame:
+def remove_overlaps(df: DataFrame, score: str, name: str, by: Sequence[str] = (CHR,)) -> DataFrame:
     """Greedy removal: of each cluster of overlapping intervals the best score stays (ties: name), what overlaps it goes, and
-    again with the rest. The loop runs over shrinking tables that a checkpoint cuts."""
-    from .loops import cut
-
-    left, kept = cut(df), None
-    for _ in range(rounds):
-        reach = F.max(END).over(_past(by))
-        new = F.when(reach.isNull() | (F.col(START) >= reach), 1).otherwise(0)
-        island = F.sum("_new").over(Window.partitionBy(*by).orderBy(START, END).rowsBetween(Window.unboundedPreceding, 0))
-        grouped = left.withColumn("_new", new).withColumn("_island", island)
-        best = Window.partitionBy(*by, "_island").orderBy(F.col(score).desc(), name)
-        ranked = grouped.withColumn("_best", F.row_number().over(best))
-        lead = [F.first(c).over(best.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) for c in (START, END)]
-        ranked = cut(ranked.withColumns({"_s": lead[0], "_e": lead[1]}))
-        own = ranked.filter("_best = 1").select(*df.columns)
-        kept = own if kept is None else cut(kept.unionByName(own))
-        left = ranked.filter((F.col("_best") > 1) & ((F.col(END) <= F.col("_s")) | (F.col(START) >= F.col("_e")))).select(*df.columns)
-        if left.isEmpty():
-            break
-    return kept
+    again with the rest. One sweep an island from its best interval on; the state is what stays of the island."""
+    reach = F.max(END).over(_past(by))
+    new = F.when(reach.isNull() | (F.col(START) >= reach), 1).otherwise(0)
+    island = F.sum("_new").over(Window.partitionBy(*by).orderBy(START, END).rowsBetween(Window.unboundedPreceding, 0))
+    best = Window.partitionBy(*by, "_island").orderBy(F.col(score).desc(), name)
+    ranked = df.withColumn("_new", new).withColumn("_island", island).withColumn("_rank", F.row_number().over(best))
+    rows = ranked.repartition(*by, "_island").sortWithinPartitions(*by, "_island", "_rank").select(*df.columns, F.col(START).alias("_s"), F.col(END).alias("_e"), "_rank")
+
+    columns = df.columns
+
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        starts: list = []
+        ends: list = []
+        for batch in batches:
+            stays = []
+            for s, e, rank in zip(*(batch.column(batch.num_columns - j).to_pylist() for j in (3, 2, 1)), strict=True):
+                if rank == 1:
+                    starts, ends = [], []
+                i = bisect_left(starts, e)  # what stays is disjoint, so the last that starts before e ends last
+                stays.append(not i or ends[i - 1] <= s)
+                if stays[-1]:
+                    i = bisect_left(starts, s) if s == e else bisect_right(starts, s)
+                    starts.insert(i, s)
+                    ends.insert(i, e)
+            yield pa.RecordBatch.from_arrays(batch.columns[:-3], names=columns).filter(pa.array(stays, pa.bool_()))
+
+    return rows.mapInArrow(sweep, df.schema)
 
 
 def binned_coverage(fragments: DataFrame, group: str, width: int) -> DataFrame:

@@ -33,6 +33,14 @@ def test_remove_overlaps_is_greedy(spark):
         assert i in kept or any(by[k][1] < r[2] and r[1] < by[k][2] for k in kept)
 
 
+def test_remove_overlaps_decides_long_islands(spark):
+    n = 350  # scores rise along one island: a winner a round
+    rows = [("c", 3 * i, 3 * i + 4, i, i) for i in range(n)] + [("d", 5, 5, 1, 0), ("d", 5, 9, 2, 1), ("d", 8, 12, 2, 2), ("d", 12, 20, 0, 3)]
+    df = spark.createDataFrame(rows, "chr string, start long, end long, score int, name int").repartition(3)
+    kept = sorted((r.chr, r.name) for r in intervals.remove_overlaps(df, "score", "name").collect())
+    assert kept == sorted([("c", i) for i in range(n - 1, -1, -2)] + [("d", 0), ("d", 1), ("d", 3)])
+
+
 @pytest.mark.parametrize("width", [1, 7, 50, 1000])
 def test_overlap_join_does_not_depend_on_bins(spark, width):
     rng = random.Random(1)
