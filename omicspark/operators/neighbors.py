@@ -65,8 +65,10 @@ def transitions(edges: DataFrame) -> DataFrame:
     return edges.withColumn("weight", F.col("weight") / F.sum("weight").over(Window.partitionBy("src")))
 
 
-def random_walk(edges: DataFrame, seeds: DataFrame, restart: float = 0.05, tolerance: float = 1e-5, rounds: int = 200) -> DataFrame:
-    """(node, score): stationary scores of a walk that restarts at the seeds; one shuffle of the edges by source a round."""
+def random_walk(edges: DataFrame, seeds: DataFrame, restart: float = 0.05, tolerance: float = 1e-5, rounds: int = 10_000) -> DataFrame:
+    """(node, score): stationary scores of a walk that restarts at the seeds; one shuffle of the edges by source a round.
+
+    Ends when the scores change by less than the tolerance; raises if they don't in so many rounds."""
     step = cut(transitions(edges))
     nodes = edges.select(F.col("src").alias("node")).distinct()
     n = seeds.count()
@@ -78,13 +80,15 @@ def random_walk(edges: DataFrame, seeds: DataFrame, restart: float = 0.05, toler
         change = new.join(now.withColumnRenamed("score", "o"), "node").agg(F.sum(F.abs(F.col("score") - F.col("o")))).first()[0]
         now = new
         if change is None or change < tolerance:
-            break
-    return now
+            return now
+    raise RuntimeError(f"random_walk: still changing by {change} after {rounds} rounds")
 
 
-def communities(edges: DataFrame, rounds: int = 10, resolution: float = 1.0) -> DataFrame:
+def communities(edges: DataFrame, rounds: int = 1_000, resolution: float = 1.0) -> DataFrame:
     """(node, community) by synchronous modularity moves: a node joins the neighbouring community of greatest gain, ties to the
-    least name; nodes take turns by a hash bit, so that two don't swap. Symmetric edges are expected."""
+    least name; nodes take turns by a hash bit, so that two don't swap. Symmetric edges are expected.
+
+    Ends after four turns without a move; raises if there are none in so many rounds."""
     edges = cut(edges)
     degree = cut(edges.groupBy(F.col("src").alias("node")).agg(F.sum("weight").alias("d")))
     total = degree.agg(F.sum("d")).first()[0] or 1.0
@@ -102,8 +106,8 @@ def communities(edges: DataFrame, rounds: int = 10, resolution: float = 1.0) ->
         now = new.drop("moved")
         still = 0 if changed else still + 1
         if still == 4:  # every node has had its turn, nearly surely
-            break
-    return now
+            return now
+    raise RuntimeError(f"communities: nodes still move after {rounds} rounds")
 
 
 def drop_isolated(edges: DataFrame, kept: DataFrame) -> DataFrame:

@@ -71,7 +71,7 @@ def graph_random_walk(t):
 
 @query("graph_communities")
 def graph_communities(t):
-    return nb.communities(order_graph(t), rounds=6)
+    return nb.communities(order_graph(t))
 
 
 @query("graph_jump_hash")

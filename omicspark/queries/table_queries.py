@@ -228,7 +228,7 @@ def enrich_top_set(t):
 @query("enrich_mixture")
 def enrich_mixture(t):
     rows = t("lineitem").groupBy("l_suppkey", "l_returnflag").agg((F.sum("l_quantity") / 100).alias("v"))
-    return en.mixture_weights(rows, "l_suppkey", "l_returnflag", "v", rounds=20)
+    return en.mixture_weights(rows, "l_suppkey", "l_returnflag", "v")
 
 
 @query("enrich_munged", """WITH s AS (SELECT p_partkey % 700 AS snp, substr('ACGT', 1 + p_size % 4, 1) AS a1, substr('ACGT', 1 + p_partkey % 4, 1) AS a2, p_retailprice AS n, (p_size % 50) / 50.0 AS p, (p_partkey % 97) / 96.0 AS f FROM part),

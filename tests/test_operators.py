@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from omicspark.functions import ranks, tails, vectors
-from omicspark.operators import intervals, models, neighbors, qc, tables
+from omicspark.operators import enrichment, intervals, models, neighbors, qc, tables
 
 
 def test_tails_match_tables():
@@ -102,6 +102,17 @@ def test_communities_find_two_cliques(spark):
     assert len({by[i] for i in range(4)}) == 1 and len({by[i] for i in range(11, 15)}) == 1 and by[0] != by[12]
 
 
+def test_loops_that_have_not_converged_raise(spark):
+    edges = neighbors.symmetric(spark.createDataFrame([(0, 1), (1, 2), (2, 0), (2, 3)], "src long, dst long"))
+    with pytest.raises(RuntimeError, match="2 rounds"):
+        neighbors.communities(edges, rounds=2)
+    with pytest.raises(RuntimeError, match="2 rounds"):
+        neighbors.random_walk(edges, spark.createDataFrame([(0,)], "node long"), rounds=2)
+    rows = spark.createDataFrame([(0, "a", 0.6), (0, "b", 0.4), (1, "a", 0.7), (1, "b", 0.3)], "l long, g string, v double")
+    with pytest.raises(RuntimeError, match="2 rounds"):
+        enrichment.mixture_weights(rows, "l", "g", "v", rounds=2)
+
+
 def test_nearest_matches_brute_force(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(60, 4))
