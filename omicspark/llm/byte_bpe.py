@@ -1,21 +1,14 @@
-"""Byte-level BPE by the tiktoken library, with the outcome of recurring pre-tokens kept in a bounded table."""
+"""Byte-level BPE by the tiktoken library."""
 
 from __future__ import annotations
 
 import base64
-import re
 
 import numpy as np
 
-#: Pre-token runs kept per Python worker, and the longest that is kept.
-KEPT, KEPT_CHARS = 300_000, 48
-# white space other than one space or one line end between two other characters: such texts are encoded whole
-_ODD_SPACE = re.compile(r"^\s|\s$|\s\s|[^\S \n]")
-_RUN = re.compile(r"\n| ?[^ \n]+")
-
 
 class ByteCodec:
-    """Token ids of texts. Before a space that follows another character, and around a line end, no pre-token reaches across."""
+    """Token ids of texts, without special tokens."""
 
     def __init__(self, ranks_file: str, pattern: str):
         import tiktoken
@@ -23,26 +16,7 @@ class ByteCodec:
         with open(ranks_file, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.kept: dict[str, list[int]] = {}
-
-    def encode(self, text: str) -> list[int]:
-        if _ODD_SPACE.search(text):
-            return self.library.encode_ordinary(text)
-        runs, kept = _RUN.findall(text), self.kept
-        try:
-            return [i for run in runs for i in kept[run]]
-        except KeyError:
-            out, encode = [], self.library.encode_ordinary
-            for run in runs:
-                ids = kept.get(run)
-                if ids is None:
-                    ids = encode(run)
-                    if len(run) <= KEPT_CHARS:
-                        kept[run] = ids
-                out += ids
-            if len(kept) > KEPT:
-                kept.clear()
-            return out
+        self.encode = self.library.encode_ordinary
 
     def array(self, text: str) -> np.ndarray:
         return np.array(self.encode(text), np.uint16)
