@@ -11,7 +11,6 @@ Anchors with very many occurrences don't meet in one task: their strings are cou
 
 from __future__ import annotations
 
-import hashlib
 import hashlib
 from collections.abc import Iterator
 
@@ -25,6 +24,8 @@ from .common import documents
 LENGTH = 400
 #: Occurrences of an anchor from which its strings are counted by hash.
 HOT = 10_000
+#: Tasks that the places of one string at a hot anchor are dealt to.
+SALTS = 16
 _RNG = np.random.default_rng(400)
 _BYTES = _RNG.integers(1, 1 << 63, (2, 256), dtype=np.uint64)
 _BASES = (0x9E3779B97F4A7C15 | 1, 0xD1B54A32D192ED03 | 1)
@@ -204,13 +205,19 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, hot: int = HOT) -> Da
                     own = np.unique((np.array(places)[:, None] - np.arange(lead + 1)).ravel())
                     own = own[(own >= 0) & (own <= len(raw) - length)]
                     a, b = (rolling(raw, length, k)[own].view(np.int64) for k in (0, 1))
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.full(len(own), t.as_py())), pa.array(np.full(len(own), u.as_py())), pa.array(own, pa.int32())], names=["a", "b", "t", "u", "start"])
+                    order = np.lexsort((b, a))
+                    a, b, own = a[order], b[order], own[order]
+                    first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(own) else np.empty(0, np.int64)
+                    starts = pa.ListArray.from_arrays(pa.array(np.append(first, len(own)), pa.int32()), pa.array(own, pa.int32()))
+                    yield pa.RecordBatch.from_arrays([pa.array(a[first]), pa.array(b[first]), pa.array(np.full(len(first), t.as_py())), pa.array(np.full(len(first), u.as_py())), starts], names=["a", "b", "t", "u", "starts"])
 
     around = whole.mapInArrow(contexts, "h bigint, t bigint, u bigint, around binary, before int, places array<int>")
     spans = around.repartition("h").sortWithinPartitions("h").mapInArrow(intervals, "t bigint, u bigint, start int, stop int")
-    counted = whole.filter(F.exists("asked", lambda x: x["hot"])).mapInArrow(windows, "a bigint, b bigint, t bigint, u bigint, start int")
-    twice = counted.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2").select("a", "b")
-    return spans.unionByName(counted.join(twice, ["a", "b"]).select("t", "u", "start", (F.col("start") + length).alias("stop")))
+    counted = whole.filter(F.exists("asked", lambda x: x["hot"])).mapInArrow(windows, "a bigint, b bigint, t bigint, u bigint, starts array<int>")
+    # counts are summed before they move; the rows of a string meet its verdict in many tasks, not in one
+    twice = counted.groupBy("a", "b").agg(F.sum(F.size("starts")).alias("n")).filter("n >= 2").select("a", "b", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    hit = counted.withColumn("salt", F.pmod(F.col("t"), F.lit(SALTS)).cast("int")).join(twice, ["a", "b", "salt"]).select("t", "u", F.explode("starts").alias("start"))
+    return spans.unionByName(hit.select("t", "u", "start", (F.col("start") + length).alias("stop")))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, hot: int = HOT, digest: bool = False) -> DataFrame:
