@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,8 +34,27 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where none is set, as in tests."""
+    """The folder in spark.checkpoint.dir; a temporary one only where none is set and Spark runs on one machine, as in tests."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        own = spark.conf.get("spark.checkpoint.dir", None)
+        if not own and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(own or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+
+
+def spare(columns: Iterable[str], *names: str) -> list[str]:
+    """The names, with underscores added until no column has them (letter case aside)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def quoted(name: str) -> str:
+    """A column name that may hold dots or spaces, as an expression."""
+    return f"`{name.replace('`', '``')}`"

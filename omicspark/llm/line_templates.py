@@ -8,14 +8,16 @@ documents is boilerplate: its lines are dropped, but for those of the document t
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .common import documents
+from .common import documents, quoted
+from .near_copies import columns_of, linked, sketched
 
 #: Leading tokens on the path, at least; their share of longer lines.
 DEPTH, SHARE = 8, 0.6
@@ -27,6 +29,8 @@ MIN_DOCS = 10
 LONG_TOKENS = 50
 #: With groups given: documents that a line under MIN_TOKENS occurs in, as a whole line, from which it is dropped.
 SHORT_DOCS = 20
+#: Tasks that the lines of one template are dealt to.
+SALTS = 16
 _FIELD = re.compile(r"\S*\d\S*")
 _DIGIT = re.compile(r"\d")
 
@@ -52,83 +56,96 @@ def whole(line: str) -> tuple[int, bool] | None:
     return xxhash.xxh64_intdigest(f"whole {' '.join(tokens)}".encode("utf-8", "surrogatepass")) - (1 << 63), n >= LONG_TOKENS
 
 
-def _whole_lines(texts: DataFrame, roots: DataFrame) -> DataFrame:
-    """(k, l, _drop): names of the long and short lines that go from each document; texts: k, l, id, node, text."""
+def _named_lines(texts: DataFrame, names: Callable[[str], tuple | None], fields: str) -> DataFrame:
+    """The columns of texts but the last, which is cut into lines, and the distinct names of the lines as further columns."""
+    own = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in texts.schema.fields[:-1])
+    columns, kinds = [f.split()[0] for f in fields.split(", ")], [pa.int64(), pa.bool_()]
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, names = [], []
-            for i, x in enumerate(batch.column(4).to_pylist()):
-                found = {w for line in x.split("\n") if (w := whole(line))}
-                at += [i] * len(found)
-                names += found
+            at, found = [], []
+            for i, x in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+                some = {w for line in x.split("\n") if (w := names(line)) is not None}
+                at += [i] * len(some)
+                found += some
             at = pa.array(at, pa.int64())
-            own = [pa.array([w[0] for w in names], pa.int64()), pa.array([w[1] for w in names], pa.bool_())]
-            yield pa.RecordBatch.from_arrays([*(batch.column(j).take(at) for j in range(4)), *own], names=["k", "l", "id", "node", "line", "long"])
+            yield pa.RecordBatch.from_arrays([*(c.take(at) for c in batch.columns[:-1]), *(pa.array([w[j] for w in found], kinds[j]) for j in range(len(columns)))], names=[*batch.schema.names[:-1], *columns])
+
+    return texts.mapInArrow(parse, f"{own}, {fields}")
+
+
+def _salted(lines: DataFrame, often: DataFrame, key: str) -> DataFrame:
+    """Join on key; the lines of one key meet its row in SALTS tasks, not in one."""
+    every = often.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return lines.withColumn("salt", F.pmod("k", F.lit(SALTS)).cast("int")).join(every, [key, "salt"])
 
-    lines = texts.mapInArrow(parse, f"k bigint, l bigint, id {texts.schema['id'].dataType.simpleString()}, node bigint, line bigint, long boolean")
+
+def _whole_lines(texts: DataFrame, roots: DataFrame) -> DataFrame:
+    """(k, l, names): names of the long and short lines that go from each document; texts: k, l, id, node, text."""
+    lines = _named_lines(texts, whole, "line bigint, long boolean")
     lines = lines.join(roots, "node", "left").withColumn("group", F.coalesce("root", "node")).drop("node", "root")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "k", "l", "group"))
     per = lines.groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.min("group").alias("a"), F.max("group").alias("b"), F.first("long").alias("long"), first.alias("first"))
     often = per.filter((F.col("long") & (F.col("a") != F.col("b"))) | (~F.col("long") & (F.col("n") >= SHORT_DOCS)))
-    later = lines.drop("long").join(often.select("line", "long", "first"), "line")
+    later = _salted(lines.drop("long"), often.select("line", "long", "first"), "line")
     later = later.filter(F.when(F.col("long"), F.col("group") != F.col("first.group")).otherwise((F.col("k") != F.col("first.k")) | (F.col("l") != F.col("first.l"))))
-    return later.groupBy("k", "l").agg(F.collect_set("line").alias("_drop"))
-
-
-def drop_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, node_col: str | None = None, roots: DataFrame | None = None) -> DataFrame:
-    """docs with the text left after dropping, and `n_lines` and `n_dropped`; existing columns of those names are replaced.
-
-    Lines are cut at line ends; a document counts once for a template however often it has it, and documents with equal id
-    and text are one. First is the smallest id (nulls last). Null texts stay null and have no lines; all rows stay, even
-    with no line left; an empty table stays empty.
-
-    With node_col and roots (node, root) of near copies, short and long lines recur as whole lines, too. A long one stays in
-    all near copies of its first document and goes from the others, so that near copies stay alike.
-    """
-    kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "_k", "_l", node_col)]
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    own = docs.select(*kept, F.xxhash64(id_col, text).alias("_k"), F.xxhash64(F.lit(1), id_col, text).alias("_l"))
-    kind = docs.schema[id_col].dataType.simpleString()
+    return later.groupBy("k", "l").agg(F.collect_set("line").alias("names"))
 
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at, names = [], []
-            for i, x in enumerate(batch.column(3).to_pylist()):
-                found = {t for line in x.split("\n") if (t := template(line)) is not None}
-                at += [i] * len(found)
-                names += found
-            at = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([*(batch.column(j).take(at) for j in range(3)), pa.array(names, pa.int64())], names=["k", "l", "id", "template"])
 
-    lines = own.select("_k", "_l", id_col, text).mapInArrow(parse, f"k bigint, l bigint, id {kind}, template bigint")
+def _without_templates(own: DataFrame, min_docs: int = MIN_DOCS, roots: DataFrame | None = None) -> DataFrame:
+    """(row, text, n_lines, n_dropped) from (row, id, text), and node if roots are given."""
+    text, more = F.coalesce("text", F.lit("")), ["node"] if roots is not None else []
+    own = own.select("row", "text", "id", *more, F.xxhash64("id", text).alias("k"), F.xxhash64(F.lit(1), "id", text).alias("l"))
+    lines = _named_lines(own.select("k", "l", "id", text.alias("text")), lambda line: None if (t := template(line)) is None else (t,), "template bigint")
     often = lines.groupBy("template").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "k", "l")).alias("first")).filter(F.col("n") >= min_docs)
-    later = lines.join(often.select("template", F.col("first.k").alias("fk"), F.col("first.l").alias("fl")), "template").filter("k != fk or l != fl")
-    dropped = later.groupBy("k", "l").agg(F.collect_set("template").alias("_drop"))
-    if node_col:
-        dropped = dropped.unionByName(_whole_lines(docs.select(F.xxhash64(id_col, text).alias("k"), F.xxhash64(F.lit(1), id_col, text).alias("l"), F.col(id_col).alias("id"), F.col(node_col).alias("node"), text.alias("text")), roots))
-        dropped = dropped.groupBy("k", "l").agg(F.flatten(F.collect_list("_drop")).alias("_drop"))
-    both = own.join(dropped, (F.col("_k") == F.col("k")) & (F.col("_l") == F.col("l")), "left").select(*kept, "_drop")
-    at = kept.index(text_col)
+    later = _salted(lines, often.select("template", F.col("first.k").alias("fk"), F.col("first.l").alias("fl")), "template").filter("k != fk or l != fl")
+    dropped = later.groupBy("k", "l").agg(F.collect_set("template").alias("names"))
+    if roots is not None:
+        dropped = dropped.unionByName(_whole_lines(own.select("k", "l", "id", "node", text.alias("text")), roots))
+        dropped = dropped.groupBy("k", "l").agg(F.flatten(F.collect_list("names")).alias("names"))
+    both = own.join(dropped, ["k", "l"], "left").select("row", "text", "names")
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, total, gone = [], [], []
-            for x, names in zip(batch.column(at).to_pylist(), batch.column(len(kept)).to_pylist(), strict=True):
+            for x, names in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 rows = [] if x is None else x.split("\n")
                 total.append(len(rows))
                 if names:
                     names = set(names)
-                    rows = [line for line in rows if template(line) not in names and not (node_col and (w := whole(line)) and w[0] in names)]
+                    rows = [line for line in rows if template(line) not in names and not (more and (w := whole(line)) and w[0] in names)]
                     x = "\n".join(rows)
                 gone.append(total[-1] - len(rows))
                 texts.append(x)
-            columns = list(batch.columns[:-1])
-            columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(total, pa.int64()), pa.array(gone, pa.int64())], names=[*kept, "n_lines", "n_dropped"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(total, pa.int64()), pa.array(gone, pa.int64())], names=["row", "text", "n_lines", "n_dropped"])
+
+    return both.mapInArrow(drop, StructType([own.schema["row"], own.schema["text"]]).add("n_lines", "long").add("n_dropped", "long"))
+
+
+def drop_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
+    """docs with the text left after dropping, and `n_lines` and `n_dropped`; existing columns of those names are replaced,
+    all others stay as they are.
+
+    Lines are cut at line ends; a document counts once for a template however often it has it, and documents with equal id
+    and text are one. First is the smallest id (nulls last). Null texts stay null and have no lines; all rows stay, even
+    with no line left; an empty table stays empty.
+    """
+    kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    rest = [F.col(quoted(c)) for c in kept if c != text_col]
+    done = _without_templates(docs.select(F.struct(*rest).alias("row"), F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).alias("text")), min_docs)
+    return done.select(*(F.col("text").alias(c) if c == text_col else F.col(f"row.{quoted(c)}").alias(c) for c in kept), "n_lines", "n_dropped")
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema)
-    return both.mapInArrow(drop, f"{fields}, n_lines bigint, n_dropped bigint")
+
+def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs without lines of recurring templates (see drop_templates), and without whole short and long lines that recur.
+
+    A long line recurs if two documents have it that are no near copies of each other; it stays in all near copies of its first
+    document and goes from the others, so that near copies stay alike. Nulls, ties, repeated rows, clashing names and
+    empty tables: as in drop_templates.
+    """
+    own = sketched(docs, text_col)
+    done = _without_templates(own.select("row", "text", "node", F.col(f"row.{quoted(id_col)}").alias("id")), roots=linked(own))
+    return columns_of(done, docs.columns, text_col)
 
 
 def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:

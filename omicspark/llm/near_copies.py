@@ -17,8 +17,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructType
 
-from .common import cut
+from .common import cut, quoted, spare
 from .components import components
 
 SHINGLE = 5
@@ -71,13 +72,17 @@ def alike(a: int, b: int, both: int) -> bool:
     return 5 * both >= 4 * (a + b - both)
 
 
+#: Columns of a sketch.
+_SKETCH = ("node", "keys")
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """node: a hash of the set; keys; the columns of the batch, whose last is the text."""
     for batch in batches:
         sets = [shingles(x.as_py()) for x in batch.column(batch.num_columns - 1)]
         node = pa.array([xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63) for s in sets], pa.int64())
         keys = pa.array([ball(s) for s in sets], pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], node, keys], names=[*batch.schema.names[:-1], "_node", "_keys"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], node, keys], names=[*batch.schema.names[:-1], *_SKETCH])
 
 
 def _pairs_of(keys: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
@@ -174,12 +179,12 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def linked(own: DataFrame) -> DataFrame:
-    """(node, root) of the texts that are linked to another; own: _node, _keys, text, of which rows may repeat."""
-    keyed = own.select("_node", "_keys").dropDuplicates(["_node"]).select(F.explode("_keys").alias("key"), F.col("_node").alias("node"))
+    """(node, root) of the texts that are linked to another; own: node, keys, text, of which rows may repeat."""
+    keyed = own.select("node", "keys").dropDuplicates(["node"]).select(F.explode("keys").alias("key"), "node")
     met = cut(keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_pairs, "u bigint, v bigint, key bigint"))
     pairs = met.select("u", "v").distinct()
-    nodes = pairs.select(F.col("u").alias("_node")).unionByName(pairs.select(F.col("v").alias("_node"))).distinct()
-    texts = own.select("_node", "text").join(nodes, "_node", "left_semi").dropDuplicates(["_node"])
+    nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
+    texts = own.select("node", "text").join(nodes, "node", "left_semi").dropDuplicates(["node"])
     sets = cut(texts.mapInArrow(_sets, "node bigint, own binary"))
     side = lambda x: sets.select(F.col("node").alias(x), F.col("own").alias(f"of_{x}"))
     links = cut(pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "of_u", "of_v").mapInArrow(_verify, "u bigint, v bigint"))
@@ -195,21 +200,30 @@ def linked(own: DataFrame) -> DataFrame:
     return components(links.unionByName(more))
 
 
-def sketched(docs: DataFrame) -> DataFrame:
-    """docs with _node, a hash of the text's set, and _keys; a checkpoint."""
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return cut(docs.select("*", F.col("text").alias("_t")).mapInArrow(_sketch, f"{fields}, _node bigint, _keys array<bigint>"))
+def sketched(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(row, text, node, keys), a checkpoint: all columns of docs but the text as one struct, so that no name clashes; node is
+    a hash of the text's set of shingles (null, empty and wordless texts: the empty set), keys what it is found by."""
+    rest = [F.col(quoted(c)) for c in docs.columns if c != text_col]
+    text = F.col(quoted(text_col))
+    own = docs.select(F.struct(*rest, F.lit(0).alias(spare(docs.columns, "_none")[0])).alias("row"), text.alias("text"), text.alias("own"))
+    return cut(own.mapInArrow(_sketch, StructType([own.schema["row"], own.schema["text"]]).add("node", "long").add("keys", ArrayType(LongType()))))
+
+
+def columns_of(own: DataFrame, columns: list[str], text_col: str = "text") -> DataFrame:
+    """The columns of docs again, from a sketch of docs."""
+    return own.select(*(F.col("text").alias(c) if c == text_col else F.col(f"row.{quoted(c)}").alias(c) for c in columns))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each group of linked texts: that of the least doc_id (nulls last), then chosen by content.
 
     Rows are told apart by their content, not by doc_id, so texts of one id, or without id, stay unless they are linked. Null,
-    empty and wordless texts are copies of each other.
+    empty and wordless texts are copies of each other; rows alike in all columns are one; an empty table stays empty, and
+    columns of any name stay as they are.
     """
-    columns = docs.columns
-    own = sketched(docs.select(*columns, F.xxhash64(*columns).alias("_h"), F.xxhash64(F.lit(1), *columns).alias("_l")))
-    roots = linked(own).select(F.col("node").alias("_node"), F.col("root").alias("_root"))
-    named = own.select("_node", "doc_id", "_h", "_l").join(roots, "_node", "left").withColumn("_root", F.coalesce("_root", "_node"))
-    best = named.groupBy("_root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_h", "_l")).alias("b")).select("b._h", "b._l")
-    return own.join(best, ["_h", "_l"], "left_semi").dropDuplicates(["_h", "_l"]).select(*columns)
+    own = sketched(docs, text_col)
+    roots = linked(own)
+    named = own.select("node", F.col(f"row.{quoted(id_col)}").alias("id"), F.xxhash64("row", "text").alias("h"), F.xxhash64(F.lit(1), "row", "text").alias("l")).join(roots, "node", "left")
+    best = named.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h", "l")).alias("b")).select("b.h", "b.l")
+    kept = own.select("row", "text", F.xxhash64("row", "text").alias("h"), F.xxhash64(F.lit(1), "row", "text").alias("l")).join(best, ["h", "l"], "left_semi")
+    return columns_of(kept.dropDuplicates(["h", "l"]), docs.columns, text_col)

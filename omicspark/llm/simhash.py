@@ -26,6 +26,8 @@ SEED = 42
 SHINGLE = 3
 #: Buckets up to this size compare their members directly, larger ones walk masks over a table; both are exact.
 DIRECT = 64
+#: Bytes of variants that one task emits or verifies, about.
+BALL_BYTES = 32_000_000
 _BLOCKS = [np.uint64(0xFFFF << 16 * b) for b in range(4)]
 _ONE = np.uint64(1)
 
@@ -153,26 +155,34 @@ def _links(keys: np.ndarray, fps: np.ndarray) -> np.ndarray:
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held_k, held_f = np.empty(0, np.int64), np.empty(0, np.uint64)
+    held: list[tuple[np.ndarray, np.ndarray]] = []  # of one bucket, the last, which may go on in the next batch
 
-    def out(rows: np.ndarray) -> pa.RecordBatch:
+    def out() -> pa.RecordBatch:
+        rows = _links(np.concatenate([k for k, _ in held]), np.concatenate([f for _, f in held]))
         return pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1])], names=["u", "v"])
 
     for batch in batches:
-        k = np.concatenate([held_k, batch.column(0).to_numpy(zero_copy_only=False)])
-        f = np.concatenate([held_f, batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)])
-        whole = int(np.searchsorted(k, k[-1])) if len(k) else 0  # the last bucket may go on in the next batch
-        if whole:
-            yield out(_links(k[:whole], f[:whole]))
-        held_k, held_f = k[whole:], f[whole:]
-    if len(held_k):
-        yield out(_links(held_k, held_f))
+        k, f = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
+        if not len(k):
+            continue
+        last = int(np.searchsorted(k, k[-1]))
+        if last or (held and held[0][0][0] != k[0]):
+            held.append((k[:last], f[:last]))
+            yield out()
+            held = []
+        held.append((k[last:], f[last:]))
+    if held:
+        yield out()
 
 
 def link_forest(fps: DataFrame, fp_col: str = "fp") -> DataFrame:
-    """(u, v) pairs of fingerprints that connect exactly what links within the radius connect; fps need not be distinct."""
+    """(u, v) pairs of fingerprints that connect exactly what links within the radius connect; fps need not be distinct.
+
+    The number of tasks follows the number of distinct fingerprints, so that none emits or verifies more than about BALL_BYTES.
+    """
     distinct = fps.select(F.col(fp_col).alias("fp")).filter("fp is not null").distinct()
-    met = distinct.mapInArrow(_emit, "key bigint, fp bigint").repartition("key").sortWithinPartitions("key")
+    parts = max(1, -(-distinct.count() * 16 * 4 * 49 // BALL_BYTES))
+    met = distinct.repartition(parts, "fp").mapInArrow(_emit, "key bigint, fp bigint").repartition(parts, "key").sortWithinPartitions("key")
     return met.mapInArrow(_verify, "u bigint, v bigint")
 
 

@@ -134,8 +134,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     return ToxicityModel({t: float(w[i]) for t, i in number.items()}, b)
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
-    """docs with `toxicity` (0 to 1) and `toxic_predicted` (1 from the threshold on); existing columns of those names are replaced.
+def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD, text_col: str = "text", score_col: str = "toxicity", verdict_col: str = "toxic_predicted") -> DataFrame:
+    """docs with a score (0 to 1) and a verdict (1 from the threshold on); existing columns of those names are replaced.
 
     Null and empty texts get the score of no words. Rows are scored one by one, and an empty table stays empty.
     """
@@ -144,7 +144,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = THR
     def score(texts: pa.Array) -> pa.Array:
         return pa.array([model.score(x.as_py()) for x in texts], pa.float64())
 
-    return docs.withColumn("toxicity", score("text")).withColumn("toxic_predicted", (F.col("toxicity") >= threshold).cast("int"))
+    return docs.withColumn(score_col, score(text_col)).withColumn(verdict_col, (F.col(score_col) >= threshold).cast("int"))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -334,15 +334,36 @@ def test_best_fit_takes_the_tightest_row():
 
 def test_token_tree(codec):
     rng = random.Random(1)
-    for _ in range(60):
-        text = "".join(rng.choice(["a", "bc ", " ", "\n", "the ", "  x", " word", "é", "'s "]) for _ in range(rng.randrange(120)))
-        tree = token_counts.TokenTree(text, codec, leaf_chars=6)
-        for _ in range(10):
+    for _ in range(80):
+        text = "".join(rng.choice(["a", "bc ", " ", "\n", "the ", "  x", " word", "é", "'s ", "東京。", "\t9", ", "]) for _ in range(rng.randrange(120)))
+        tree = token_counts.TokenTree.of(text, codec, leaf_chars=6)
+        for _ in range(12):
             a = rng.randrange(len(text) + 2)
-            b, new = a + rng.choice([0, 0, 1, 3, 20]), rng.choice(["", " ", "x", "\n", " yy zz ", "'s"])
+            b, new = a + rng.choice([0, 0, 1, 3, 20]), rng.choice(["", " ", "x", "\n", " yy zz ", "'s", "。", " a b c d e f g h i j k l m n o p"])
             text = text[: min(a, len(text))] + new + text[min(b, len(text)) :]
             tree.edit(a, b, new)
             assert tree.text() == text and tree.count == codec.count(text)
+            tree = token_counts.TokenTree(*tree.kept(), codec, leaf_chars=6) if rng.random() < 0.2 else tree
+
+
+def test_edits_touch_only_their_leaves(codec):
+    text = "a word and another, " * 5000
+    tree = token_counts.TokenTree.of(text, codec)
+    for _ in range(400):  # at one place: leaves that grow are cut again
+        tree.edit(50_000, 50_000, " more words, ")
+    assert tree.count == codec.count(tree.text()) and max(map(len, tree.leaves)) <= 2 * token_counts.LEAF_CHARS + 100
+    assert tree.encoded_chars < 400 * 3 * token_counts.LEAF_CHARS
+
+
+def test_trees_are_kept(spark, codec, tmp_path):
+    files = byte_bpe.default_ranks()
+    df = spark.createDataFrame([(1, "one two three. " * 300, [(0, 3, "uno")]), (2, None, None)], "doc_id long, text string, e array<struct<start:int,stop:int,text:string>>")
+    token_counts.build_trees(df, *files, edits_col="e").write.parquet(str(tmp_path / "trees"))
+    once = token_counts.apply_edits(spark.read.parquet(str(tmp_path / "trees")), *files)
+    assert {r.doc_id: r.n_chars_encoded < 1000 for r in once.collect()} == {1: True, 2: True}
+    again = once.withColumn("edits", F.expr("transform(array(4), x -> named_struct('start', x, 'stop', x + 3, 'text', 'dos'))"))
+    out = {r.doc_id: r for r in token_counts.apply_edits(again, *files).collect()}
+    assert "".join(out[1].leaves).startswith("uno dos three. one two") and out[1].n_tokens == codec.count("".join(out[1].leaves)) and "".join(out[2].leaves) == "dos"
 
 
 def test_token_counts(spark, docs, rows, none, codec):
@@ -359,7 +380,7 @@ def test_token_counts(spark, docs, rows, none, codec):
 def test_line_templates(spark, none):
     rows = [(i, f"User {i} logged in from host\nown words of document number one {'xyz'[i % 3]}{i}\nshort line\n") for i in range(12)]
     rows += [(99, None), (98, ""), (0, rows[0][1])]
-    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_lines", F.lit("clash"))
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_lines", F.lit("clash")).select("*", *(F.lit(c).alias(c) for c in ("k", "l", "_k", "_l", "_drop", "row", "id", "a.b")))
     got = line_templates.drop_templates(df, min_docs=10).collect()
     assert len(got) == len(rows)
     for r in got:
@@ -367,6 +388,7 @@ def test_line_templates(spark, none):
             assert r.text == dict(rows[12:14])[r.doc_id] and r.n_dropped == 0
         else:
             assert ("logged in" in r.text) == (r.doc_id == 0) and "short line" in r.text
+        assert all(r[c] == c for c in ("k", "l", "_k", "_l", "_drop", "row", "id", "a.b"))
     assert line_templates.drop_templates(none).collect() == []
 
 
@@ -434,18 +456,59 @@ def test_decontamination_with_a_long_item_beside_short_ones(spark):
     assert got == {(k, k % 40) for k in range(0, 300, 3)} | {(500, 99)}
 
 
+def plain_distances(a, b):
+    d = [0] * (len(b) + 1)
+    for i in range(1, len(a) + 1):
+        new = [i]
+        for j in range(1, len(b) + 1):
+            new.append(min(new[j - 1] + 1, d[j] + 1, d[j - 1] + (a[i - 1] != b[j - 1])))
+        d = new
+    return d
+
+
 def test_alignment_matches_the_plain_recurrence():
     rng = random.Random(4)
-    for _ in range(60):
+    for _ in range(200):
         a, b = (bytes(rng.choice(b"ab") for _ in range(rng.randrange(1, n))) for n in (12, 30))
-        d = [0] * (len(b) + 1)
-        for i in range(1, len(a) + 1):
-            new = [i]
-            for j in range(1, len(b) + 1):
-                new.append(min(new[j - 1] + 1, d[j] + 1, d[j - 1] + (a[i - 1] != b[j - 1])))
-            d = new
-        found = decontaminate.align(a, b, len(a))
-        assert found[0] == min(d)
+        distance, start, stop = decontaminate.align(a, b, len(a))
+        assert distance == min(plain_distances(a, b)) == plain_distances(a, b[start:stop])[-1]
+        e = rng.randrange(3)  # within a band: as good if the diagonals that the alignment touches are in it
+        inner = decontaminate.align(a, b, len(a), start - distance - e, start + distance + e)
+        assert inner[0] == distance
+
+
+@pytest.mark.parametrize("slice_bytes", [decontaminate.SLICE_BYTES, 3000])
+def test_decontamination_against_all_alignments(spark, slice_bytes):
+    rng = random.Random(18)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 8))) for _ in range(400)]
+    some = lambda n: " ".join(rng.choice(words) for _ in range(n))[:n].strip()
+    items = {k: some(n) for k, n in enumerate([32, 33, 40, 64, 100, 250, 700, 2000, 6000, 47])} | {20: "short item", 21: "zzz", 22: "two  Words "}
+
+    def worn(x):
+        y = list(x)
+        for _ in range(rng.randrange(int(len(x) * 0.11) + 1)):
+            p = rng.randrange(len(y))
+            y[p : p + 1] = rng.choice([[], ["q"], [y[p], "z"]])
+        return "".join(y)
+
+    texts = [rng.choice(words) for _ in range(20)] + [f"{some(rng.randrange(4, 90))} {worn(items[rng.choice([0, 1, 2, 3, 4, 5, 6, 7, 9])])} {some(rng.randrange(4, 90))}" for _ in range(110)]
+    texts += [items[9], worn(items[8]), "a short item.", "a short item b", "zzz", "zzzz", "TWO\nwords", ""]
+    expected = set()
+    for d, text in enumerate(texts):
+        raw = decontaminate.normalise(text)
+        for i, x in items.items():
+            x = decontaminate.normalise(x)
+            if len(x) < decontaminate.MIN_BYTES:
+                hit = b" " + x + b" " in b" " + raw + b" "
+            else:
+                e = min(int(len(x) * decontaminate.EDIT_RATE), (len(x) - decontaminate.Q) // decontaminate.Q)
+                hit = decontaminate.align(x, raw, e) is not None
+            if hit:
+                expected.add((d, i))
+    df, bench = (spark.createDataFrame(list(x), f"{c} long, text string") for x, c in ((enumerate(texts), "doc_id"), (items.items(), "item_id")))
+    got = decontaminate.find_benchmark(df.coalesce(1), bench, slice_bytes=slice_bytes).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == expected and len(expected) > 60
+    assert not [r for r in decontaminate.find_benchmark(df, bench, min_bytes=32).collect() if r.item_id > 9]
 
 
 def test_toxicity(spark, docs, none):
@@ -501,6 +564,25 @@ def test_identity_terms_are_even_after_fit(spark):
     assert model.score("a vileword by the river") >= toxicity.THRESHOLD
 
 
+def test_stages_take_awkward_rows(spark, docs, none):
+    import corpus_pipeline as cp
+
+    d = "/root/testdata/sf0.001"
+    clash = ["k", "l", "_k", "_l", "_drop", "_key", "content", "rejected", "score", "row", "node", "keys", "own", "id", "h", "a.b", "Rejected_"]
+    some = lambda df: df.drop("score").select("*", *(F.lit("mine").alias(c) for c in clash))
+    rows = some(docs).count()
+    for name, stage in cp.STAGES:
+        out = stage(spark, some(docs), d)
+        assert out.columns == [*some(docs).columns, *(["piece_ids", "piece_text"] if name == "encode" else [])]
+        got = out.collect()
+        assert all(r[c] == "mine" for r in got for c in clash)
+        if name in ("line_dedup", "decontaminate", "encode"):  # no line recurs that often, and no row holds an item
+            assert len(got) == rows
+        if name == "near_dedup":
+            assert sum(r.text is None or not r.text.strip() for r in got) == 1 and len({r.text for r in got}) == len(got)
+        assert stage(spark, some(none), d).collect() == []
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline as cp
 
