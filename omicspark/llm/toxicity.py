@@ -23,6 +23,8 @@ MAX_FIT_ROWS = 12_000
 #: Words of the model, at most, and labelled rows that a word must occur in.
 MAX_WORDS, MIN_ROWS = 1_000, 12
 THRESHOLD = 0.7
+#: Weight of the counterfactual penalty against the log loss.
+FAIRNESS = 20.0
 STEMS = (5, 6, 7)
 # fixed values: identity terms that are exchanged with each other
 IDENTITY_GROUPS = (
@@ -56,7 +58,7 @@ class ToxicityModel:
         return float(1 / (1 + np.exp(-np.clip(z, -50, 50))))
 
 
-def fit_weights(x: np.ndarray, y: np.ndarray, swaps: list[tuple[int, int, int]], l2: float = 4e-5, fairness: float = 1.0, rounds: int = 300) -> tuple[np.ndarray, float]:
+def fit_weights(x: np.ndarray, y: np.ndarray, swaps: list[tuple[int, int, int]], l2: float = 4e-5, fairness: float = FAIRNESS, rounds: int = 300) -> tuple[np.ndarray, float]:
     """Weights (0 or more) and bias by Adam on log loss + l2 + fairness x the mean squared change of score over swaps.
 
     x: rows by words, 0 or 1. swaps: (row, word that is there, word put in its place).
@@ -91,13 +93,13 @@ def fit_weights(x: np.ndarray, y: np.ndarray, swaps: list[tuple[int, int, int]],
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     """Learns from labels of rows whose crc32(doc_id as text) mod 3 is not 1.
 
-    Null labels and ids are left out; of several labels of one id the greatest counts. Without labelled rows the model is
+    Null labels and ids are left out; of several labels of one id the greatest counts, of several texts the least. Without labelled rows the model is
     a bias of even odds. What reaches the driver: at most MAX_WORDS words and MAX_FIT_ROWS rows of their numbers.
     """
     own = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic is not null and toxic in (0, 1)")
     own = own.filter(remainder("doc_id", 3) != 1).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     some = own.withColumn("draw", F.xxhash64("doc_id", F.lit(17))).orderBy("draw", "doc_id").limit(MAX_FIT_ROWS).drop("draw")
-    texts = keyed_texts(docs).join(F.broadcast(some), "doc_id")
+    texts = keyed_texts(docs).join(F.broadcast(some), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("doc_id", "text", "toxic")
 
     def bag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,7 +122,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([sorted(map(number.__getitem__, words_of(x.as_py()).intersection(number))) for x in batch.column(1)], pa.list_(pa.int32())), batch.column(2)], names=["at", "toxic"])
 
-    sampled = texts.mapInArrow(numbers, "at array<int>, toxic int").limit(MAX_FIT_ROWS).toArrow()
+    sampled = texts.mapInArrow(numbers, "at array<int>, toxic int").toArrow()
     x, y = np.zeros((len(sampled), len(number)), np.float32), np.array(sampled.column(1).to_pylist(), np.float32)
     order = np.lexsort([[hash(tuple(a)) for a in sampled.column(0).to_pylist()], y]) if len(sampled) else []
     rows = [sampled.column(0)[int(i)].as_py() for i in order]

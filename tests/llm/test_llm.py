@@ -561,6 +561,7 @@ def test_identity_terms_are_even_after_fit(spark):
     assert not any(w.startswith(t[:5]) and w.endswith("-") for t in group if len(t) >= 5 for w in model.weights)
     neutral = {t: model.score(f"the {t} family walked by the river") for t in group}
     assert max(neutral.values()) < toxicity.THRESHOLD  # though all labelled rows that hold it are toxic
+    assert max(neutral.values()) - min(neutral.values()) < 0.05
     assert model.score("a vileword by the river") >= toxicity.THRESHOLD
 
 
