@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .common import documents, quoted
-from .near_copies import columns_of, linked, sketched
+from .near_copies import linked, sketched
 
 #: Leading tokens on the path, at least; their share of longer lines.
 DEPTH, SHARE = 8, 0.6
@@ -80,9 +80,9 @@ def _salted(lines: DataFrame, often: DataFrame, key: str) -> DataFrame:
     return lines.withColumn("salt", F.pmod("k", F.lit(SALTS)).cast("int")).join(every, [key, "salt"])
 
 
-def _whole_lines(texts: DataFrame, roots: DataFrame) -> DataFrame:
-    """(k, l, names): names of the long and short lines that go from each document; texts: k, l, id, node, text."""
-    lines = _named_lines(texts, whole, "line bigint, long boolean")
+def _whole_lines(texts: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """(k, l, names): names of the long and short lines that go from each document; texts: k, l, id, text; nodes: k, l, node."""
+    lines = _named_lines(texts, whole, "line bigint, long boolean").join(nodes, ["k", "l"])
     lines = lines.join(roots, "node", "left").withColumn("group", F.coalesce("root", "node")).drop("node", "root")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "k", "l", "group"))
     per = lines.groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.min("group").alias("a"), F.max("group").alias("b"), F.first("long").alias("long"), first.alias("first"))
@@ -92,16 +92,22 @@ def _whole_lines(texts: DataFrame, roots: DataFrame) -> DataFrame:
     return later.groupBy("k", "l").agg(F.collect_set("line").alias("names"))
 
 
-def _without_templates(own: DataFrame, min_docs: int = MIN_DOCS, roots: DataFrame | None = None) -> DataFrame:
-    """(row, text, n_lines, n_dropped) from (row, id, text), and node if roots are given."""
-    text, more = F.coalesce("text", F.lit("")), ["node"] if roots is not None else []
-    own = own.select("row", "text", "id", *more, F.xxhash64("id", text).alias("k"), F.xxhash64(F.lit(1), "id", text).alias("l"))
+def _keyed(docs: DataFrame, kept: list[str], id_col: str, text_col: str) -> DataFrame:
+    """(row, id, text, k, l): the kept columns but the text as one struct, so that no name clashes; k and l name id and text."""
+    rest, text = [F.col(quoted(c)) for c in kept if c != text_col], F.coalesce(F.col(quoted(text_col)), F.lit(""))
+    own = F.col(quoted(id_col))
+    return docs.select(F.struct(*rest).alias("row"), own.alias("id"), F.col(quoted(text_col)).alias("text"), F.xxhash64(own, text).alias("k"), F.xxhash64(F.lit(1), own, text).alias("l"))
+
+
+def _without_templates(own: DataFrame, min_docs: int = MIN_DOCS, nodes: DataFrame | None = None, roots: DataFrame | None = None) -> DataFrame:
+    """(row, text, n_lines, n_dropped) from what _keyed gives; nodes (k, l, node) and roots: near copies."""
+    text, more = F.coalesce("text", F.lit("")), roots is not None
     lines = _named_lines(own.select("k", "l", "id", text.alias("text")), lambda line: None if (t := template(line)) is None else (t,), "template bigint")
     often = lines.groupBy("template").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "k", "l")).alias("first")).filter(F.col("n") >= min_docs)
     later = _salted(lines, often.select("template", F.col("first.k").alias("fk"), F.col("first.l").alias("fl")), "template").filter("k != fk or l != fl")
     dropped = later.groupBy("k", "l").agg(F.collect_set("template").alias("names"))
     if roots is not None:
-        dropped = dropped.unionByName(_whole_lines(own.select("k", "l", "id", "node", text.alias("text")), roots))
+        dropped = dropped.unionByName(_whole_lines(own.select("k", "l", "id", text.alias("text")), nodes, roots))
         dropped = dropped.groupBy("k", "l").agg(F.flatten(F.collect_list("names")).alias("names"))
     both = own.join(dropped, ["k", "l"], "left").select("row", "text", "names")
 
@@ -131,8 +137,7 @@ def drop_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     with no line left; an empty table stays empty.
     """
     kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    rest = [F.col(quoted(c)) for c in kept if c != text_col]
-    done = _without_templates(docs.select(F.struct(*rest).alias("row"), F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).alias("text")), min_docs)
+    done = _without_templates(_keyed(docs, kept, id_col, text_col), min_docs)
     return done.select(*(F.col("text").alias(c) if c == text_col else F.col(f"row.{quoted(c)}").alias(c) for c in kept), "n_lines", "n_dropped")
 
 
@@ -143,9 +148,12 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     document and goes from the others, so that near copies stay alike. Nulls, ties, repeated rows, clashing names and
     empty tables: as in drop_templates.
     """
-    own = sketched(docs, text_col)
-    done = _without_templates(own.select("row", "text", "node", F.col(f"row.{quoted(id_col)}").alias("id")), roots=linked(own))
-    return columns_of(done, docs.columns, text_col)
+    own = _keyed(docs, docs.columns, id_col, text_col)
+    texts = own.select(F.col("k").alias("h"), "l", "id", F.coalesce("text", F.lit("")).alias("text"))
+    sketch = sketched(texts)
+    nodes = sketch.select(F.col("h").alias("k"), "l", "node").distinct()
+    done = _without_templates(own, nodes=nodes, roots=linked(sketch, texts))
+    return done.select(*(F.col("text").alias(c) if c == text_col else F.col(f"row.{quoted(c)}").alias(c) for c in docs.columns))
 
 
 def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ A text is its set of five-word shingles. Its sketch is 36 min-hashes, each equal
 Jaccard similarity, in six fingerprints of six. Each fingerprint emits six keys, with one of its min-hashes left out, so texts
 meet in a key if at most one of the six differs (radius 1): at similarity s in 1 - (1 - s^6 - 6 (1 - s) s^5)^6 of pairs, 0.998
 at 0.8 and 0.9999 at 0.85. Pairs that meet are linked if the Jaccard similarity of their sets (64-bit hashes of shingles) is
-0.8 or more. Small buckets pass on all pairs. Large ones first pass on a star; only those that its links leave apart are
+0.8 or more. Buckets of two pass on their pair. Larger ones first pass on a star; only those that its links leave apart are
 searched again, whole, by rarest shingles (prefix filter), which finds every pair of the bucket between parts not yet linked.
 """
 
@@ -17,7 +17,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructType
 
 from .common import cut, quoted, spare
 from .components import components
@@ -26,7 +25,7 @@ SHINGLE = 5
 #: Fingerprints of a text, and min-hashes of each.
 FINGERPRINTS, WIDTH = 6, 6
 #: Buckets up to this size pass on all their pairs.
-DIRECT = 32
+DIRECT = 2
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _HALF = np.uint64(32)
 _rng = np.random.default_rng(42)
@@ -72,17 +71,13 @@ def alike(a: int, b: int, both: int) -> bool:
     return 5 * both >= 4 * (a + b - both)
 
 
-#: Columns of a sketch.
-_SKETCH = ("node", "keys")
-
-
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """node: a hash of the set; keys; the columns of the batch, whose last is the text."""
+    """The columns of the batch but the last, the text, and node, a hash of its set, and keys."""
     for batch in batches:
         sets = [shingles(x.as_py()) for x in batch.column(batch.num_columns - 1)]
         node = pa.array([xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63) for s in sets], pa.int64())
         keys = pa.array([ball(s) for s in sets], pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], node, keys], names=[*batch.schema.names[:-1], *_SKETCH])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], node, keys], names=[*batch.schema.names[:-1], "node", "keys"])
 
 
 def _pairs_of(keys: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
@@ -178,14 +173,15 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(held)
 
 
-def linked(own: DataFrame) -> DataFrame:
-    """(node, root) of the texts that are linked to another; own: node, keys, text, of which rows may repeat."""
+def linked(own: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, root) of the texts that are linked to another. own: h, l, node, keys (see sketched); texts: h, l, text of the same
+    rows, of which only those move whose node meets another."""
     keyed = own.select("node", "keys").dropDuplicates(["node"]).select(F.explode("keys").alias("key"), "node")
     met = cut(keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_pairs, "u bigint, v bigint, key bigint"))
     pairs = met.select("u", "v").distinct()
     nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-    texts = own.select("node", "text").join(nodes, "node", "left_semi").dropDuplicates(["node"])
-    sets = cut(texts.mapInArrow(_sets, "node bigint, own binary"))
+    chosen = own.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("h", "l")).alias("c")).select("node", F.col("c.h").alias("h"), F.col("c.l").alias("l"))
+    sets = cut(texts.select("h", "l", "text").join(chosen, ["h", "l"]).select("node", "text").mapInArrow(_sets, "node bigint, own binary").dropDuplicates(["node"]))
     side = lambda x: sets.select(F.col("node").alias(x), F.col("own").alias(f"of_{x}"))
     links = cut(pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "of_u", "of_v").mapInArrow(_verify, "u bigint, v bigint"))
     roots = components(links)
@@ -195,23 +191,18 @@ def linked(own: DataFrame) -> DataFrame:
     apart = members.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("key")
     if apart.isEmpty():
         return roots
-    again = members.join(apart, "key", "left_semi").join(sets, "node").select("key", "node", "root", "own")
+    # keys that meet in the same nodes are searched once
+    whole = members.join(apart, "key", "left_semi")
+    alike = whole.groupBy("key").agg(F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("a"), F.sum(F.xxhash64("node", F.lit(1)).cast("decimal(38,0)")).alias("b")).groupBy("a", "b").agg(F.min("key").alias("key")).select("key")
+    again = whole.join(alike, "key", "left_semi").join(sets, "node").select("key", "node", "root", "own")
     more = again.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_across, "u bigint, v bigint")
     return components(links.unionByName(more))
 
 
-def sketched(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(row, text, node, keys), a checkpoint: all columns of docs but the text as one struct, so that no name clashes; node is
-    a hash of the text's set of shingles (null, empty and wordless texts: the empty set), keys what it is found by."""
-    rest = [F.col(quoted(c)) for c in docs.columns if c != text_col]
-    text = F.col(quoted(text_col))
-    own = docs.select(F.struct(*rest, F.lit(0).alias(spare(docs.columns, "_none")[0])).alias("row"), text.alias("text"), text.alias("own"))
-    return cut(own.mapInArrow(_sketch, StructType([own.schema["row"], own.schema["text"]]).add("node", "long").add("keys", ArrayType(LongType()))))
-
-
-def columns_of(own: DataFrame, columns: list[str], text_col: str = "text") -> DataFrame:
-    """The columns of docs again, from a sketch of docs."""
-    return own.select(*(F.col("text").alias(c) if c == text_col else F.col(f"row.{quoted(c)}").alias(c) for c in columns))
+def sketched(texts: DataFrame) -> DataFrame:
+    """(h, l, id, node, keys), a checkpoint without the texts. texts: h, l, id, text; h and l name a row's content."""
+    rows = texts.select("h", "l", "id", "text")
+    return cut(rows.mapInArrow(_sketch, f"h bigint, l bigint, id {rows.schema['id'].dataType.simpleString()}, node bigint, keys array<bigint>"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -221,9 +212,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     empty and wordless texts are copies of each other; rows alike in all columns are one; an empty table stays empty, and
     columns of any name stay as they are.
     """
-    own = sketched(docs, text_col)
-    roots = linked(own)
-    named = own.select("node", F.col(f"row.{quoted(id_col)}").alias("id"), F.xxhash64("row", "text").alias("h"), F.xxhash64(F.lit(1), "row", "text").alias("l")).join(roots, "node", "left")
-    best = named.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h", "l")).alias("b")).select("b.h", "b.l")
-    kept = own.select("row", "text", F.xxhash64("row", "text").alias("h"), F.xxhash64(F.lit(1), "row", "text").alias("l")).join(best, ["h", "l"], "left_semi")
-    return columns_of(kept.dropDuplicates(["h", "l"]), docs.columns, text_col)
+    every = [F.col(quoted(c)) for c in docs.columns]
+    h, l = spare(docs.columns, "_h", "_l")  # noqa: E741
+    rows = docs.withColumns({h: F.xxhash64(*every), l: F.xxhash64(F.lit(1), *every)})
+    texts = rows.select(F.col(h).alias("h"), F.col(l).alias("l"), F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).alias("text"))
+    own = sketched(texts)
+    named = own.select("node", "id", "h", "l").join(linked(own, texts), "node", "left")
+    best = named.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h", "l")).alias("b"))
+    kept = rows.join(best.select(F.col("b.h").alias(h), F.col("b.l").alias(l)), [h, l], "left_semi")
+    return kept.dropDuplicates([h, l]).drop(h, l)
