@@ -22,7 +22,7 @@ def add_bh(df: DataFrame, p: str, out: str = "q", by: Sequence[str] = (), count_
     n = F.count(F.lit(1)).over(every) if count_nulls else F.count(p).over(every)
     rank = F.row_number().over(every.orderBy(F.col(p).asc_nulls_last()))
     raw = df.withColumn("_bh", F.when(F.col(p).isNotNull(), F.col(p) * n / rank))
-    down = every.orderBy(F.col(p).desc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    down = every.orderBy(F.col(p).desc_nulls_first()).rangeBetween(Window.unboundedPreceding, Window.currentRow)  # ties together
     return raw.withColumn(out, F.when(F.col(p).isNotNull(), F.least(F.lit(1.0), F.min("_bh").over(down)))).drop("_bh")
 
 
@@ -64,11 +64,3 @@ def spearman(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame
     both = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
     ranked = both.withColumn("_x", average_rank(x, by)).withColumn("_y", average_rank(y, by))
     return ranked.groupBy(*by).agg(F.corr("_x", "_y").alias("rho"), F.count(F.lit(1)).alias("n"))
-
-
-def poisson_above(k: Column, mean: Column) -> Column:
-    """P(X > k) for a Poisson variable: 1 minus the sum of its first k + 1 terms."""
-    start = F.struct(F.exp(-mean).alias("term"), F.exp(-mean).alias("total"))
-    step = lambda s, i: F.struct((s["term"] * mean / i).alias("term"), (s["total"] + s["term"] * mean / i).alias("total"))
-    below = F.when(k < 1, F.exp(-mean)).otherwise(F.aggregate(F.sequence(F.lit(1), F.greatest(k, F.lit(1)).cast("int")), start, step)["total"])
-    return F.when(k < 0, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), 1 - below))

@@ -16,13 +16,24 @@ def _past(by: Sequence[str]) -> Window:
     return Window.partitionBy(*by).orderBy(START, END).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def merge_intervals(df: DataFrame, by: Sequence[str] = (CHR,), gap: int = 0) -> DataFrame:
-    """Union of intervals per group; those at most `gap` apart are joined (-1: touching ones stay apart). `n` counts the parts."""
-    reach = F.max(END).over(_past(by))
-    new = F.when(reach.isNull() | (F.col(START) > reach + gap), 1).otherwise(0)
-    island = F.sum("_new").over(Window.partitionBy(*by).orderBy(START, END).rowsBetween(Window.unboundedPreceding, 0))
-    runs = df.select(*by, START, END).withColumn("_new", new).withColumn("_island", island)
-    return runs.groupBy(*by, "_island").agg(F.min(START).alias(START), F.max(END).alias(END), F.count(F.lit(1)).alias("n")).drop("_island")
+def merge_intervals(df: DataFrame, by: Sequence[str] = (CHR,), gap: int = 0, width: int | None = None) -> DataFrame:
+    """Union of intervals per group; those at most `gap` apart are joined (-1: touching ones stay apart). `n` counts the parts.
+
+    With a width, intervals are first merged within bins of their starts, in as many tasks as there are bins, so that the
+    pass over whole groups sees islands only.
+    """
+
+    def islands(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(START, END)
+        reach = F.max(END).over(w.rowsBetween(Window.unboundedPreceding, -1))
+        new = F.when(reach.isNull() | (F.col(START) > reach + gap), 1).otherwise(0)
+        runs = rows.withColumn("_new", new).withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        return runs.groupBy(*keys, "_island").agg(F.min(START).alias(START), F.max(END).alias(END), F.sum("n").alias("n")).drop("_island")
+
+    rows = df.select(*by, START, END, F.lit(1).cast("bigint").alias("n"))
+    if width:
+        rows = islands(rows.withColumn("_bin", F.floor(F.col(START) / width)), (*by, "_bin")).drop("_bin")
+    return islands(rows, by)
 
 
 def disjoin(df: DataFrame, by: Sequence[str] = (CHR,)) -> DataFrame:
@@ -68,21 +79,23 @@ def overlap_join(left: DataFrame, right: DataFrame, width: int, by: Sequence[str
     return left.join(hit, "_id", how).drop("_id")
 
 
-def asof_region(points: DataFrame, regions: DataFrame, pos: str, by: Sequence[str] = (CHR,)) -> DataFrame:
-    """points with r_start and r_end of the disjoint region that holds them (null: none): last start at or before, by a window."""
-    left = points.select(*points.columns, F.col(pos).alias("_p"), F.lit(1).alias("_side"), F.lit(None).cast("bigint").alias("_s"), F.lit(None).cast("bigint").alias("_e"))
-    right = regions.select(*by, F.col(START).alias("_p"), F.lit(0).alias("_side"), F.col(START).cast("bigint").alias("_s"), F.col(END).cast("bigint").alias("_e"))
-    w = Window.partitionBy(*by).orderBy("_p", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    both = left.unionByName(right, allowMissingColumns=True).withColumns({"r_start": F.last("_s", True).over(w), "r_end": F.last("_e", True).over(w)})
-    inside = F.col("_p") < F.col("r_end")
-    return both.filter("_side = 1").select(*points.columns, F.when(inside, F.col("r_start")).alias("r_start"), F.when(inside, F.col("r_end")).alias("r_end"))
+def asof_region(points: DataFrame, regions: DataFrame, pos: str, by: Sequence[str] = (CHR,), width: int = 10_000) -> DataFrame:
+    """points with r_start and r_end of the disjoint region that holds them (null: none).
+
+    Regions are dealt into bins, so this is an equi-join of a point with the regions of its bin; points stay one row each.
+    """
+    r = regions.select(*[F.col(c).alias(f"_{c}") for c in by], F.col(START).cast("bigint").alias("r_start"), F.col(END).cast("bigint").alias("r_end"))
+    r = r.withColumn("_rbin", F.explode(F.sequence(F.floor(F.col("r_start") / width), F.floor((F.col("r_end") - 1) / width))))
+    p = points.withColumn("_pbin", F.floor(F.col(pos) / width))
+    on = [p[c] == r[f"_{c}"] for c in by] + [p["_pbin"] == r["_rbin"], p[pos] >= r["r_start"], p[pos] < r["r_end"]]
+    return p.join(r, on, "left").select(*[p[c] for c in points.columns], "r_start", "r_end")
 
 
-def fragments_in_regions(fragments: DataFrame, regions: DataFrame, cell: str) -> DataFrame:
+def fragments_in_regions(fragments: DataFrame, regions: DataFrame, cell: str, width: int = 10_000) -> DataFrame:
     """(cell, n_fragments, n_in, fraction): a fragment counts once if either of its ends lies in a merged region."""
     merged = merge_intervals(regions)
-    first = asof_region(fragments, merged, START).withColumnRenamed("r_start", "_a").drop("r_end").withColumn("_last", F.col(END) - 1)
-    second = asof_region(first, merged, "_last")
+    first = asof_region(fragments, merged, START, width=width).withColumnRenamed("r_start", "_a").drop("r_end").withColumn("_last", F.col(END) - 1)
+    second = asof_region(first, merged, "_last", width=width)
     hit = F.col("_a").isNotNull() | F.col("r_start").isNotNull()
     return second.groupBy(cell).agg(F.count(F.lit(1)).alias("n_fragments"), F.count_if(hit).alias("n_in")).withColumn("fraction", F.col("n_in") / F.col("n_fragments"))
 
@@ -98,33 +111,33 @@ def tss(start: Column, end: Column, strand: Column) -> Column:
     return F.when(strand == "-", end - 1).otherwise(start)
 
 
-def band_pairs(peaks: DataFrame, genes: DataFrame, reach: int) -> DataFrame:
-    """Peaks whose centre lies within `reach` of a gene's TSS: signed distance along the strand, promoter and body flags, class.
+def band_pairs(peaks: DataFrame, genes: DataFrame, reach: int = 250_000, upstream: int = 1_500, downstream: int = 500, near: int = 10_000) -> DataFrame:
+    """Peaks whose centre lies within `reach` of a gene's TSS: distance (centre less TSS), promoter and body flags, class.
 
-    peaks: chr, start, end, peak; genes: chr, start, end, strand, gene. One row a pair.
+    A promoter peak overlaps the window from `upstream` before to `downstream` behind the TSS, along the strand; a body
+    peak overlaps the gene; the rest is proximal up to `near`, then distal. peaks: chr, start, end, peak; genes: chr, start,
+    end, strand, gene. One row a pair.
     """
     centre = F.floor((F.col(START) + F.col(END)) / 2)
     sites = genes.withColumn("tss", tss(F.col(START), F.col(END), F.col("strand")))
-    sites = sites.select(CHR, F.col("tss").alias(START), (F.col("tss") + 1).alias(END), "tss", F.col(START).alias("g_start"), F.col(END).alias("g_end"), "strand", "gene")
-    middles = peaks.select(CHR, centre.alias(START), (centre + 1).alias(END), centre.alias("centre"), "peak")
+    minus = F.col("strand") == "-"
+    sites = sites.select(CHR, F.col("tss").alias(START), (F.col("tss") + 1).alias(END), "tss", F.col(START).alias("g_start"), F.col(END).alias("g_end"), (F.col("tss") - F.when(minus, downstream).otherwise(upstream)).alias("p_start"), (F.col("tss") + F.when(minus, upstream).otherwise(downstream)).alias("p_last"), "gene")
+    middles = peaks.select(CHR, centre.alias(START), (centre + 1).alias(END), centre.alias("centre"), F.col(START).alias("a"), F.col(END).alias("b"), "peak")
     pairs = overlap_join(middles, sites, reach + 1, slack=reach)
-    along = (F.col("centre") - F.col("r_tss")) * F.when(F.col("r_strand") == "-", -1).otherwise(1)
-    body = (F.col("centre") >= F.col("r_g_start")) & (F.col("centre") < F.col("r_g_end"))
-    promoter = F.col("distance").between(-2, 1)
-    rows = pairs.select("chr", "peak", F.col("r_gene").alias("gene"), along.alias("distance"), body.alias("in_body")).withColumn("promoter", promoter)
-    kind = F.when(F.col("promoter"), "promoter").when(F.col("in_body"), "intragenic").otherwise("distal")
+    body = (F.col("b") > F.col("r_g_start")) & (F.col("a") < F.col("r_g_end"))
+    promoter = (F.col("b") > F.col("r_p_start")) & (F.col("a") <= F.col("r_p_last"))
+    rows = pairs.select("chr", "peak", F.col("r_gene").alias("gene"), (F.col("centre") - F.col("r_tss")).alias("distance"), body.alias("in_body"), promoter.alias("promoter"))
+    kind = F.when(F.col("promoter"), "self_promoter").when(F.col("in_body"), "target_gene_body").when(F.abs("distance") <= near, "proximal_nonpromoter").otherwise("distal")
     return rows.withColumn("link_class", kind).distinct()
 
 
-def remove_overlaps(df: DataFrame, score: str, name: str, by: Sequence[str] = (CHR,)) -> DataFrame:
+def remove_overlaps(df: DataFrame, score: str, name: str, by: Sequence[str] = (CHR,), width: int = 1_000_000) -> DataFrame:
     """Greedy removal: of each cluster of overlapping intervals the best score stays (ties: name), what overlaps it goes, and
     again with the rest. One sweep an island from its best interval on; the state is what stays of the island."""
-    reach = F.max(END).over(_past(by))
-    new = F.when(reach.isNull() | (F.col(START) >= reach), 1).otherwise(0)
-    island = F.sum("_new").over(Window.partitionBy(*by).orderBy(START, END).rowsBetween(Window.unboundedPreceding, 0))
-    best = Window.partitionBy(*by, "_island").orderBy(F.col(score).desc(), name)
-    ranked = df.withColumn("_new", new).withColumn("_island", island).withColumn("_rank", F.row_number().over(best))
-    rows = ranked.repartition(*by, "_island").sortWithinPartitions(*by, "_island", "_rank").select(*df.columns, F.col(START).alias("_s"), F.col(END).alias("_e"), "_rank")
+    island = asof_region(df, merge_intervals(df, by, -1, width), START, by, width)
+    best = Window.partitionBy(*by, "r_start").orderBy(F.col(score).desc(), name)
+    ranked = island.withColumn("_rank", F.row_number().over(best))
+    rows = ranked.repartition(*by, "r_start").sortWithinPartitions(*by, "r_start", "_rank").select(*df.columns, F.col(START).alias("_s"), F.col(END).alias("_e"), "_rank")
 
     columns = df.columns
 
@@ -154,14 +167,20 @@ def binned_coverage(fragments: DataFrame, group: str, width: int) -> DataFrame:
     return tiles.withColumn("rpm", F.col("n") * 1e6 / F.sum("n").over(Window.partitionBy(group)))
 
 
-def pairwise_overlap(df: DataFrame, owner: str) -> DataFrame:
+def pairwise_overlap(df: DataFrame, owner: str, width: int = 10_000) -> DataFrame:
     """Shared bases, Jaccard and overlap coefficient of every two owners' merged intervals that share a piece (owners: few)."""
     own = merge_intervals(df, (owner, CHR)).select(owner, CHR, START, END)
-    cuts = disjoin(own.drop(owner)).select(CHR, F.col(START).alias("r_start"), F.col(END).alias("r_end"))
-    pieces = own.join(cuts, CHR).filter((F.col(START) <= F.col("r_start")) & (F.col("r_end") <= F.col(END)))
+    pieces = overlap_join(own, disjoin(own.drop(owner)).select(CHR, START, END), width)
     held = pieces.groupBy(CHR, "r_start", "r_end").agg(F.sort_array(F.collect_set(owner)).alias("owners"))
     pair = held.select((F.col("r_end") - F.col("r_start")).alias("w"), F.explode("owners").alias("a"), "owners").select("w", "a", F.explode("owners").alias("b")).filter("a < b")
     size = own.groupBy(owner).agg(F.sum(F.col(END) - F.col(START)).alias("size"))
     sizes = lambda x: F.broadcast(size.select(F.col(owner).alias(x), F.col("size").alias(f"size_{x}")))
     shared = pair.groupBy("a", "b").agg(F.sum("w").cast("bigint").alias("shared")).join(sizes("a"), "a").join(sizes("b"), "b")
     return shared.select("a", "b", "shared", (F.col("shared") / (F.col("size_a") + F.col("size_b") - F.col("shared"))).alias("jaccard"), (F.col("shared") / F.least("size_a", "size_b")).alias("coefficient"))
+
+
+def link_coverage(fragments: DataFrame, windows: DataFrame, name: str, group: str, width: int) -> DataFrame:
+    """(name, bin, n): cut sites of each window's own group, by bins of the window; all windows in one pass."""
+    sites = fragments.select(group, CHR, F.explode(F.array(F.col(START), F.col(END) - 1)).alias(START)).withColumn(END, F.col(START) + 1)
+    pairs = overlap_join(sites, windows, 64, by=(CHR, group))
+    return pairs.groupBy(F.col(f"r_{name}").alias(name), F.floor((F.col(START) - F.col("r_start")) / width).alias("bin")).agg(F.count(F.lit(1)).alias("n"))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.tails import poisson_above
 from .intervals import merge_intervals, overlap_join
 
 
@@ -90,8 +91,9 @@ def top_two(df: DataFrame, by: str, label: str, value: str) -> DataFrame:
     return ranked.groupBy(by).agg(at(label, 1).alias("first"), at(value, 1).alias("first_value"), at(label, 2).alias("second"), at(value, 2).alias("second_value"))
 
 
-def drop_crowded(loci: DataFrame, cell: str, most: int) -> DataFrame:
-    """Loci outside merged regions that more than `most` loci of different cells share."""
-    merged = merge_intervals(loci).select("chr", "start", "end")
-    owned = overlap_join(loci, merged, 64).groupBy("chr", F.col("r_start").alias("start"), F.col("r_end").alias("end")).agg(F.countDistinct(cell).alias("n"))
-    return overlap_join(loci, owned.filter(F.col("n") > most).select("chr", "start", "end"), 64, how="left_anti")
+def drop_crowded(loci: DataFrame, least_p: float = 0.01, width: int = 10_000) -> DataFrame:
+    """Loci outside merged regions that more loci share than chance has it: Poisson upper tail at the mean over all regions."""
+    merged = merge_intervals(loci)
+    mean = merged.agg(F.avg("n").alias("mean"))
+    crowded = merged.join(F.broadcast(mean)).filter(poisson_above(F.col("n"), F.col("mean")) < least_p)
+    return overlap_join(loci, crowded.select("chr", "start", "end"), width, how="left_anti")

@@ -64,10 +64,13 @@ def residual_variance(counts: DataFrame, theta: float = 100.0) -> DataFrame:
     mu = F.col("f_total") * F.col("total") / F.col("grand")
     clip = F.sqrt("n")
     z = lambda x: F.greatest(-clip, F.least(clip, (x - mu) / F.sqrt(mu + mu * mu / theta)))
-    # as if all were zeros, over an array of the distinct totals
-    listed = margins.agg(F.collect_list(F.struct("total", "m")).alias("margins"))
-    grid = feats.join(F.broadcast(whole)).join(F.broadcast(listed)).select("feature", "f_total", "grand", "n", F.inline("margins"))
-    zeros = grid.withColumn("z", z(F.lit(0.0))).groupBy("feature").agg(F.sum(F.col("m") * F.col("z")).alias("s"), F.sum(F.col("m") * F.col("z") * F.col("z")).alias("ss"), F.first("n").alias("n"))
+    # as if all were zeros, folded over an array of the distinct totals, so that no row a pair is made
+    listed = margins.agg(F.collect_list(F.struct(F.col("total").cast("double").alias("t"), F.col("m").cast("double").alias("m"))).alias("margins"))
+    grid = feats.join(F.broadcast(whole)).join(F.broadcast(listed))
+    zero = lambda t: F.greatest(-clip, -(F.col("f_total") * t / F.col("grand")) / F.sqrt(F.col("f_total") * t / F.col("grand") * (1 + F.col("f_total") * t / F.col("grand") / theta)))
+    start = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("ss"))
+    fold = F.aggregate(F.transform("margins", lambda x: F.struct(x["m"].alias("m"), zero(x["t"]).alias("z"))), start, lambda a, x: F.struct((a["s"] + x["m"] * x["z"]).alias("s"), (a["ss"] + x["m"] * x["z"] * x["z"]).alias("ss")))
+    zeros = grid.withColumn("fold", fold).select("feature", "n", "fold.s", "fold.ss")
     seen = counts.join(cells, "cell").join(feats, "feature").join(F.broadcast(whole))
     extra = seen.groupBy("feature").agg(F.sum(z(F.col("count")) - z(F.lit(0.0))).alias("ds"), F.sum(z(F.col("count")) * z(F.col("count")) - z(F.lit(0.0)) * z(F.lit(0.0))).alias("dss"))
     s, ss = F.col("s") + F.col("ds"), F.col("ss") + F.col("dss")

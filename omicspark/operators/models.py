@@ -6,12 +6,13 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from ..functions.ranks import add_bh
-from ..functions.tails import t_two_sided
+from ..functions.tails import digamma, inverse_trigamma, t_two_sided, trigamma
+from .loops import tiled
 
 
 @F.pandas_udf(DoubleType())
@@ -31,18 +32,22 @@ def simple_regression(df: DataFrame, by: Sequence[str], y: str, x: str) -> DataF
 
 
 def moderate(fits: DataFrame) -> DataFrame:
-    """fits with the t of a shrunken variance, its p and BH q; prior variance and weight are the moments of log variances.
+    """fits with the t of a shrunken variance, its p and BH q. The prior variance and its degrees of freedom fit the mean and
+    spread of the log variances, with digamma and trigamma terms; where they spread no more than chance, the prior alone counts.
 
-    The prior is two numbers over all features, joined as one row.
+    The prior is a row over all features; total degrees of freedom are no more than those of all features together.
     """
-    logs = fits.filter("s2 > 0 and df > 0")
-    z = F.log("s2") - F.log(F.col("df") / 2.0) * 0  # centred below by the mean, so digamma terms cancel when df are alike
-    prior = logs.agg(F.avg(z).alias("m"), F.coalesce(F.var_samp(z), F.lit(0.0)).alias("v"), F.avg(F.lit(2.0) / F.col("df")).alias("own"))
-    prior = prior.select(F.exp("m").alias("s0"), F.when(F.col("v") > F.col("own"), 2.0 / (F.col("v") - F.col("own"))).otherwise(F.lit(1e6)).alias("d0"))
+    logs = fits.filter("s2 > 0 and df > 0").withColumn("h", F.col("df") / 2.0)
+    e = F.log("s2") - digamma(F.col("h")) + F.log("h")
+    prior = logs.agg(F.avg(e).alias("m"), (F.coalesce(F.var_samp(e), F.lit(0.0)) - F.avg(trigamma(F.col("h")))).alias("v"), F.sum("df").alias("pooled"))
+    prior = prior.withColumn("d0", F.when(F.col("v") > 0, 2 * inverse_trigamma(F.when(F.col("v") > 0, F.col("v")).otherwise(F.lit(1.0)))).otherwise(F.lit(float("inf"))))
+    finite = F.col("d0") < float("inf")
+    half = F.when(finite, F.col("d0") / 2).otherwise(F.lit(1.0))
+    prior = prior.select("d0", "pooled", F.exp(F.col("m") + F.when(finite, digamma(half) - F.log(half)).otherwise(F.lit(0.0))).alias("s0"))
     rows = fits.join(F.broadcast(prior))
-    s2 = (F.col("d0") * F.col("s0") + F.col("df") * F.col("s2")) / (F.col("d0") + F.col("df"))
-    rows = rows.withColumn("moderated_t", F.col("slope") / (F.col("se") * F.sqrt(s2 / F.col("s2")))).withColumn("total_df", F.col("d0") + F.col("df"))
-    return add_bh(rows.withColumn("p", t_tail("moderated_t", "total_df")), "p", "q").drop("s0", "d0")
+    s2 = F.when(F.col("d0") < float("inf"), (F.col("d0") * F.col("s0") + F.col("df") * F.col("s2")) / (F.col("d0") + F.col("df"))).otherwise(F.col("s0"))
+    rows = rows.withColumn("moderated_t", F.col("slope") / (F.col("se") * F.sqrt(s2 / F.col("s2")))).withColumn("total_df", F.least(F.col("d0") + F.col("df"), F.col("pooled").cast("double")))
+    return add_bh(rows.withColumn("p", t_tail("moderated_t", "total_df")), "p", "q").drop("s0", "d0", "pooled")
 
 
 def fit_features(df: DataFrame, feature: str, y: str, design: Callable[[pd.DataFrame], np.ndarray], contrast: Sequence[float], weights: str | None = None) -> DataFrame:
@@ -81,7 +86,7 @@ def set_test(stats: DataFrame, sets: DataFrame, correlation: float = 0.01) -> Da
 
 def block_crossproducts(df: DataFrame, order: Sequence[str], y: str, x: Sequence[str], n_blocks: int) -> DataFrame:
     """(block, i, j, value): cross-products of the predictors (with intercept, numbered from 0) and of them with y (j = -1)."""
-    rows = df.withColumn("block", F.ntile(n_blocks).over(Window.orderBy(*order)))
+    rows = tiled(df, order, n_blocks, "block")
     terms = [F.lit(1.0), *map(F.col, x)]
     wide = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), (a * (F.col(y) if j < 0 else terms[j])).cast("double").alias("value")) for i, a in enumerate(terms) for j in (-1, *range(len(terms)))]
     return rows.select("block", F.inline(F.array(*wide))).groupBy("block", "i", "j").agg(F.sum("value").alias("value"))

@@ -88,25 +88,23 @@ def communities(edges: DataFrame, rounds: int = 1_000, resolution: float = 1.0)
     """(node, community) by synchronous modularity moves: a node joins the neighbouring community of greatest gain, ties to the
     least name; nodes take turns by a hash bit, so that two don't swap. Symmetric edges are expected.
 
-    Ends after four turns without a move; raises if there are none in so many rounds."""
+    Ends when no node would move, whether or not it has its turn; raises if that isn't so in so many rounds."""
     edges = cut(edges)
     degree = cut(edges.groupBy(F.col("src").alias("node")).agg(F.sum("weight").alias("d")))
     total = degree.agg(F.sum("d")).first()[0] or 1.0
     now = cut(degree.select("node", F.col("node").alias("community")))
-    still = 0
     for turn in range(rounds):
         size = now.join(degree, "node").groupBy("community").agg(F.sum("d").alias("k"))
         links = edges.join(now.select(F.col("node").alias("dst"), "community"), "dst").groupBy(F.col("src").alias("node"), "community").agg(F.sum("weight").alias("w"))
         gain = F.col("w") - resolution * F.col("d") * (F.col("k") - F.when(F.col("community") == F.col("old"), F.col("d")).otherwise(0.0)) / total
         scored = links.join(size, "community").join(degree, "node").join(now.select("node", F.col("community").alias("old")), "node").withColumn("gain", F.round(gain, 9))
         best = scored.groupBy("node").agg(F.max(F.struct("gain", (-F.col("community")).alias("c"))).alias("b"), F.max(F.when(F.col("community") == F.col("old"), F.col("gain"))).alias("stay"))
-        moves = (F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(2)) == 0) & (F.col("b.gain") > F.coalesce("stay", F.lit(0.0)))
-        new = cut(now.join(best, "node", "left").select("node", F.when(moves, -F.col("b.c")).otherwise(F.col("community")).alias("community"), F.coalesce(moves, F.lit(False)).alias("moved")))
-        changed = new.agg(F.count_if("moved")).first()[0]
-        now = new.drop("moved")
-        still = 0 if changed else still + 1
-        if still == 4:  # every node has had its turn, nearly surely
-            return now
+        wants = F.coalesce(F.col("b.gain") > F.coalesce("stay", F.lit(0.0)), F.lit(False))
+        moves = wants & (F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(2)) == 0)
+        now = cut(now.join(best, "node", "left").select("node", F.when(moves, -F.col("b.c")).otherwise(F.col("community")).alias("community"), wants.alias("wants")))
+        if now.filter("wants").isEmpty():
+            return now.drop("wants")
+        now = now.drop("wants")
     raise RuntimeError(f"communities: nodes still move after {rounds} rounds")
 
 

@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ranks import poisson_above, share, top_n
+from ..functions.ranks import add_bh, share, top_n
+from ..functions.tails import poisson_above
+from .heritability import multinomial_weights
+from .loops import tiled
 from .tables import complete
 
 
@@ -67,37 +70,63 @@ def sidak_by(df: DataFrame, by: Sequence[str], p: str) -> DataFrame:
 
 def crossed_strata(df: DataFrame, values: Sequence[str], n: int, key: str) -> DataFrame:
     """df with `stratum`: the crossed ntiles of several values, ties by key."""
-    code = F.lit(0)
+    rows = df.withColumn("stratum", F.lit(0).cast("bigint"))
     for v in values:
-        code = code * n + F.ntile(n).over(Window.orderBy(v, key)) - 1
-    return df.withColumn("stratum", code.cast("bigint"))
-
-
-def background_pairs(genes: DataFrame, peaks: DataFrame, n: int, seed: int = 1) -> DataFrame:
-    """(gene, peak): up to n peaks of other chromosomes per gene, drawn by hash; each gene draws from one bucket of peaks, chosen
-    by hash, so no gene meets all peaks."""
-    buckets = 16
-    g = genes.select("gene", F.col("chr").alias("g_chr"), F.pmod(F.xxhash64("gene", F.lit(seed)), F.lit(buckets)).alias("b"))
-    p = peaks.select("peak", "chr", F.pmod(F.xxhash64("peak", F.lit(seed)), F.lit(buckets)).alias("b"))
-    pairs = g.join(p, "b").filter("g_chr <> chr").withColumn("draw", F.xxhash64("gene", "peak", F.lit(seed)))
-    return top_n(pairs, n, [F.col("draw"), F.col("peak")], ["gene"]).select("gene", "peak")
-
-
-def gene_tile_scores(tiles: DataFrame, genes: DataFrame, width: int, reach: int, cap: int = 4, scale: float = 1e4) -> DataFrame:
-    """(cell, gene, score): capped tile counts weighted by exp(-distance / 50) + exp(-1) around each gene, scaled per cell."""
-    spread = genes.select("chr", "gene", "start", "end", F.explode(F.sequence(F.floor((F.col("start") - reach) / width), F.floor((F.col("end") + reach) / width))).alias("tile"))
+        rows = tiled(rows, [v, key], n, "_t").withColumn("stratum", F.col("stratum") * n + F.col("_t") - 1).drop("_t")
+    return rows
+
+
+def background_pairs(genes: DataFrame, peaks: DataFrame, n: int, away: int = 10_000_000, seed: int = 1) -> DataFrame:
+    """(gene, peak): n hash-drawn peaks per gene (fewer if there are not so many), on other chromosomes or more than `away` from it.
+
+    Peaks are shuffled by a hash and numbered; each gene looks at as many draws of numbers as make n fitting ones all but
+    certain and keeps the first n, so work grows with genes x n, not with genes x peaks. Only where too few fit (fewer than
+    four times n peaks in all) does every gene meet every peak.
+    """
+    total = peaks.count()
+    g = genes.select("gene", F.col("chr").alias("g_chr"), F.col("start").alias("g_start"), F.col("end").alias("g_end"))
+    if total < 8 * n:
+        pairs = g.join(F.broadcast(peaks.select("peak", "chr", "start", "end"))).withColumn("draw", F.xxhash64("gene", "peak", F.lit(seed)))
+    else:
+        # numbers by range partitions of the hash: counts per bucket give each bucket's first number
+        hashed = peaks.select("peak", "chr", "start", "end", F.xxhash64("peak", F.lit(seed)).alias("h")).withColumn("bucket", F.shiftrightunsigned("h", 52))
+        before = hashed.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).withColumn("first", F.sum("k").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)))
+        numbered = hashed.join(F.broadcast(before), "bucket").withColumn("number", F.coalesce("first", F.lit(0)) + F.row_number().over(Window.partitionBy("bucket").orderBy("h", "peak")) - 1)
+        draws = g.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(4 * n + 20)))).withColumn("number", F.pmod(F.xxhash64("gene", "draw", F.lit(seed)), F.lit(total)))
+        pairs = draws.join(numbered, "number")
+    far = (F.col("g_chr") != F.col("chr")) | (F.col("start") - F.col("g_end") > away) | (F.col("g_start") - F.col("end") > away)
+    once = pairs.filter(far).groupBy("gene", "peak").agg(F.min("draw").alias("draw"))
+    return top_n(once, n, [F.col("draw"), F.col("peak")], ["gene"]).select("gene", "peak")
+
+
+def gene_windows(genes: DataFrame, least: int = 1_000, most: int = 100_000) -> DataFrame:
+    """genes with `left` and `right`: how far their surroundings reach, up to the neighbouring genes, within least and most."""
+    w = Window.partitionBy("chr").orderBy("start", "end", "gene")
+    before, after = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lead("start").over(w)
+    room = lambda gap: F.greatest(F.lit(least), F.least(F.lit(most), F.coalesce(gap, F.lit(most))))
+    return genes.withColumns({"left": F.col("start") - room(F.col("start") - before), "right": F.col("end") + room(after - F.col("end"))})
+
+
+def gene_tile_scores(tiles: DataFrame, genes: DataFrame, width: int = 500, decay: float = 5_000.0, least: int = 1_000, most: int = 100_000, cap: int = 4, scale: float = 1e4) -> DataFrame:
+    """(cell, gene, score): capped tile counts weighted by exp(-distance / decay) + exp(-1) around each gene, up to its neighbours,
+    scaled per cell."""
+    spread = gene_windows(genes, least, most).select("chr", "gene", "start", "end", F.explode(F.sequence(F.floor(F.col("left") / width), F.floor((F.col("right") - 1) / width))).alias("tile"))
     middle = F.col("tile") * width + width / 2
     away = F.greatest(F.col("start") - middle, middle - F.col("end"), F.lit(0.0))
-    weights = spread.select("chr", "gene", "tile", (F.exp(-away / 50) + F.exp(F.lit(-1.0))).alias("w"))
+    weights = spread.select("chr", "gene", "tile", (F.exp(-away / decay) + F.exp(F.lit(-1.0))).alias("w"))
     per = tiles.join(weights, ["chr", "tile"]).groupBy("cell", "gene").agg(F.sum(F.least(F.col("n"), F.lit(cap)) * F.col("w")).alias("s"))
     return per.select("cell", "gene", (F.col("s") * scale / F.sum("s").over(Window.partitionBy("cell"))).alias("score"))
 
 
-def tile_peaks(tiles: DataFrame, group: str, n_tiles: Column) -> DataFrame:
-    """Tiles with their Poisson upper tail under the group's mean per tile, and fold change over it."""
-    mean = F.sum("n").over(Window.partitionBy(group)) / n_tiles
-    rows = tiles.withColumn("mean", mean)
-    return rows.withColumns({"fold": F.col("n") / F.col("mean"), "p": poisson_above(F.col("n") - 1, F.col("mean"))})
+def tile_peaks(sites: DataFrame, group: str, width: int, effective: Column, shifts: int = 3) -> DataFrame:
+    """Overlapping tiles (each base in `shifts` of them) with their Poisson upper tail under the group's mean per tile, fold change
+    and BH q. sites: (group, chr, pos) cut sites; effective: how long the genome is."""
+    step = width // shifts
+    first = F.floor(F.col("pos") / step)
+    n = sites.select(group, "chr", F.explode(F.sequence(first - (shifts - 1), first)).alias("tile")).groupBy(group, "chr", "tile").agg(F.count(F.lit(1)).alias("n"))
+    totals = sites.groupBy(group).agg((F.count(F.lit(1)) * width / effective).alias("mean"))
+    rows = n.join(F.broadcast(totals), group).select(group, "chr", (F.col("tile") * step).alias("start"), (F.col("tile") * step + width).alias("end"), "n", "mean")
+    return add_bh(rows.withColumns({"fold": F.col("n") / F.col("mean"), "p": poisson_above(F.col("n") - 1, F.col("mean"))}), "p", "q", [group])
 
 
 def most_specific(df: DataFrame, group: str, value: str, key: str, share_of: float = 0.1) -> DataFrame:
@@ -108,17 +137,25 @@ def most_specific(df: DataFrame, group: str, value: str, key: str, share_of: flo
 
 
 def bootstrap_medians(df: DataFrame, by: Sequence[str], cluster: str, value: str, draws: int = 50, seed: int = 1) -> DataFrame:
-    """Median per group and its 95 % range over hash-drawn resamples of whole clusters (Poisson weights, cut at 6)."""
-    u = F.pmod(F.xxhash64(cluster, "draw", F.lit(seed)), F.lit(1_000_000)) / 1e6
-    times = F.lit(0)
-    for cumulative in (0.367879, 0.735759, 0.919699, 0.981012, 0.996340, 0.999406):  # Poisson(1)
-        times = times + F.when(u >= cumulative, 1).otherwise(0)
-    every = df.select(*by, cluster, value).withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws)))).withColumn("times", times).filter("times > 0")
+    """Median per group and its 95 % range over resamples of whole clusters: as many hash-drawn picks with replacement as there are
+    clusters."""
+    weights = multinomial_weights(df, cluster, draws, seed)
+    every = df.select(*by, cluster, value).join(weights, cluster)
     medians = every.groupBy(*by, "draw").agg(F.expr(f"percentile({value}, 0.5, times)").alias("m"))
     ranges = medians.groupBy(*by).agg(F.percentile("m", 0.025).alias("low"), F.percentile("m", 0.975).alias("high"))
     return df.groupBy(*by).agg(F.percentile(value, 0.5).alias("median")).join(ranges, list(by))
 
 
+def bootstrap_ratios(df: DataFrame, reference: str, key: str, cluster: str, value: str, draws: int = 50, seed: int = 1) -> DataFrame:
+    """(key, ratio, low, high): each key's median over that of the reference key, with its 95 % range over the same resamples."""
+    base = df.filter(F.col(key) == reference).agg(F.percentile(value, 0.5).alias("_r"))
+    weights = multinomial_weights(df, cluster, draws, seed)
+    per = df.select(key, cluster, value).join(weights, cluster).groupBy(key, "draw").agg(F.expr(f"percentile({value}, 0.5, times)").alias("m"))
+    drawn = per.join(per.filter(F.col(key) == reference).select("draw", F.col("m").alias("r")), "draw").filter("r <> 0").groupBy(key).agg(F.percentile(F.col("m") / F.col("r"), 0.025).alias("low"), F.percentile(F.col("m") / F.col("r"), 0.975).alias("high"))
+    own = df.groupBy(key).agg(F.percentile(value, 0.5).alias("m")).join(F.broadcast(base))
+    return own.select(key, (F.col("m") / F.col("_r")).alias("ratio")).join(drawn, key)
+
+
 def make_unique(df: DataFrame, name: str, order: str) -> DataFrame:
     """df with `unique`: repeats of a name, in order, get the suffixes .1, .2, ..."""
     n = F.row_number().over(Window.partitionBy(name).orderBy(order)) - 1

@@ -42,23 +42,26 @@ def graph_nearest(t):
     return edges(t).withColumns(r6("dist"))
 
 
-@query("graph_neighbour_means")
+_EDGES = f"(SELECT * FROM (SELECT q.id AS src, r.id AS dst, list_distance(q.v, r.v) AS dist, row_number() OVER (PARTITION BY q.id ORDER BY round(list_distance(q.v, r.v), 9), r.id) AS rank FROM (SELECT CAST({_ID} AS BIGINT) AS id, [CAST(x AS DOUBLE) FOR x IN embedding] AS v FROM embeddings) q CROSS JOIN (SELECT CAST({_ID} AS BIGINT) AS id, [CAST(x AS DOUBLE) FOR x IN embedding] AS v FROM embeddings) r WHERE q.id % 50 = 0) WHERE rank <= 10)"
+
+
+@query("graph_neighbour_means", f"SELECT src, list(x ORDER BY i) AS vector FROM (SELECT src, i, round(avg(x), 6) AS x FROM (SELECT src, unnest([CAST(x AS DOUBLE) FOR x IN embedding]) AS x, generate_subscripts(embedding, 1) AS i FROM {_EDGES} JOIN embeddings ON {_ID} = dst) GROUP BY 1, 2) GROUP BY 1")
 def graph_neighbour_means(t):
-    return vc.mean_of_neighbours(edges(t), vectors(t), "src", "dst", "id", "vector")
+    return vc.mean_of_neighbours(edges(t), vectors(t), "src", "dst", "id", "vector").withColumn("vector", F.transform("vector", lambda x: F.round(x, 6)))
 
 
-@query("graph_shared_neighbours")
+@query("graph_shared_neighbours", f"SELECT a.src, b.src AS dst, round(count(*) / (20 - count(*)), 6) AS weight FROM {_EDGES} a JOIN {_EDGES} b ON a.dst = b.dst AND a.src <> b.src GROUP BY 1, 2 HAVING count(*) / (20 - count(*)) >= 1 / 15")
 def graph_shared_neighbours(t):
-    return nb.shared_neighbours(edges(t), 10)
+    return nb.shared_neighbours(edges(t), 10).withColumns(r6("weight"))
 
 
 def order_graph(t):
     """Parts and suppliers as nodes, tied by line items; bounded weights."""
-    pairs = t("lineitem").filter("l_quantity >= 25").select(F.col("l_suppkey").alias("src"), (1_000_000_000 + F.col("l_partkey")).alias("dst"))
+    pairs = t("lineitem").select(F.col("l_suppkey").alias("src"), (1_000_000_000 + F.col("l_partkey")).alias("dst"))
     return nb.symmetric(pairs)
 
 
-@query("graph_transitions", "WITH p AS (SELECT l_suppkey AS a, 1000000000 + l_partkey AS b FROM lineitem WHERE l_quantity >= 25), e AS (SELECT a AS src, b AS dst FROM p UNION SELECT b, a FROM p) SELECT src, dst, round(1 / count(*) OVER (PARTITION BY src), 6) AS weight FROM e")
+@query("graph_transitions", "WITH p AS (SELECT l_suppkey AS a, 1000000000 + l_partkey AS b FROM lineitem), e AS (SELECT a AS src, b AS dst FROM p UNION SELECT b, a FROM p) SELECT src, dst, round(1 / count(*) OVER (PARTITION BY src), 6) AS weight FROM e")
 def graph_transitions(t):
     return nb.transitions(order_graph(t)).withColumns(r6("weight"))
 
@@ -111,7 +114,9 @@ def model_block_products(t):
     return md.block_crossproducts(rows, ["o_orderkey"], "y", ["x"], 20).groupBy("block").agg(at(0, 0).cast("bigint").alias("n"), F.round(at(0, 1), 4).alias("sx"), F.round(at(1, 1), 4).alias("sxx"), F.round(at(1, -1), 4).alias("sxy"))
 
 
-@query("model_jackknife")
+@query("model_jackknife", """WITH b AS (SELECT block, count(*) AS n, sum(x) AS sx, sum(x * x) AS sxx, sum(y) AS sy, sum(x * y) AS sxy FROM (SELECT ntile(20) OVER (ORDER BY o_orderkey) AS block, o_custkey / 1000.0 AS x, o_totalprice / 1e5 AS y FROM orders) GROUP BY 1), t AS (SELECT sum(n) AS n, sum(sx) AS sx, sum(sxx) AS sxx, sum(sy) AS sy, sum(sxy) AS sxy FROM b),
+d AS (SELECT t.n - b.n AS n, t.sx - b.sx AS sx, t.sxx - b.sxx AS sxx, t.sy - b.sy AS sy, t.sxy - b.sxy AS sxy FROM b, t), e AS (SELECT (n * sxy - sx * sy) / (n * sxx - sx * sx) AS s, (sy * sxx - sx * sxy) / (n * sxx - sx * sx) AS i FROM d), w AS (SELECT (n * sxy - sx * sy) / (n * sxx - sx * sx) AS s, (sy * sxx - sx * sxy) / (n * sxx - sx * sx) AS i FROM t)
+SELECT CAST(0 AS INTEGER) AS term, round(any_value(w.i), 6) AS estimate, round(sqrt(19.0 * var_pop(e.i)), 6) AS se FROM e, w UNION ALL SELECT 1, round(any_value(w.s), 6), round(sqrt(19.0 * var_pop(e.s)), 6) FROM e, w""")
 def model_jackknife(t):
     rows = t("orders").select("o_orderkey", (F.col("o_custkey") / 1000.0).alias("x"), (F.col("o_totalprice") / 1e5).alias("y"))
-    return md.jackknife(md.block_crossproducts(rows, ["o_orderkey"], "y", ["x"], 20), 2)
+    return md.jackknife(md.block_crossproducts(rows, ["o_orderkey"], "y", ["x"], 20), 2).withColumns(r6("estimate", "se"))

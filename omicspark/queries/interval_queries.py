@@ -3,7 +3,8 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.ranks import poisson_above
+from ..functions.ranks import add_bh
+from ..functions.tails import poisson_above
 from ..operators import intervals as iv
 from .base import FRAGMENTS, GENES, PEAKS, fragments, genes, peaks, query, r6
 
@@ -21,7 +22,7 @@ def pieces_sql(source: str, by: str = "chr") -> str:
 
 @query("interval_merge", f"SELECT * FROM {merged_sql(PEAKS)}")
 def interval_merge(t):
-    return iv.merge_intervals(peaks(t))
+    return iv.merge_intervals(peaks(t), width=200)
 
 
 @query("interval_merge_apart", f"SELECT * FROM {merged_sql(FRAGMENTS, 'cell, chr', -1)}")
@@ -63,7 +64,7 @@ def interval_anti(t):
 @query("interval_fragments_in_regions", f"""WITH m AS (SELECT * FROM {merged_sql(PEAKS)}), f AS (SELECT *, EXISTS (SELECT 1 FROM m WHERE m.chr = f.chr AND ((f."start" >= m."start" AND f."start" < m."end") OR (f."end" - 1 >= m."start" AND f."end" - 1 < m."end"))) AS hit FROM {FRAGMENTS} f)
 SELECT cell, count(*) AS n_fragments, count_if(hit) AS n_in, round(count_if(hit) / count(*), 6) AS fraction FROM f GROUP BY 1""")
 def interval_fragments_in_regions(t):
-    return iv.fragments_in_regions(fragments(t), peaks(t).select("chr", "start", "end"), "cell").withColumns(r6("fraction"))
+    return iv.fragments_in_regions(fragments(t), peaks(t).select("chr", "start", "end"), "cell", 64).withColumns(r6("fraction"))
 
 
 @query("interval_cut_sites", f"""SELECT peak, cell, count(*) AS n FROM {FRAGMENTS} f JOIN {PEAKS} p ON f.chr = p.chr AND ((f."start" >= p."start" AND f."start" < p."end") OR (f."end" - 1 >= p."start" AND f."end" - 1 < p."end")) GROUP BY 1, 2""")
@@ -71,16 +72,16 @@ def interval_cut_sites(t):
     return iv.cut_sites_per_region(fragments(t), peaks(t), "cell", "peak", 32)
 
 
-@query("interval_band_pairs", f"""WITH g AS (SELECT *, CASE WHEN strand = '-' THEN "end" - 1 ELSE "start" END AS tss FROM {GENES}), x AS (SELECT chr, peak, CAST(floor(("start" + "end") / 2) AS BIGINT) AS c FROM {PEAKS}),
-d AS (SELECT x.chr, peak, gene, (c - tss) * CASE WHEN strand = '-' THEN -1 ELSE 1 END AS distance, c >= "start" AND c < "end" AS in_body FROM x JOIN g ON x.chr = g.chr AND abs(c - tss) <= 150)
-SELECT *, distance BETWEEN -2 AND 1 AS promoter, CASE WHEN distance BETWEEN -2 AND 1 THEN 'promoter' WHEN in_body THEN 'intragenic' ELSE 'distal' END AS link_class FROM d""")
+@query("interval_band_pairs", f"""WITH g AS (SELECT *, CASE WHEN strand = '-' THEN "end" - 1 ELSE "start" END AS tss FROM {GENES}), x AS (SELECT *, CAST(floor(("start" + "end") / 2) AS BIGINT) AS c FROM {PEAKS}),
+d AS (SELECT x.chr, peak, gene, c - tss AS distance, x."end" > g."start" AND x."start" < g."end" AS in_body, x."end" > tss - CASE WHEN strand = '-' THEN 5 ELSE 15 END AND x."start" <= tss + CASE WHEN strand = '-' THEN 15 ELSE 5 END AS promoter FROM x JOIN g ON x.chr = g.chr AND abs(c - tss) <= 150)
+SELECT *, CASE WHEN promoter THEN 'self_promoter' WHEN in_body THEN 'target_gene_body' WHEN abs(distance) <= 80 THEN 'proximal_nonpromoter' ELSE 'distal' END AS link_class FROM d""")
 def interval_band_pairs(t):
-    return iv.band_pairs(peaks(t), genes(t), 150)
+    return iv.band_pairs(peaks(t), genes(t), 150, upstream=15, downstream=5, near=80)
 
 
 @query("interval_remove_overlaps")
 def interval_remove_overlaps(t):
-    return iv.remove_overlaps(peaks(t), "score", "peak")
+    return iv.remove_overlaps(peaks(t), "score", "peak", width=200)
 
 
 @query("interval_coverage", f"""WITH s AS (SELECT cell, chr, unnest(["start", "end" - 1]) AS pos FROM {FRAGMENTS}), n AS (SELECT cell, chr, CAST(floor(pos / 50) AS BIGINT) AS tile, count(*) AS n FROM s GROUP BY ALL) SELECT *, round(n * 1e6 / sum(n) OVER (PARTITION BY cell), 6) AS rpm FROM n""")
@@ -92,7 +93,7 @@ def interval_coverage(t):
 p AS (SELECT a.owner AS a, b.owner AS b, CAST(sum(least(a."end", b."end") - greatest(a."start", b."start")) AS BIGINT) AS shared FROM m a JOIN m b ON a.chr = b.chr AND a.owner < b.owner AND a."start" < b."end" AND b."start" < a."end" GROUP BY 1, 2)
 SELECT a, b, shared, round(shared / (x.size + y.size - shared), 6) AS jaccard, round(shared / least(x.size, y.size), 6) AS coefficient FROM p JOIN z x ON x.owner = a JOIN z y ON y.owner = b""")
 def interval_owner_overlap(t):
-    return iv.pairwise_overlap(peaks(t).withColumn("owner", F.col("peak") % 4), "owner").withColumns(r6("jaccard", "coefficient"))
+    return iv.pairwise_overlap(peaks(t).withColumn("owner", F.col("peak") % 4), "owner", 64).withColumns(r6("jaccard", "coefficient"))
 
 
 @query("interval_fixed_width", f"""SELECT chr, greatest(mid - 10, 0) AS "start", mid + 10 AS "end", concat_ws('-', chr, greatest(mid - 10, 0), mid + 10) AS name, peak FROM (SELECT *, ("start" + "end") // 2 AS mid FROM {PEAKS})""")
@@ -131,7 +132,9 @@ def interval_doublet_metrics(t):
     return cells.withColumn("mean", F.round(F.avg("n").over(Window.partitionBy()), 6))
 
 
-@query("interval_doublet_tails")
+@query("interval_doublet_tails", f"""WITH l AS (SELECT cell, count(*) AS n FROM {merged_sql(f"(SELECT * FROM {pieces_sql(FRAGMENTS, 'cell, chr')} WHERE depth >= 3)", 'cell, chr')} GROUP BY 1), m AS (SELECT cell, coalesce(n, 0) AS n, round(avg(coalesce(n, 0)) OVER (), 6) AS mean FROM (SELECT DISTINCT cell FROM {FRAGMENTS}) LEFT JOIN l USING (cell)),
+p AS (SELECT *, 1 - list_sum([exp(-mean + i * ln(mean) - lgamma(i + 1)) FOR i IN range(0, n + 1)]) AS p FROM m), r AS (SELECT *, row_number() OVER (ORDER BY p DESC, cell) AS k, count(*) OVER () AS f FROM p)
+SELECT cell, n, mean, round(p, 6) AS p, round(least(1, min(p * f / (f - k + 1)) OVER (ORDER BY k)), 6) AS q FROM r""")
 def interval_doublet_tails(t):
     df = interval_doublet_metrics(t)
-    return df.withColumn("p", poisson_above(F.col("n"), F.col("mean")))
+    return add_bh(df.withColumn("p", poisson_above(F.col("n"), F.col("mean"))), "p").withColumns(r6("p", "q"))

@@ -71,10 +71,15 @@ def label_top_two(t):
     return lb.top_two(s, "l_suppkey", "l_returnflag", "v")
 
 
-@query("label_uncrowded", f"""WITH l AS (SELECT cell, chr, "start", "end" FROM {merged_sql(f"(SELECT * FROM {pieces_sql(FRAGMENTS, 'cell, chr')} WHERE depth >= 3)", 'cell, chr')}), m AS (SELECT * FROM {merged_sql('l')}), k AS (SELECT m.chr, m."start", m."end" FROM m JOIN l ON l.chr = m.chr AND l."start" < m."end" AND m."start" < l."end" GROUP BY ALL HAVING count(DISTINCT cell) > 3)
-SELECT * FROM l WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.chr = l.chr AND l."start" < k."end" AND k."start" < l."end")""")
+_LOCI = "(SELECT concat('c', l_partkey % 300) AS chr, CAST(date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) AS BIGINT) AS \"start\", CAST(date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) AS BIGINT) + 4 AS \"end\", l_suppkey AS cell FROM lineitem)"
+
+
+@query("label_uncrowded", f"""WITH m AS (SELECT * FROM {merged_sql(_LOCI)}), e AS (SELECT *, avg(n) OVER () AS mean FROM m), k AS (SELECT chr, "start", "end" FROM e WHERE 1 - list_sum([exp(-mean + i * ln(mean) - lgamma(i + 1)) FOR i IN range(0, n + 1)]) < 0.01)
+SELECT * FROM {_LOCI} l WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.chr = l.chr AND l."start" < k."end" AND k."start" < l."end")""")
 def label_uncrowded(t):
-    return lb.drop_crowded(iv.deep_regions(fragments(t), 3, ("cell", "chr")), "cell", 3)
+    day = F.datediff("l_shipdate", F.lit("1992-01-01")).cast("bigint")
+    loci = t("lineitem").select(F.concat(F.lit("c"), F.col("l_partkey") % 300).alias("chr"), day.alias("start"), (day + 4).alias("end"), F.col("l_suppkey").alias("cell"))
+    return lb.drop_crowded(loci, 0.01, 64)
 
 
 @query("label_is_count", f"SELECT bool_and(score % 1 = 0) AS integral, count(*) AS n FROM {PEAKS}")

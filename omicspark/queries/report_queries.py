@@ -7,7 +7,7 @@ from ..operators import intervals as iv
 from ..operators import reports as rp
 from ..plans import chains
 from ..sources import scans
-from .base import FRAGMENTS, GENES, counts, fragments, genes, peaks, query, r6
+from .base import ORACLE_SQL, FRAGMENTS, GENES, counts, fragments, genes, peaks, query, r6
 from .graph_queries import order_graph
 from .matrix_queries import groups, sets
 
@@ -61,20 +61,24 @@ def report_strata(t):
 
 @query("report_background_pairs")
 def report_background_pairs(t):
-    return rp.background_pairs(genes(t), peaks(t), 20)
+    return rp.background_pairs(genes(t), peaks(t), 20, away=1000)
 
 
-@query("report_gene_scores", f"""WITH s AS (SELECT cell, chr, unnest(["start", "end" - 1]) AS pos FROM {FRAGMENTS}), n AS (SELECT cell, chr, CAST(floor(pos / 50) AS BIGINT) AS tile, count(*) AS n FROM s GROUP BY ALL), g AS (SELECT chr, gene, "start", "end", unnest(generate_series(CAST(floor(("start" - 100) / 50) AS BIGINT), CAST(floor(("end" + 100) / 50) AS BIGINT))) AS tile FROM {GENES}),
+@query("report_gene_scores", f"""WITH s AS (SELECT cell, chr, unnest(["start", "end" - 1]) AS pos FROM {FRAGMENTS}), n AS (SELECT cell, chr, CAST(floor(pos / 50) AS BIGINT) AS tile, count(*) AS n FROM s GROUP BY ALL),
+r AS (SELECT *, max("end") OVER (PARTITION BY chr ORDER BY "start", "end", gene ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b, lead("start") OVER (PARTITION BY chr ORDER BY "start", "end", gene) AS a FROM {GENES}),
+g AS (SELECT chr, gene, "start", "end", unnest(generate_series(CAST(floor(("start" - greatest(30, least(100, coalesce("start" - b, 100)))) / 50) AS BIGINT), CAST(floor(("end" + greatest(30, least(100, coalesce(a - "end", 100))) - 1) / 50) AS BIGINT))) AS tile FROM r),
 w AS (SELECT chr, gene, tile, exp(-greatest("start" - (tile * 50 + 25.0), tile * 50 + 25.0 - "end", 0.0) / 50) + exp(-1.0) AS w FROM g), p AS (SELECT cell, gene, sum(least(n, 4) * w) AS s FROM n JOIN w USING (chr, tile) GROUP BY 1, 2) SELECT cell, gene, round(s * 1e4 / sum(s) OVER (PARTITION BY cell), 6) AS score FROM p""")
 def report_gene_scores(t):
     tiles = iv.binned_coverage(fragments(t), "cell", 50)
-    return rp.gene_tile_scores(tiles, genes(t), 50, 100).withColumns(r6("score"))
+    return rp.gene_tile_scores(tiles, genes(t), 50, decay=50, least=30, most=100).withColumns(r6("score"))
 
 
-@query("report_tile_peaks")
+@query("report_tile_peaks", f"""WITH s AS (SELECT cell % 4 AS g, chr, unnest(["start", "end" - 1]) AS pos FROM {FRAGMENTS}), x AS (SELECT g, chr, (CAST(floor(pos / 3) AS BIGINT) - k) * 3 AS "start" FROM s, unnest([0, 1, 2]) u(k)), n AS (SELECT g, chr, "start", "start" + 9 AS "end", count(*) AS n FROM x GROUP BY ALL),
+m AS (SELECT n.*, e.mean FROM n JOIN (SELECT g, count(*) * 9 / 8000.0 AS mean FROM s GROUP BY 1) e USING (g)), p AS (SELECT *, 1 - list_sum([exp(-mean + i * ln(mean) - lgamma(i + 1)) FOR i IN range(0, n)]) AS p FROM m)
+SELECT g AS "group", chr, "start", "end", n, round(mean, 6) AS mean, round(n / mean, 6) AS fold, round(greatest(p, 0), 6) AS p FROM p""")
 def report_tile_peaks(t):
-    tiles = iv.binned_coverage(fragments(t).withColumn("group", F.col("cell") % 4), "group", 10)
-    return rp.tile_peaks(tiles, "group", F.lit(260.0))
+    sites = fragments(t).select((F.col("cell") % 4).alias("group"), "chr", F.explode(F.array("start", F.col("end") - 1)).alias("pos"))
+    return rp.tile_peaks(sites, "group", 9, F.lit(8000.0)).drop("q").withColumns(r6("mean", "fold", "p"))
 
 
 @query("report_most_specific", "WITH q AS (SELECT l_suppkey, l_partkey, sum(l_quantity) AS v FROM lineitem GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY v DESC, l_partkey) AS n, count(*) OVER (PARTITION BY l_suppkey) AS m FROM q) SELECT l_suppkey, l_partkey, v FROM r WHERE n <= ceil(m * 0.1) AND v > 0")
@@ -115,9 +119,10 @@ def plan_retained_summary(t):
     return df.withColumns(r6(*df.columns[2:]))
 
 
-@query("plan_label_groups")
+@query("plan_label_groups", f"""WITH s AS ({ORACLE_SQL["matrix_set_scores"].replace("round(sum(count * w), 6)", "sum(count * w)")}), g AS (SELECT s_nationkey % 4 AS g, label, avg(score) AS score FROM s JOIN supplier ON s_suppkey = cell GROUP BY 1, 2), r AS (SELECT CAST(g AS BIGINT) AS "group", label AS best, score AS best_score, lead(label) OVER w AS second, score - lead(score) OVER w AS margin, row_number() OVER w AS n FROM g WINDOW w AS (PARTITION BY g ORDER BY score DESC, label))
+SELECT "group", best, round(best_score, 6) AS best_score, second, round(margin, 6) AS margin, CASE WHEN best_score <= 0 THEN 'no_evidence' WHEN coalesce(margin, 0) < 0.01 THEN 'close' ELSE 'assigned' END AS status FROM r WHERE n = 1""")
 def plan_label_groups(t):
-    return chains.label_groups(counts(t), groups(t), sets(t), 0.01)
+    return chains.label_groups(counts(t), groups(t), sets(t), 0.01).withColumns(r6("best_score", "margin"))
 
 
 @query("plan_propagated")
@@ -146,3 +151,8 @@ def event_asof(t):
     w = Window.partitionBy("user_id").orderBy("ts").rangeBetween(Window.unboundedPreceding, 0)
     last = F.max(F.when(F.col("event_type") == "purchase", F.col("ts"))).over(w)
     return t("events").withColumn("last_purchase", last).filter("event_type <> 'purchase'").select("event_id", "user_id", "last_purchase")
+
+
+@query("report_bootstrap_ratios")
+def report_bootstrap_ratios(t):
+    return rp.bootstrap_ratios(t("lineitem"), "N", "l_returnflag", "l_suppkey", "l_extendedprice", 20)

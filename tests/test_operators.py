@@ -17,10 +17,6 @@ def test_tails_match_tables():
     assert tails.chi_square_above(18.30704, 10) == pytest.approx(0.05, abs=1e-6)
 
 
-def test_poisson_tail(spark):
-    row = spark.createDataFrame([(2, 1.5)], "k int, m double").select(ranks.poisson_above(F.col("k"), F.col("m")).alias("p")).first()
-    assert row.p == pytest.approx(1 - np.exp(-1.5) * (1 + 1.5 + 1.5**2 / 2))
-
 
 def test_remove_overlaps_is_greedy(spark):
     rng = random.Random(3)
