@@ -156,6 +156,12 @@ def fit_contrasts(values: DataFrame, samples: DataFrame, names: Sequence[str], c
     return _wide(values, samples, names, block).select("feature", F.inline(fit("rows")))
 
 
+def fit_by_type(values: DataFrame, samples: DataFrame, names: Sequence[str], contrasts: dict[str, Sequence[float]], block: str | None = None, rho: float = 0.0) -> DataFrame:
+    """(type, feature, contrast, ...): fit_contrasts for every type at once; values: type, feature, sample, value, weight."""
+    own = values.withColumn("feature", F.struct("type", "feature")).drop("type")
+    return fit_contrasts(own, samples, names, contrasts, block, rho).select("feature.type", F.col("feature.feature").alias("feature"), "contrast", "estimate", "unscaled", "s2", "df")
+
+
 def mean_variance_weights(values: DataFrame, samples: DataFrame, names: Sequence[str], bins: int = 30) -> DataFrame:
     """values with `weight`: the inverse fourth power of the square-root deviation that the trend of features has at a fitted count.
 
@@ -281,6 +287,13 @@ def contrast_support(samples: DataFrame, names: Sequence[str], contrast: Sequenc
     return per.agg(F.sum("u").alias("n_up"), F.sum("d").alias("n_down"), F.count_if(F.col("u") > 0).alias("donors_up"), F.count_if(F.col("d") > 0).alias("donors_down"), F.count_if((F.col("u") > 0) & (F.col("d") > 0)).alias("donors_paired"))
 
 
+def type_support(samples: DataFrame, types: Sequence[str], donor: str = "donor", by: str = "type") -> DataFrame:
+    """One row: donors and samples of each side of a contrast between types, and donors that have all of them."""
+    rows = samples.filter(F.col(by).isin(*types))
+    per = rows.groupBy(donor).agg(F.count(F.lit(1)).alias("n"), F.countDistinct(by).alias("k"))
+    return per.agg(F.sum("n").alias("n_samples"), F.count(F.lit(1)).alias("n_donors"), F.count_if(F.col("k") == len(set(types))).alias("n_paired"))
+
+
 def combined_response(values: DataFrame, scales: dict[str, float], by: str = "type") -> DataFrame:
     """(feature, donor, value, weight): the scaled sum over types of each donor's values, with the weight 1 / sum(scale^2 / w), for
     donors and features that all the types have. values: type, feature, donor, value, weight."""

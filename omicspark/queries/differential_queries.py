@@ -110,3 +110,15 @@ def differential_paired(t):
 def differential_statistics(t):
     rows = df_.differential_table(fits(t))
     return rows.select("feature", "contrast", df_.contrast_statistic(F.when(F.col("feature") % 2 == 0, F.col("moderated_t")), F.col("p"), F.col("estimate")).alias("statistic"))
+
+
+@query("differential_by_type", f"SELECT type, feature, 'age' AS contrast, round(regr_slope(value, age), 6) AS estimate, CAST(count(*) - 2 AS INTEGER) AS df FROM {_EXPRESSED} JOIN {_SAMPLES} USING (sample) GROUP BY 1, 2")
+def differential_by_type(t):
+    own, names = df_.design_columns(samples(t), numeric=["age"])
+    v = values(t).join(samples(t).select("sample", "type"), "sample").select("type", "feature", "sample", "value")
+    return df_.fit_by_type(v, own, names, {"age": [0, 1]}).select("type", "feature", "contrast", F.round("estimate", 6).alias("estimate"), "df")
+
+
+@query("differential_type_support", f"WITH d AS (SELECT donor, count(*) AS n, count(DISTINCT type) AS k FROM {_SAMPLES} WHERE type IN ('A', 'R') GROUP BY 1) SELECT CAST(sum(n) AS BIGINT) AS n_samples, count(*) AS n_donors, count(*) FILTER (k = 2) AS n_paired FROM d")
+def differential_type_support(t):
+    return df_.type_support(samples(t), ["A", "R"])
