@@ -84,27 +84,35 @@ def random_walk(edges: DataFrame, seeds: DataFrame, restart: float = 0.05, toler
     raise RuntimeError(f"random_walk: still changing by {change} after {rounds} rounds")
 
 
-def communities(edges: DataFrame, rounds: int = 1_000, resolution: float = 1.0) -> DataFrame:
+def communities(edges: DataFrame, rounds: int = 1_000, resolution: float = 1.0, patience: int = 5) -> DataFrame:
     """(node, community) by synchronous modularity moves: a node joins the neighbouring community of greatest gain, ties to the
     least name; nodes take turns by a hash bit, so that two don't swap. Symmetric edges are expected.
 
-    Ends when no node would move, whether or not it has its turn; raises if that isn't so in so many rounds."""
+    Moves at once can undo each other, so the state of greatest modularity counts: it ends when no node would move, or when the
+    modularity hasn't risen for `patience` turns; raises if neither is so in so many rounds."""
     edges = cut(edges)
     degree = cut(edges.groupBy(F.col("src").alias("node")).agg(F.sum("weight").alias("d")))
     total = degree.agg(F.sum("d")).first()[0] or 1.0
-    now = cut(degree.select("node", F.col("node").alias("community")))
+    now = degree.select("node", F.col("node").alias("community"), "d")
+    best, highest, still = None, None, 0
     for turn in range(rounds):
-        size = now.join(degree, "node").groupBy("community").agg(F.sum("d").alias("k"))
+        size = now.groupBy("community").agg(F.sum("d").alias("k"))
         links = edges.join(now.select(F.col("node").alias("dst"), "community"), "dst").groupBy(F.col("src").alias("node"), "community").agg(F.sum("weight").alias("w"))
-        gain = F.col("w") - resolution * F.col("d") * (F.col("k") - F.when(F.col("community") == F.col("old"), F.col("d")).otherwise(0.0)) / total
-        scored = links.join(size, "community").join(degree, "node").join(now.select("node", F.col("community").alias("old")), "node").withColumn("gain", F.round(gain, 9))
-        best = scored.groupBy("node").agg(F.max(F.struct("gain", (-F.col("community")).alias("c"))).alias("b"), F.max(F.when(F.col("community") == F.col("old"), F.col("gain"))).alias("stay"))
-        wants = F.coalesce(F.col("b.gain") > F.coalesce("stay", F.lit(0.0)), F.lit(False))
-        moves = wants & (F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(2)) == 0)
-        now = cut(now.join(best, "node", "left").select("node", F.when(moves, -F.col("b.c")).otherwise(F.col("community")).alias("community"), wants.alias("wants")))
-        if now.filter("wants").isEmpty():
-            return now.drop("wants")
-        now = now.drop("wants")
+        own = F.col("community") == F.col("old")
+        gain = F.col("w") - resolution * F.col("d") * (F.col("k") - F.when(own, F.col("d")).otherwise(0.0)) / total
+        scored = links.join(size, "community").join(now.select("node", "d", F.col("community").alias("old")), "node").withColumn("gain", F.round(gain, 9))
+        per = scored.groupBy("node").agg(F.max(F.struct("gain", (-F.col("community")).alias("c"))).alias("b"), F.max(F.when(own, F.col("gain"))).alias("stay"), F.coalesce(F.sum(F.when(own, F.col("w"))), F.lit(0.0)).alias("inside"))
+        state = cut(now.join(per, "node", "left").withColumn("wants", F.coalesce(F.col("b.gain") > F.coalesce("stay", F.lit(0.0)), F.lit(False))))
+        squares = state.groupBy("community").agg(F.sum("d").alias("k")).agg(F.sum(F.col("k") * F.col("k")).alias("kk"))
+        inside, wanting, kk = state.agg(F.sum("inside").alias("i"), F.count_if("wants").alias("n")).join(squares).first()
+        modularity = (inside or 0.0) / total - resolution * (kk or 0.0) / total**2
+        still = 0 if highest is None or modularity > highest + 1e-7 else still + 1
+        if not still:
+            best, highest = state, modularity
+        if not wanting or still == patience:
+            return best.select("node", "community")
+        moves = F.col("wants") & (F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(2)) == 0)
+        now = state.select("node", F.when(moves, -F.col("b.c")).otherwise(F.col("community")).alias("community"), "d")
     raise RuntimeError(f"communities: nodes still move after {rounds} rounds")
 
 
