@@ -2,10 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from ..operators import intervals as iv
 from ..operators import labels as lb
-from .base import COUNTS, FRAGMENTS, PEAKS, counts, fragments, peaks, query, r6
-from .interval_queries import merged_sql, pieces_sql
+from .base import COUNTS, PEAKS, counts, peaks, query, r6
+from .interval_queries import merged_sql
 from .matrix_queries import sets
 from .table_queries import _VARIANTS, variants
 
