@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import line_templates, quality
+from . import line_templates, quality, warc
 
 _SPLIT = r"'[\x20\x09-\x0D]+'"
 _WITH_WORD = r"'[^\x20\x09-\x0D]'"
@@ -38,3 +38,10 @@ t AS (SELECT doc_id, i, line, missing, CASE WHEN len(w) >= {line_templates.MIN_T
 o AS (SELECT t, min(doc_id) AS first FROM t WHERE t IS NOT NULL GROUP BY 1 HAVING count(DISTINCT doc_id) >= {line_templates.MIN_DOCS}),
 k AS (SELECT doc_id, i, line, missing, coalesce(o.first <> doc_id, false) AS gone FROM t LEFT JOIN o USING (t))
 SELECT doc_id, CASE WHEN bool_or(missing) THEN 0 ELSE count(*) END AS n_lines, count(*) FILTER (gone) AS n_dropped, CASE WHEN NOT bool_or(missing) THEN sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) END AS kept_sha256 FROM k GROUP BY 1"""
+
+
+def warc_sql() -> str:
+    return f"""
+WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+r AS (SELECT *, CASE WHEN payload_bytes >= {warc.MIN_REVISIT} THEN max(page_id) OVER (PARTITION BY payload_digest) END AS last FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN last <> page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN last <> page_id THEN last END AS refers_to FROM r"""
