@@ -31,6 +31,8 @@ from .common import cut, quoted, shared_folder
 MIN_REVISIT = 1_000
 #: Bytes of records in a frame, and of frames in a bundle, about; a larger record is a frame of its own.
 FRAME_BYTES, BUNDLE_BYTES = 1 << 20, 32 << 20
+#: Tasks that read bundles, at most; else one a bundle.
+MAX_READERS = 10_000
 #: A digest with more than this share of the rows meets them without a shuffle; there are 1 / HOT_SHARE of them at most.
 HOT_SHARE = 0.001
 DATE = "1970-01-01T00:00:00Z"
@@ -104,7 +106,12 @@ class BundleReader:
 
     def frame(self, i: int) -> bytes:
         at, packed, full, check = self.frames[i]
-        data = self.zstd.decompress(self.file.read_at(packed, at), max_output_size=full)
+        import zstandard
+
+        try:
+            data = self.zstd.decompress(self.file.read_at(packed, at), max_output_size=full)
+        except zstandard.ZstdError as e:
+            raise ValueError(f"frame {i} is damaged") from e
         if len(data) != full or _checksum(data) != check:
             raise ValueError(f"frame {i} is damaged")
         return data
@@ -253,6 +260,8 @@ def read_warc(spark: SparkSession, folder: str, wanted: DataFrame | None = None,
     else:
         bundles = index.groupBy("bundle").agg(F.lit(None).cast("array<struct<frame:int,offset:bigint>>").alias("places"))
 
+    tasks = max(1, min(MAX_READERS, index.select("bundle").distinct().count()))  # a given number isn't coalesced: rows are few, bundles large
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def emit(out: list) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _READ.types, strict=True)], schema=_READ)
@@ -274,7 +283,7 @@ def read_warc(spark: SparkSession, folder: str, wanted: DataFrame | None = None,
                         yield emit([_row(fields, block, payloads)])
                 bundle.close()
 
-    found = bundles.mapInArrow(run, "id string, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to string, payload binary")
+    found = bundles.repartition(tasks, "bundle").mapInArrow(run, "id string, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to string, payload binary")
     return found.withColumns({"id": F.col("id").cast(kind), "refers_to": F.col("refers_to").cast(kind)})
 
 

@@ -39,14 +39,14 @@ class Whitening:
 
 def pivoted_cholesky(a: np.ndarray) -> np.ndarray:
     """G of shape (d, rank) with G G' = a for a positive semidefinite matrix: lower triangular but for the rows' order. Each step takes the
-    largest diagonal entry that is left; it ends at rounding level."""
+    largest diagonal entry that is left; it ends where each is at the rounding level of the entry that was there first."""
     d = len(a)
     left, out = np.array(a, np.longdouble), np.zeros((d, d), np.longdouble)
-    floor = d * np.finfo(float).eps * max(np.max(np.diag(left), initial=0), 0)
+    floor = 16 * d * np.finfo(np.longdouble).eps * np.diag(left)
     for r in range(d):
-        diagonal = np.diag(left)
+        diagonal = np.where(np.diag(left) > floor, np.diag(left), 0)
         p = int(np.argmax(diagonal))
-        if diagonal[p] <= floor:
+        if not diagonal[p] > 0:
             return out[:, :r]
         out[:, r] = left[:, p] / np.sqrt(diagonal[p])
         left -= np.outer(out[:, r], out[:, r])
