@@ -13,6 +13,8 @@ from .loops import cut
 
 #: Rows of a block of vectors, about.
 BLOCK_ROWS = 2_000
+#: Of neighbour_graph: rows that are compared with each other at least, sorted orders, rows that its splits are fitted on at most.
+LEAF_ROWS, TREES, SPLIT_SAMPLE = 512, 4, 4_096
 
 
 def _blocks(df: DataFrame, name: str) -> DataFrame:
@@ -46,11 +48,161 @@ def nearest(queries: DataFrame, rows: DataFrame, k: int, metric: str = "euclidea
     return pairs.mapInArrow(meet, "src bigint, dst bigint, dist double").withColumn("rank", F.row_number().over(best).cast("bigint")).filter(F.col("rank") <= k)
 
 
+def _top(edges: DataFrame, k: int) -> DataFrame:
+    """The k nearest of each source, each once; candidates beyond k leave before the shuffle."""
+    best = Window.partitionBy("src").orderBy(F.round("dist", 9), "dst")
+    return edges.withColumn("rank", F.dense_rank().over(best).cast("bigint")).filter(F.col("rank") <= k).dropDuplicates(["src", "dst"])
+
+
+def _pairs(ids: np.ndarray, v: np.ndarray, k: int) -> pa.RecordBatch:
+    """The k nearest others of each row of a block; distances of those are taken from the differences."""
+    sq = (v * v).sum(1)
+    d = np.maximum(sq[:, None] + sq[None, :] - 2 * v @ v.T, 0)
+    np.fill_diagonal(d, np.inf)
+    m = min(k, len(ids) - 1)
+    some = min(m + 8, len(ids) - 1)  # a few more, for their order is settled on exact distances
+    near = np.argpartition(d, some - 1, axis=1)[:, :some]
+    last = np.take_along_axis(d, near, 1).max(1)
+    tied = (d <= (last + 1e-9 * (1 + sq))[:, None]).sum(1) > some  # more than these are as near: ids decide
+    if tied.any():
+        near[tied] = np.lexsort((np.broadcast_to(ids, d[tied].shape), np.round(d[tied], 9)), axis=1)[:, :some]
+    exact = np.sqrt(((v[:, None, :] - v[near]) ** 2).sum(2))
+    order = np.lexsort((ids[near], np.round(exact, 9)), axis=1)[:, :m]
+    top, dist = np.take_along_axis(near, order, 1), np.take_along_axis(exact, order, 1)
+    return pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, m)), pa.array(ids[top].ravel()), pa.array(dist.ravel())], names=["src", "dst", "dist"])
+
+
+def _in_sorted_blocks(rows: DataFrame, n: int, k: int, leaf: int, trees: int, seed: int) -> DataFrame:
+    """Candidates (src, dst, dist): rows are put in several orders by random hyperplanes (each near the median of a sample), and meet the rows
+    of their stretch of each order. Stretches hold leaf to 2 leaf rows, whatever the data: equal vectors are told apart by id."""
+    sample = np.array([r[0] for r in rows.select("vector", F.xxhash64("id", F.lit(seed)).alias("h")).orderBy("h").limit(SPLIT_SAMPLE).collect()], np.float64)
+    rng, bits = np.random.default_rng(seed), max(1, min(40, int(np.ceil(np.log2(max(2, n / leaf)))) + 2))
+    planes = rng.normal(size=(trees, bits + 1, sample.shape[1]))
+    middle = np.median(np.einsum("tbd,nd->tbn", planes, sample), axis=2)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
+            for t in range(trees):
+                side = v @ planes[t].T - middle[t]
+                code = (side[:, :bits] > 0) @ (1 << np.arange(bits - 1, -1, -1, dtype=np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), t, np.int32)), pa.array(code), pa.array(side[:, bits]), batch.column(0), batch.column(1)], names=["tree", "code", "side", "id", "vector"])
+
+    placed = rows.select("id", "vector").mapInArrow(place, "tree int, code bigint, side double, id bigint, vector array<double>")
+    order = ["tree", "code", "side", "id"]
+    dealt = placed.repartitionByRange(max(1, n * trees // (16 * leaf)), *order).sortWithinPartitions(*order)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, vectors, tree = np.zeros(0, np.int64), None, None
+
+        def stretch(n_rows: int) -> pa.RecordBatch:
+            nonlocal ids, vectors
+            out = _pairs(ids[:n_rows], vectors[:n_rows], k)
+            ids, vectors = ids[n_rows:], vectors[n_rows:]
+            return out
+
+        for batch in batches:
+            trees_ = batch.column(0).to_numpy()
+            v = batch.column(4).flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
+            own = batch.column(3).to_numpy()
+            for t in np.unique(trees_):
+                if t != tree and len(ids) > 1:
+                    yield stretch(len(ids))
+                here = trees_ == t
+                ids = np.concatenate([ids, own[here]]) if t == tree else own[here]
+                vectors = np.concatenate([vectors, v[here]]) if t == tree else v[here]
+                tree = t
+                while len(ids) >= 2 * leaf:
+                    yield stretch(leaf)
+        if len(ids) > 1:
+            yield stretch(len(ids))
+
+    return dealt.mapInArrow(meet, "src bigint, dst bigint, dist double")
+
+
+def _among_neighbours(rows: DataFrame, graph: DataFrame, k: int) -> DataFrame:
+    """Candidates (src, dst, dist) nearer than the k-th of src: a node's k neighbours, the k nearest of those that have it as a neighbour,
+    and the node itself meet in one row of at most 2 k + 1 vectors."""
+    back = graph.select(F.col("dst").alias("v"), F.col("src").alias("id"), F.row_number().over(Window.partitionBy("dst").orderBy("dist", "src")).alias("r")).filter(F.col("r") <= k).drop("r")
+    own = rows.select(F.col("id").alias("v"), "id")
+    members = graph.select(F.col("src").alias("v"), F.col("dst").alias("id")).unionByName(back).unionByName(own).distinct()
+    bound = graph.groupBy(F.col("src").alias("id")).agg(F.when(F.count(F.lit(1)) >= k, F.max("dist")).otherwise(float("inf")).alias("kth"))
+    nodes = rows.select("id", "vector").join(bound, "id", "left").withColumn("kth", F.coalesce("kth", F.lit(float("inf"))))
+    gathered = members.join(nodes, "id").groupBy("v").agg(F.collect_list(F.struct("id", "kth")).alias("nodes"), F.flatten(F.collect_list("vector")).alias("flat"))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, flat = batch.column(0), batch.column(1)
+            inner = nodes.flatten()
+            ids, kth = inner.field("id").to_numpy(), inner.field("kth").to_numpy()
+            ends, size = np.cumsum(nodes.value_lengths().to_numpy()), len(flat.flatten()) // max(1, len(ids))
+            values = flat.flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+            found = []
+            for lo, hi in zip(np.concatenate([[0], ends[:-1]]), ends, strict=True):
+                v = values[lo:hi]
+                d = np.sqrt(((v[:, None, :] - v[None, :, :]) ** 2).sum(2))
+                np.fill_diagonal(d, np.inf)
+                a, b = np.nonzero(d < kth[lo:hi, None])
+                found.append((ids[lo + a], ids[lo + b], d[a, b]))
+            src, dst, dist = (np.concatenate(x) for x in zip(*found, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(src), pa.array(dst), pa.array(dist)], names=["src", "dst", "dist"])
+
+    return gathered.select("nodes", "flat").mapInArrow(meet, "src bigint, dst bigint, dist double")
+
+
+def neighbour_graph(rows: DataFrame, k: int, leaf: int = LEAF_ROWS, trees: int = TREES, wide: int | None = None, tolerance: float = 3e-4, rounds: int = 30, seed: int = 1) -> DataFrame:
+    """(src, dst, rank, dist): about the k nearest other rows of every row (id, vector), ties by id.
+
+    Rows first meet those near them in several sorted orders of random hyperplanes; then neighbours of neighbours meet, round by
+    round, until a round brings the sum of distances down by less than `tolerance` of it (raises if so many rounds don't). On the way
+    a row has `wide` neighbours (three times k, 40 at least). Up to `leaf` rows are compared all with all, so the result is exact; beyond that it
+    isn't: tests/test_neighbours.py holds its recall above 0.9. A round moves at most 2 wide + 1 vectors a row. The splits are fitted on a sample of SPLIT_SAMPLE rows; every row is searched.
+    """
+    rows = cut(rows.select("id", "vector"))
+    n = rows.count()
+    if n < 2:
+        return rows.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("dist"), F.lit(1).cast("bigint").alias("rank")).limit(0)
+    if n <= leaf:
+        return cut(_top(_in_sorted_blocks(rows, n, k, leaf, 1, seed), k))
+    wide = wide or max(3 * k, 40)
+    graph = cut(_top(_in_sorted_blocks(rows, n, wide, leaf, trees, seed), wide))
+    total = graph.agg(F.sum("dist")).first()[0]
+    for _ in range(rounds):
+        graph = cut(_top(graph.select("src", "dst", "dist").unionByName(_among_neighbours(rows, graph, wide)), wide))
+        now = graph.agg(F.sum("dist")).first()[0]
+        if total - now <= tolerance * total:
+            return graph.filter(F.col("rank") <= k)
+        total = now
+    raise RuntimeError(f"neighbour_graph: distances still fall after {rounds} rounds")
+
+
+def recall(found: DataFrame, exact: DataFrame) -> float:
+    """Share of the exact edges (src, dst) that were found; sources that were not searched exactly are left out."""
+    hit = exact.select("src", "dst").join(found.select("src", "dst").distinct(), ["src", "dst"], "left_semi").count()
+    return hit / max(1, exact.count())
+
+
+#: Lists that hold a node, above which they meet in pairs of parts.
+HUB = 500
+
+
+def shared_counts(lists: DataFrame, hub: int = HUB) -> DataFrame:
+    """(src, other, n): how many neighbours two sources share, for every two that share one, a source with itself included.
+
+    Lists (src, dst) meet on the neighbour. Those of a neighbour in more than `hub` lists are dealt into parts, and every two parts
+    meet by themselves, so no task gets all pairs of a hub; counts are added up before and after the shuffle.
+    """
+    degree = lists.groupBy("dst").agg(F.ceil(F.count(F.lit(1)) / hub).cast("int").alias("parts"))
+    dealt = lists.join(degree, "dst").withColumn("own", F.pmod(F.xxhash64("src"), F.col("parts")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    a = dealt.select("src", "dst", F.col("own").alias("x"), every.alias("y"))
+    b = dealt.select(F.col("src").alias("other"), "dst", F.col("own").alias("y"), every.alias("x"))
+    return a.join(b, ["dst", "x", "y"]).groupBy("src", "other").agg(F.count(F.lit(1)).alias("n"))
+
+
 def shared_neighbours(edges: DataFrame, k: int, least: float = 1 / 15) -> DataFrame:
     """(src, dst, weight): Jaccard of the neighbour lists of every two sources that share one; weights under `least` are pruned."""
-    a = edges.select(F.col("src").alias("a"), "dst")
-    b = edges.select(F.col("src").alias("b"), "dst")
-    n = a.join(b, "dst").filter("a <> b").groupBy(F.col("a").alias("src"), F.col("b").alias("dst")).agg(F.count(F.lit(1)).alias("n"))
+    n = shared_counts(edges.select("src", "dst")).filter("src <> other").withColumnRenamed("other", "dst")
     return n.select("src", "dst", (F.col("n") / (2 * k - F.col("n"))).alias("weight")).filter(F.col("weight") >= least)
 
 
