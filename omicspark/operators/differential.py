@@ -314,13 +314,16 @@ def differential_table(fits: DataFrame, by: Sequence[str] = ("contrast",)) -> Da
 
 
 def contrast_statistic(t: Column, p: Column, estimate: Column) -> Column:
-    """t where there is one, else the normal quantile of p with the sign of the estimate."""
+    """t where there is one, else the normal quantile of p with the sign of the estimate; raises where there is neither, or p isn't
+    above 0 and at most 1. (The smallest positive p gives 38.5; a p of 0 has no quantile.)"""
 
     @F.pandas_udf("double")
     def quantile(p: pd.Series) -> pd.Series:
         from statistics import NormalDist
 
-        inverse = NormalDist().inv_cdf
-        return p.map(lambda x: inverse(1 - min(max(x, 1e-300), 1.0) / 2) if x > 1e-15 else 8.2, na_action="ignore")
+        return p.map(lambda x: -NormalDist().inv_cdf(x / 2), na_action="ignore")
 
-    return F.coalesce(t, F.signum(estimate) * quantile(p))
+    usable = (p > 0) & (p <= 1) & estimate.isNotNull() & ~F.isnan(estimate)
+    bad = F.raise_error(F.concat(F.lit("no statistic: p = "), F.coalesce(p.cast("string"), F.lit("null")), F.lit(", estimate = "), F.coalesce(estimate.cast("string"), F.lit("null")))).cast("double")
+    has_t = t.isNotNull() & ~F.isnan(t)
+    return F.when(has_t, t).when(F.coalesce(usable, F.lit(False)), F.signum(estimate) * quantile(F.when(~F.coalesce(has_t, F.lit(False)) & usable, p))).otherwise(bad)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.ranks import add_bh, share, top_n
 from ..functions.tails import poisson_above
 from .heritability import multinomial_weights
-from .loops import tiled
+from .loops import cut, numbered, tiled
 from .tables import complete
 
 
@@ -76,27 +76,45 @@ def crossed_strata(df: DataFrame, values: Sequence[str], n: int, key: str) -> Da
     return rows
 
 
+def _crowding(genes: DataFrame, peaks: DataFrame, away: int) -> DataFrame:
+    """(gene, near): at least as many peaks as lie on the gene's chromosome within `away`, from counts in bins: those that start up to
+    the last bin in reach, without those that end before the first."""
+    width = max(1, away)
+    at = lambda c: F.floor(F.col(c) / width)
+    starts = peaks.groupBy("chr", at("start").alias("bin")).agg(F.count(F.lit(1)).alias("s"))
+    ends = peaks.groupBy("chr", at("end").alias("bin")).agg(F.count(F.lit(1)).alias("e"))
+    span = peaks.groupBy("chr").agg(F.min(at("start")).alias("lo"), (F.max(at("end")) + 1).alias("hi"))
+    grid = span.select("chr", F.explode(F.sequence("lo", "hi")).alias("bin")).join(starts, ["chr", "bin"], "left").join(ends, ["chr", "bin"], "left")
+    w = Window.partitionBy("chr").orderBy("bin")
+    grid = grid.select("chr", "bin", F.sum(F.coalesce("s", F.lit(0))).over(w).alias("begun"), (F.sum(F.coalesce("e", F.lit(0))).over(w) - F.coalesce("e", F.lit(0))).alias("ended"))
+    reach = genes.join(span, genes["g_chr"] == span["chr"]).select("gene", "chr", F.least(F.floor((F.col("g_end") + away) / width), "hi").alias("last"), F.least(F.floor((F.col("g_start") - away) / width), "hi").alias("first"))
+    last, first = grid.select("chr", F.col("bin").alias("last"), "begun"), grid.select("chr", F.col("bin").alias("first"), "ended")
+    both = reach.join(last, ["chr", "last"], "left").join(first, ["chr", "first"], "left")
+    return both.select("gene", (F.coalesce("begun", F.lit(0)) - F.coalesce("ended", F.lit(0))).alias("near"))
+
+
 def background_pairs(genes: DataFrame, peaks: DataFrame, n: int, away: int = 10_000_000, seed: int = 1) -> DataFrame:
-    """(gene, peak): n hash-drawn peaks per gene (fewer if there are not so many), on other chromosomes or more than `away` from it.
+    """(gene, peak): n hash-drawn peaks per gene, on other chromosomes or more than `away` from it; all that fit, if they are fewer.
 
-    Peaks are shuffled by a hash and numbered; each gene looks at as many draws of numbers as make n fitting ones all but
-    certain and keeps the first n, so work grows with genes x n, not with genes x peaks. Only where too few fit (fewer than
-    four times n peaks in all) does every gene meet every peak.
+    Peaks are shuffled by a hash and numbered, and genes draw numbers, round by round twice as many, until each has n peaks that fit.
+    Genes that fewer than 2 n peaks may fit (by counts in bins of the places) meet every peak instead. So work grows with genes x
+    n, but for those.
     """
-    total = peaks.count()
     g = genes.select("gene", F.col("chr").alias("g_chr"), F.col("start").alias("g_start"), F.col("end").alias("g_end"))
-    if total < 8 * n:
-        pairs = g.join(F.broadcast(peaks.select("peak", "chr", "start", "end"))).withColumn("draw", F.xxhash64("gene", "peak", F.lit(seed)))
-    else:
-        # numbers by range partitions of the hash: counts per bucket give each bucket's first number
-        hashed = peaks.select("peak", "chr", "start", "end", F.xxhash64("peak", F.lit(seed)).alias("h")).withColumn("bucket", F.shiftrightunsigned("h", 52))
-        before = hashed.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).withColumn("first", F.sum("k").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)))
-        numbered = hashed.join(F.broadcast(before), "bucket").withColumn("number", F.coalesce("first", F.lit(0)) + F.row_number().over(Window.partitionBy("bucket").orderBy("h", "peak")) - 1)
-        draws = g.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(4 * n + 20)))).withColumn("number", F.pmod(F.xxhash64("gene", "draw", F.lit(seed)), F.lit(total)))
-        pairs = draws.join(numbered, "number")
+    p = cut(numbered(peaks.select("peak", "chr", "start", "end", F.xxhash64("peak", F.lit(seed)).alias("h")), ["h", "peak"]))
+    total = p.count()
     far = (F.col("g_chr") != F.col("chr")) | (F.col("start") - F.col("g_end") > away) | (F.col("g_start") - F.col("end") > away)
-    once = pairs.filter(far).groupBy("gene", "peak").agg(F.min("draw").alias("draw"))
-    return top_n(once, n, [F.col("draw"), F.col("peak")], ["gene"]).select("gene", "peak")
+    known = cut(g.join(_crowding(g, p, away), "gene", "left").withColumn("fit", total - F.coalesce("near", F.lit(0))).drop("near"))
+    found = cut(known.filter(F.col("fit") < 2 * n).join(p, far).select("gene", "peak", F.xxhash64("gene", "peak", F.lit(seed)).alias("draw")))
+    open_, lo, step = known.filter(F.col("fit") >= 2 * n), 0, 2 * n
+    while not open_.isEmpty():
+        draws = open_.withColumn("draw", F.explode(F.sequence(F.lit(lo), F.lit(lo + step - 1)))).withColumn("number", F.pmod(F.xxhash64("gene", "draw", F.lit(seed)), F.lit(total)))
+        new = draws.join(p, "number").filter(far).select("gene", "peak", F.col("draw").cast("bigint").alias("draw"))
+        found = cut(found.unionByName(new).groupBy("gene", "peak").agg(F.min("draw").alias("draw")))
+        have = found.groupBy("gene").agg(F.count(F.lit(1)).alias("have")).filter(F.col("have") >= n)
+        open_ = cut(open_.join(have, "gene", "left_anti"))
+        lo, step = lo + step, 2 * step
+    return top_n(found, n, [F.col("draw"), F.col("peak")], ["gene"]).select("gene", "peak")
 
 
 def gene_windows(genes: DataFrame, least: int = 1_000, most: int = 100_000) -> DataFrame:

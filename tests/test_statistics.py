@@ -1,6 +1,7 @@
 """Tails, moderated variances and drawn backgrounds against closed forms and planted values."""
 
 import math
+import statistics
 
 import numpy as np
 import pytest
@@ -65,3 +66,43 @@ def test_background_pairs(spark, n_peaks):
         a, b = g[r.gene], p[r.peak]
         assert a.chr != b.chr or b.start - a.end > 2000 or a.start - b.end > 2000
     assert len({r.peak for r in got}) > min(n_peaks, 200) * 0.8
+
+
+def test_background_pairs_are_all_there_when_few_peaks_fit(spark):
+    genes = spark.createDataFrame([("a", "A", 1_000_000, 1_000_100), ("b", "B", 5, 10), ("c", "C", 0, 1), ("d", "A", 100, 300)], "gene string, chr string, start long, end long")
+    # 200 peaks fit gene a: some far on its own chromosome, some on another; those of chromosome C and next to it are many
+    rows = [("A", 1_000_000 + 13 * i) for i in range(4000)] + [("A", 2_000_000 + 7 * i) for i in range(150)] + [("B", 20 * i) for i in range(50)]
+    peaks = spark.createDataFrame([(i, c, s, s + 5) for i, (c, s) in enumerate(rows)], "peak int, chr string, start long, end long")
+    g, p = ({r[0]: r for r in x.collect()} for x in (genes, peaks))
+    far = lambda a, b: a.chr != b.chr or b.start - a.end > 100_000 or a.start - b.end > 100_000
+    fitting = {k: sum(far(a, b) for b in p.values()) for k, a in g.items()}
+    for n in (50, 150, 1000, 5000):
+        got = reports.background_pairs(genes, peaks, n, away=100_000).collect()
+        assert len(got) == len(set(got)) and all(far(g[r.gene], p[r.peak]) for r in got)
+        assert {k: sum(r.gene == k for r in got) for k in g} == {k: min(n, f) for k, f in fitting.items()}
+
+
+def test_contrast_statistic_keeps_strong_features_apart(spark):
+    from pyspark.sql import functions as F
+
+    from omicspark.operators.differential import contrast_statistic
+
+    rows = [(2.5, 0.5, 1.0), (None, 0.05, -2.0), (None, 1e-16, 1.0), (None, 1e-40, 1.0), (float("nan"), 1e-200, -1.0), (None, 1.0, 3.0)]
+    df = spark.createDataFrame(rows, "t double, p double, estimate double")
+    at = contrast_statistic(F.col("t"), F.col("p"), F.col("estimate")).alias("s")
+    assert [r.s for r in df.select(at).collect()] == pytest.approx([2.5, -1.959964, 8.305202, 13.361700, -30.229594, 0.0], abs=2e-3)
+    for bad in [(None, 0.0, 1.0), (None, None, 1.0), (None, 0.5, None), (None, 1.5, 1.0)]:
+        with pytest.raises(Exception, match="no statistic"):
+            spark.createDataFrame([bad], "t double, p double, estimate double").select(at).collect()
+
+
+def test_differential_statistics_have_the_sign_and_size_of_p(spark):
+    from omicspark.queries import differential_queries as q
+    from omicspark.queries.base import QUERIES
+
+    d = "/root/testdata/sf0.001"
+    table = {(r.feature, r.contrast): r for r in q.df_.differential_table(q.fits(lambda n: spark.read.parquet(f"{d}/{n}.parquet"))).collect()}
+    for r in QUERIES["differential_statistics"](spark, d).collect():
+        one = table[r.feature, r.contrast]
+        want = one.moderated_t if r.feature % 2 == 0 else -statistics.NormalDist().inv_cdf(one.p / 2) * (one.estimate > 0 or -1)
+        assert r.statistic == pytest.approx(want, abs=1e-9)
