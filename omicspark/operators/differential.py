@@ -221,11 +221,12 @@ def leading_factors(grams: DataFrame, n: int) -> DataFrame:
     return grams.groupBy(F.lit(1).alias("one")).applyInPandas(solve, "sample string, factor int, value double")
 
 
-def unwanted_factors(values: DataFrame, samples: DataFrame, names: Sequence[str], tested: Sequence[str], n: int, rounds: int = 50) -> DataFrame:
+def unwanted_factors(values: DataFrame, samples: DataFrame, names: Sequence[str], tested: Sequence[str], n: int, tolerance: float = 1e-8, rounds: int = 1_000) -> DataFrame:
     """(sample, factor, value): leading factors of the residuals, with the tested columns' part added as far as the features' effects go
     along with their loadings (robust regression, Huber), so that effects beyond those of the factors aren't taken out.
 
-    What passes a round is a table of tested x factors sums.
+    What passes a round is a table of tested x factors sums. Ends when no slope changes by `tolerance` of the largest; raises if one
+    still does after so many rounds.
     """
     factors = leading_factors(gram(values, samples, names), n)
     wide = factors.groupBy("sample").pivot("factor", list(range(1, n + 1))).agg(F.first("value"))
@@ -263,10 +264,12 @@ def unwanted_factors(values: DataFrame, samples: DataFrame, names: Sequence[str]
             w = F.least(F.lit(1.0), 1.345 * scale / F.greatest(F.abs("r"), F.lit(1e-12))) if scale > 0 else F.lit(1.0)
             sums = rows.agg(*[F.sum(w * a * b) for a in x for b in x], *[F.sum(w * a * y) for a in x]).first()
             new = np.linalg.lstsq(np.array(sums[: n * n], float).reshape(n, n), np.array(sums[n * n :], float), rcond=None)[0]
-            done = np.abs(new - slopes[i]).max() < 1e-8
+            done = np.abs(new - slopes[i]).max() <= tolerance * max(1.0, np.abs(new).max())
             slopes[i] = new
             if done:
                 break
+        else:
+            raise RuntimeError(f"unwanted_factors: slopes still change after {rounds} rounds")
     moved = own
     for j in range(n):
         add = F.lit(0.0)

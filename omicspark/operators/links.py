@@ -18,9 +18,10 @@ from .differential import leading_factors
 from .loops import cut
 
 
-def lloyd(vectors: DataFrame, sizes: DataFrame, rounds: int = 10, seed: int = 1) -> DataFrame:
+def lloyd(vectors: DataFrame, sizes: DataFrame, rounds: int = 1_000, seed: int = 1) -> DataFrame:
     """(cell_group, id, state): k-means within each group, states numbered from 0. vectors: cell_group, id, vector; sizes:
-    cell_group, k. Centres start at the k rows of least hash; they are k rows a group, so they are broadcast."""
+    cell_group, k. Centres start at the k rows of least hash; they are k rows a group, so they are broadcast.
+    Ends when no centre moves; raises if one still does after so many rounds."""
     first = Window.partitionBy("cell_group").orderBy(F.xxhash64("id", F.lit(seed)), "id")
     start = vectors.join(F.broadcast(sizes), "cell_group").withColumn("state", F.row_number().over(first) - 1).filter("state < k")
     centres = cut(start.select("cell_group", "state", F.col("vector").alias("centre")))
@@ -33,6 +34,8 @@ def lloyd(vectors: DataFrame, sizes: DataFrame, rounds: int = 10, seed: int = 1)
         centres = new
         if moved.isEmpty():
             break
+    else:
+        raise RuntimeError(f"lloyd: centres still move after {rounds} rounds")
     near = vectors.join(F.broadcast(centres), "cell_group").groupBy("cell_group", "id").agg(F.min(F.struct(F.round(distance(F.col("vector"), F.col("centre")), 9).alias("d"), "state")).alias("b"))
     return near.select("cell_group", "id", F.col("b.state").alias("state"))
 

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import links as lk
+from ..operators import slopes as sl
 from .base import query, r6
 from .differential_queries import _JOINED, joined
 
@@ -146,3 +147,20 @@ def link_correlations(t):
     design = lk.nuisance_design(a)
     rest = lambda v: lk.residuals(v, design).withColumnRenamed("residual", "value")
     return lk.link_correlations(lk.link_values(pairs(t).select("cell_group", "gene", "peak").distinct(), rest(lk.normalised(g, a, "gene_depth")), rest(lk.normalised(p, a, "peak_depth"))))
+
+
+def slope_fits(t):
+    """Donor slopes of all pairs; those whose gene and peak have the same parity play the background."""
+    g, p, a = tables(t)
+    rows = pairs(t).select("cell_group", "gene", "peak").distinct().withColumn("background", F.pmod(F.xxhash64("gene", "peak"), F.lit(2)) == 0)
+    return sl.gene_standardised(sl.donor_slopes(rows, lk.normalised(g, a, "gene_depth"), lk.normalised(p, a, "peak_depth"), lk.nuisance_design(a), a, 4), "background", 2)
+
+
+@query("link_donor_slopes")
+def link_donor_slopes(t):
+    return slope_fits(t)
+
+
+@query("link_background_calibration")
+def link_background_calibration(t):
+    return sl.background_share(slope_fits(t), "background")
