@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -10,15 +11,22 @@ from pyspark.sql import functions as F
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Checkpoint to the folder that the cluster shares (spark.checkpoint.dir); a temporary one only where none is set and Spark
-    runs on one machine."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        own = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not own and not sc.master.startswith("local"):
+    """df written as Parquet below the folder that the cluster shares (spark.checkpoint.dir), and read again; a temporary folder only where
+    none is set and Spark runs on one machine.
+
+    Not checkpoint(): a checkpoint keeps the size that was estimated for its plan, a join's estimate is the product of its sides, and in
+    a loop that grows to numbers of so many digits that planning takes longer than the work. A table that is read has its own size.
+    """
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(own or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return df.checkpoint()
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        folder = spark.sparkContext.getCheckpointDir()
+    path = f"{folder.rstrip('/')}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def numbered(df: DataFrame, order: Sequence[str], out: str = "number") -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -236,31 +238,81 @@ def random_walk(edges: DataFrame, seeds: DataFrame, restart: float = 0.05, toler
     raise RuntimeError(f"random_walk: still changing by {change} after {rounds} rounds")
 
 
-def communities(edges: DataFrame, rounds: int = 1_000, resolution: float = 1.0, patience: int = 5) -> DataFrame:
-    """(node, community) by synchronous modularity moves: a node joins the neighbouring community of greatest gain, ties to the
-    least name; nodes take turns by a hash bit, so that two don't swap. Symmetric edges are expected.
+#: Edges (both directions) of a contracted graph that one task takes to the end.
+LOCAL_EDGES = 1 << 18
+#: Orders of the nodes that are tried there.
+STARTS = 6
+
+
+def modularity(edges: DataFrame, found: DataFrame, resolution: float = 1.0) -> float:
+    """Of communities (node, community) of a symmetric graph: their share of weight, less what degrees alone would give."""
+    c = found.select(F.col("node").alias("src"), F.col("community").alias("a"))
+    rows = edges.join(c, "src").join(c.toDF("dst", "b"), "dst")
+    per = rows.groupBy(F.col("a").alias("c")).agg(F.sum("weight").alias("k"), F.sum(F.when(F.col("a") == F.col("b"), F.col("weight")).otherwise(0.0)).alias("w"))
+    total, inside, squares = per.agg(F.sum("k"), F.sum("w"), F.sum(F.col("k") * F.col("k"))).first()
+    return inside / total - resolution * squares / total**2 if total else 0.0
+
+
+def communities(edges: DataFrame, rounds: int = 1_000, resolution: float = 1.0, patience: int = 5, local_edges: int = LOCAL_EDGES) -> DataFrame:
+    """(node, community) by modularity, level by level: nodes move between communities, each community is refined into parts that grew
+    together from single nodes, and the parts become the nodes of the next level, which start in their community. Symmetric edges
+    (src, dst, weight) are expected; a community is named by its least node.
+
+    While a level has more than `local_edges` edges, its nodes move at once (see `_moved`); what is left then is of bounded size, and
+    one task takes it to the end, node after node. Ends when no part merges; raises if moves don't end in so many rounds.
+    """
+    graph = cut(edges.groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
+    names = cut(graph.select(F.col("src").alias("node")).distinct().withColumn("part", F.col("node")))
+    now = None
+    while True:
+        size = graph.count()
+        if size <= local_edges:
+            found = _finished(graph, now, resolution)
+            break
+        degree = cut(graph.groupBy(F.col("src").alias("node")).agg(F.sum("weight").alias("d")))
+        total = degree.agg(F.sum("d")).first()[0] or 1.0
+        moved = cut(_moved(graph, degree, total, now, rounds, resolution, patience))
+        side = lambda end, out: moved.select(F.col("node").alias(end), F.col("community").alias(out))
+        inner = cut(graph.join(side("src", "a"), "src").join(side("dst", "b"), "dst").filter("a = b").select("src", "dst", "weight"))
+        parts = cut(_moved(inner, degree, total, None, rounds, resolution, patience).withColumnRenamed("community", "to"))
+        merged = graph.join(parts.withColumnRenamed("node", "src").withColumnRenamed("to", "a"), "src").join(parts.withColumnRenamed("node", "dst").withColumnRenamed("to", "b"), "dst")
+        less = cut(merged.groupBy(F.col("a").alias("src"), F.col("b").alias("dst")).agg(F.sum("weight").alias("weight")))
+        names = cut(names.join(parts, names["part"] == parts["node"]).select(names["node"], F.col("to").alias("part")))
+        started = cut(parts.join(moved, "node").groupBy(F.col("to").alias("node")).agg(F.first("community").alias("community")))
+        if started.count() == degree.count():
+            found = started
+            break
+        graph, now = less, started
+    own = names.join(found.select(F.col("node").alias("part"), F.col("community").alias("c")), "part")
+    least = own.groupBy("c").agg(F.min("node").alias("community"))
+    return own.join(least, "c").select("node", "community")
+
+
+def _moved(edges: DataFrame, degree: DataFrame, total: float, start: DataFrame | None, rounds: int, resolution: float, patience: int) -> DataFrame:
+    """(node, community) by synchronous moves from a start (else: single nodes): a node joins the neighbouring community of greatest
+    gain, ties to the least name; nodes take turns by a hash bit, so that two don't swap. Degrees may be those of a larger graph.
 
     Moves at once can undo each other, so the state of greatest modularity counts: it ends when no node would move, or when the
     modularity hasn't risen for `patience` turns; raises if neither is so in so many rounds."""
-    edges = cut(edges)
-    degree = cut(edges.groupBy(F.col("src").alias("node")).agg(F.sum("weight").alias("d")))
-    total = degree.agg(F.sum("d")).first()[0] or 1.0
-    now = degree.select("node", F.col("node").alias("community"), "d")
-    best, highest, still = None, None, 0
+    loose = cut(edges.filter("src <> dst"))
+    now = degree.withColumn("community", F.col("node")) if start is None else degree.join(start, "node")
+    now = cut(now.select("node", "community", "d"))
+    best, highest, still = now, None, 0
     for turn in range(rounds):
         size = now.groupBy("community").agg(F.sum("d").alias("k"))
-        links = edges.join(now.select(F.col("node").alias("dst"), "community"), "dst").groupBy(F.col("src").alias("node"), "community").agg(F.sum("weight").alias("w"))
+        links = loose.join(now.select(F.col("node").alias("dst"), "community"), "dst").groupBy(F.col("src").alias("node"), "community").agg(F.sum("weight").alias("w"))
         own = F.col("community") == F.col("old")
         gain = F.col("w") - resolution * F.col("d") * (F.col("k") - F.when(own, F.col("d")).otherwise(0.0)) / total
         scored = links.join(size, "community").join(now.select("node", "d", F.col("community").alias("old")), "node").withColumn("gain", F.round(gain, 9))
         per = scored.groupBy("node").agg(F.max(F.struct("gain", (-F.col("community")).alias("c"))).alias("b"), F.max(F.when(own, F.col("gain"))).alias("stay"), F.coalesce(F.sum(F.when(own, F.col("w"))), F.lit(0.0)).alias("inside"))
-        state = cut(now.join(per, "node", "left").withColumn("wants", F.coalesce(F.col("b.gain") > F.coalesce("stay", F.lit(0.0)), F.lit(False))))
+        alone = -resolution * F.col("d") * (F.col("k") - F.col("d")) / total  # gain of staying where no neighbour is
+        state = cut(now.join(size, "community").join(per, "node", "left").withColumn("wants", F.coalesce(F.col("b.gain") > F.coalesce("stay", F.round(alone, 9)), F.lit(False))).drop("k"))
         squares = state.groupBy("community").agg(F.sum("d").alias("k")).agg(F.sum(F.col("k") * F.col("k")).alias("kk"))
         inside, wanting, kk = state.agg(F.sum("inside").alias("i"), F.count_if("wants").alias("n")).join(squares).first()
-        modularity = (inside or 0.0) / total - resolution * (kk or 0.0) / total**2
-        still = 0 if highest is None or modularity > highest + 1e-7 else still + 1
+        reached = (inside or 0.0) / total - resolution * (kk or 0.0) / total**2
+        still = 0 if highest is None or reached > highest + 1e-7 else still + 1
         if not still:
-            best, highest = state, modularity
+            best, highest = state, reached
         if not wanting or still == patience:
             return best.select("node", "community")
         moves = F.col("wants") & (F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(2)) == 0)
@@ -268,6 +320,107 @@ def communities(edges: DataFrame, rounds: int = 1_000, resolution: float = 1.0,
     raise RuntimeError(f"communities: nodes still move after {rounds} rounds")
 
 
+def _finished(graph: DataFrame, start: DataFrame | None, resolution: float) -> DataFrame:
+    """(node, community) of a graph of bounded size, in one task."""
+    own = graph.select(F.col("src").alias("node")).distinct().withColumn("community", F.col("node")) if start is None else start
+    rows = graph.join(own.select(F.col("node").alias("src"), "community"), "src").select("src", "dst", "weight", "community")
+
+    def solve(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(["src", "dst"])
+        names, src = np.unique(part["src"].to_numpy(), return_inverse=True)
+        first = np.searchsorted(src, np.arange(len(names)))
+        group = np.unique(part["community"].to_numpy()[first], return_inverse=True)[1]
+        found = multilevel(src, np.searchsorted(names, part["dst"].to_numpy()), part["weight"].to_numpy(float), group, resolution)
+        return pd.DataFrame({"node": names, "community": names[first_of(found)][found]})
+
+    def first_of(labels: np.ndarray) -> np.ndarray:
+        return np.unique(labels, return_index=True)[1]
+
+    return rows.groupBy(F.lit(1).alias("one")).applyInPandas(solve, "node bigint, community bigint")
+
+
+def multilevel(src: np.ndarray, dst: np.ndarray, weight: np.ndarray, group: np.ndarray, resolution: float = 1.0, starts: int = STARTS, seed: int = 1) -> np.ndarray:
+    """Community of each node 0..n-1, numbered from 0, of a symmetric graph, from a start; sequential, for what one task holds. The best of
+    several orders of the nodes, each taken through all levels again and again until that no longer helps."""
+    rng, best, highest = np.random.default_rng(seed), None, -np.inf
+    total, degree = max(float(weight.sum()), 1e-300), np.bincount(src, weight, len(group))
+    for turn in range(starts):
+        found, reached = group, -np.inf
+        while True:
+            new = _through_levels(src, dst, weight, found, resolution, rng if turn else None)
+            inside, sizes = weight[new[src] == new[dst]].sum(), np.bincount(new, degree)
+            now = (inside - resolution * (sizes @ sizes) / total) / total
+            if now <= reached + 1e-9:
+                break
+            found, reached = new, now
+        if reached > highest + 1e-9:
+            best, highest = found, reached
+    return best
+
+
+def _through_levels(src: np.ndarray, dst: np.ndarray, weight: np.ndarray, group: np.ndarray, resolution: float, rng: np.random.Generator | None) -> np.ndarray:
+    owner, group = np.arange(len(group)), group.copy()
+    while True:
+        n = len(group)
+        degree = np.bincount(src, weight, n)
+        total = max(float(weight.sum()), 1e-300)
+        order = np.argsort(src, kind="stable")
+        loose = order[src[order] != dst[order]]
+        ends = np.searchsorted(src[loose], np.arange(n + 1))
+        to, w = dst[loose].tolist(), weight[loose].tolist()
+        near = [list(zip(to[a:b], w[a:b], strict=True)) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        turns = (rng.permutation(n) if rng else np.arange(n)).tolist()
+        group = np.array(_greedy(near, degree.tolist(), total, group.tolist(), None, resolution, turns))
+        part = np.array(_greedy(near, degree.tolist(), total, list(range(n)), group.tolist(), resolution, turns))
+        _, first, part = np.unique(part, return_index=True, return_inverse=True)
+        if len(first) == n:
+            return np.unique(group, return_inverse=True)[1][owner]
+        owner, group = part[owner], np.unique(group[first], return_inverse=True)[1]
+        pairs, inverse = np.unique(part[src] * len(first) + part[dst], return_inverse=True)
+        src, dst, weight = pairs // len(first), pairs % len(first), np.bincount(inverse, weight)
+
+
+def _greedy(near: list[list[tuple[int, float]]], degree: list[float], total: float, group: list[int], within: list[int] | None, resolution: float, turns: list[int]) -> list[int]:
+    """Moves each node to the community of greatest gain, and its neighbours again after it, until none gains. With `within`, nodes
+    start alone, join neighbours in the same community only, and stay where others have joined them."""
+    size: dict[int, float] = {}
+    members: dict[int, int] = {}
+    for v, c in enumerate(group):
+        size[c] = size.get(c, 0.0) + degree[v]
+        members[c] = members.get(c, 0) + 1
+    spare = max(group, default=0) + 1
+    waiting, there = deque(turns), [True] * len(group)
+    while waiting:
+        v = waiting.popleft()
+        there[v] = False
+        own = group[v]
+        if within is not None and members[own] > 1:
+            continue
+        links: dict[int, float] = {}
+        for u, w in near[v]:
+            if within is None or within[u] == within[v]:
+                links[group[u]] = links.get(group[u], 0.0) + w
+        d = degree[v] * resolution / total
+        best, gain = own, links.get(own, 0.0) - d * (size[own] - degree[v]) + 1e-12
+        for c, w in links.items():
+            if c != own and w - d * size[c] > gain:
+                best, gain = c, w - d * size[c]
+        if within is None and gain < -1e-12 and members[own] > 1:  # better alone than anywhere
+            best, spare = spare, spare + 1
+            size[best], members[best] = 0.0, 0
+        if best != own:
+            group[v] = best
+            size[own] -= degree[v]
+            size[best] += degree[v]
+            members[own] -= 1
+            members[best] += 1
+            for u, _ in near[v] if within is None else ():
+                if group[u] != best and not there[u]:
+                    there[u] = True
+                    waiting.append(u)
+    return group
+
+
 def drop_isolated(edges: DataFrame, kept: DataFrame) -> DataFrame:
     """Edges between kept nodes; nodes left without an edge in both roles go, again until none is left alone."""
     now = cut(edges.join(kept.select(F.col("node").alias("src")), "src", "left_semi").join(kept.select(F.col("node").alias("dst")), "dst", "left_semi"))

@@ -101,7 +101,7 @@ def test_communities_find_two_cliques(spark):
 def test_loops_that_have_not_converged_raise(spark):
     edges = neighbors.symmetric(spark.createDataFrame([(0, 1), (1, 2), (2, 0), (2, 3)], "src long, dst long"))
     with pytest.raises(RuntimeError, match="1 rounds"):
-        neighbors.communities(edges, rounds=1)
+        neighbors.communities(edges, rounds=1, local_edges=0)
     with pytest.raises(RuntimeError, match="2 rounds"):
         neighbors.random_walk(edges, spark.createDataFrame([(0,)], "node long"), rounds=2)
     rows = spark.createDataFrame([(0, "a", 0.6), (0, "b", 0.4), (1, "a", 0.7), (1, "b", 0.3)], "l long, g string, v double")
