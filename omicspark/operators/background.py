@@ -6,8 +6,10 @@ Zeros enter by the size of a bin, so nothing is densified.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -135,14 +137,24 @@ def allowed_offsets(blocks: DataFrame, forbidden: DataFrame, sizes: DataFrame, r
 
 
 def shift_offsets(blocks: DataFrame, forbidden: DataFrame, sizes: DataFrame, draws: int, reach: tuple[int, int] = (500_000, 2_000_000), seed: int = 1) -> DataFrame:
-    """(block, draw, shift): hash-drawn allowed offsets, each as likely as any; blocks that can't move have none."""
+    """(block, draw, shift): hash-drawn allowed offsets, each as likely as any; blocks that can't move have none.
+
+    A draw is a number below the summed widths of the block's pieces; the piece is found by a search over cumulated widths."""
     pieces = allowed_offsets(blocks, forbidden, sizes, reach)
-    before = F.coalesce(F.sum(F.col("hi") - F.col("lo")).over(Window.partitionBy("block").orderBy("lo").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    total = F.sum(F.col("hi") - F.col("lo")).over(Window.partitionBy("block"))
-    rows = pieces.withColumns({"before": before, "total": total}).withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
-    place = F.pmod(F.xxhash64("block", "draw", F.lit(seed)), F.col("total"))
-    rows = rows.withColumn("place", place).filter((F.col("place") >= F.col("before")) & (F.col("place") < F.col("before") + F.col("hi") - F.col("lo")))
-    return rows.select("block", "draw", (F.col("lo") + F.col("place") - F.col("before")).alias("shift"))
+    listed = pieces.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("p"), F.sum(F.col("hi") - F.col("lo")).alias("total"))
+    places = F.transform(F.sequence(F.lit(1), F.lit(draws)), lambda d: F.pmod(F.xxhash64("block", d, F.lit(seed)), F.col("total")))
+    rows = listed.select("block", F.transform("p", lambda e: e["lo"]).alias("lo"), F.transform("p", lambda e: e["hi"]).alias("hi"), places.alias("places"))
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                lo, hi, at = (batch.column(c).slice(i, 1).flatten().to_numpy() for c in (1, 2, 3))
+                ends = np.cumsum(hi - lo)
+                piece = np.searchsorted(ends, at, side="right")
+                shift = lo[piece] + at - (ends - (hi - lo))[piece]
+                yield pa.RecordBatch.from_arrays([pa.array([batch.column(0)[i].as_py()] * len(at), batch.column(0).type), pa.array(np.arange(1, len(at) + 1, dtype=np.int32)), pa.array(shift)], names=["block", "draw", "shift"])
+
+    return rows.mapInArrow(look_up, f"block {pieces.schema['block'].dataType.simpleString()}, draw int, shift bigint")
 
 
 def shifted_scores(variants: DataFrame, offsets: DataFrame, peaks: DataFrame, values: DataFrame, width: int, weight: str = "weight") -> DataFrame:

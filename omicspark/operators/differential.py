@@ -7,10 +7,11 @@ design's columns. A feature's rows are bounded by the samples, so features are d
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -190,19 +191,52 @@ def mean_variance_weights(values: DataFrame, samples: DataFrame, names: Sequence
 def gram(values: DataFrame, samples: DataFrame, names: Sequence[str]) -> DataFrame:
     """(a, b, value): products of residuals summed over features, sample by sample; as large as samples are many."""
 
-    @F.pandas_udf("array<struct<sample:string,e:double>>")
+    @F.pandas_udf("array<double>")
     def residuals(rows: pd.Series) -> pd.Series:
         out = []
         for r in rows:
             r = list(r)
             y, x = np.array([e["value"] for e in r], float), np.array([e["_x"] for e in r], float)
-            e = y - x @ np.linalg.lstsq(x, y, rcond=None)[0]
-            out.append([{"sample": i["sample"], "e": float(v)} for i, v in zip(r, e, strict=True)])
+            out.append(y - x @ np.linalg.lstsq(x, y, rcond=None)[0])
         return pd.Series(out)
 
-    own = _wide(values, samples, names, None).select(residuals("rows").alias("r"))
-    pairs = own.select("r", F.explode("r").alias("p")).select("p", F.explode("r").alias("q"))
-    return pairs.groupBy(F.col("p.sample").alias("a"), F.col("q.sample").alias("b")).agg(F.sum(F.col("p.e") * F.col("q.e")).alias("value"))
+    own = _wide(values, samples, names, None).select(F.lit(0).alias("g"), F.transform("rows", lambda e: e["sample"].cast("string")).alias("names"), residuals("rows").alias("e"))
+    return products(own).drop("g")
+
+
+def products(rows: DataFrame) -> DataFrame:
+    """(g, a, b, value): products of a group's rows, added up. rows: group, names of the entries, entries, as arrays.
+
+    A task adds up its own rows' products as one matrix a group, so what is shuffled is names x names a task, however many rows there are.
+    """
+    group, names, _ = rows.columns
+    kinds = rows.schema[group].dataType.simpleString(), rows.schema[names].dataType.elementType.simpleString()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places: dict[object, dict[object, int]] = {}
+        sums: dict[object, np.ndarray] = {}
+        kind = None
+        for batch in batches:
+            kind = batch.schema.types
+            same: dict[tuple, list[np.ndarray]] = {}
+            for g, n, e in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                same.setdefault((g, tuple(n)), []).append(e.values.to_numpy(zero_copy_only=False))
+            for (g, n), x in same.items():
+                at = places.setdefault(g, {})
+                i = np.array([at.setdefault(c, len(at)) for c in n], np.int64)
+                total = sums.get(g, np.zeros((0, 0)))
+                if len(at) > len(total):
+                    total = np.pad(total, (0, len(at) - len(total)))
+                m = np.array(x)
+                total[np.ix_(i, i)] += m.T @ m
+                sums[g] = total
+        for g, total in sums.items():
+            n = pa.array(list(places[g]), kind[1].value_type)
+            a, b = np.indices(total.shape)
+            yield pa.RecordBatch.from_arrays([pa.array([g] * total.size, kind[0]), n.take(pa.array(a.ravel())), n.take(pa.array(b.ravel())), pa.array(total.ravel())], names=["g", "a", "b", "value"])
+
+    found = rows.mapInArrow(add, f"g {kinds[0]}, a {kinds[1]}, b {kinds[1]}, value double")
+    return found.groupBy("g", "a", "b").agg(F.sum("value").alias("value"))
 
 
 def leading_factors(grams: DataFrame, n: int) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import distance
-from .differential import leading_factors
+from .differential import leading_factors, products
 from .loops import cut
 
 
@@ -183,11 +183,9 @@ def residuals(values: DataFrame, design: DataFrame) -> DataFrame:
 def residual_gram(rest: DataFrame) -> DataFrame:
     """(cell_group, a, b, value): products of residuals, each feature's scaled to length 1, summed over features. As large as
     aggregates x aggregates; partial sums of chromosomes may be added."""
-    length = F.sum(F.col("residual") * F.col("residual")).over(Window.partitionBy("cell_group", "feature"))
-    scaled = rest.withColumn("l", length).filter("l > 1e-12").withColumn("e", F.col("residual") / F.sqrt("l"))
-    listed = scaled.groupBy("cell_group", "feature").agg(F.collect_list(F.struct("aggregate", "e")).alias("r"))
-    pairs = listed.select("cell_group", "r", F.explode("r").alias("p")).select("cell_group", "p", F.explode("r").alias("q"))
-    return pairs.groupBy("cell_group", F.col("p.aggregate").alias("a"), F.col("q.aggregate").alias("b")).agg(F.sum(F.col("p.e") * F.col("q.e")).alias("value"))
+    listed = rest.groupBy("cell_group", "feature").agg(F.array_sort(F.collect_list(F.struct("aggregate", "residual"))).alias("r"), F.sum(F.col("residual") * F.col("residual")).alias("l")).filter("l > 1e-12")
+    scaled = listed.select("cell_group", F.transform("r", lambda e: e["aggregate"]).alias("names"), F.transform("r", lambda e: e["residual"] / F.sqrt("l")).alias("e"))
+    return products(scaled).withColumnRenamed("g", "cell_group")
 
 
 def latent_factors(grams: DataFrame, design: DataFrame, most: int = 10) -> DataFrame:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ranks import add_bh
+from .loops import cut
 
 
 def group_sums(counts: DataFrame, groups: DataFrame, by: Sequence[str], key: str = "cell", value: str = "count") -> DataFrame:
@@ -52,29 +55,51 @@ def tf_idf(counts: DataFrame, scale: float = 1e4) -> DataFrame:
     return rows.select("feature", "cell", F.log1p(scale * F.col("tf") * F.col("n") / F.col("df")).alias("value"))
 
 
+#: Features, and distinct cell totals, that meet in one step.
+BLOCK = 2_048
+#: Bins of values, in which ranks are taken, for each doubling.
+BINS_PER_DOUBLING = 16
+
+
+def _as_zeros(feats: DataFrame, margins: DataFrame, grand: float, n: int, theta: float) -> DataFrame:
+    """(feature, s, ss): sums of residuals and of their squares if all counts were zero. Blocks of features meet blocks of the distinct cell
+    totals (total, m: how many cells) as matrices; what leaves a meeting is two numbers a feature."""
+    nf, nm = (max(1, -(-df.count() // BLOCK)) for df in (feats, margins))
+    f = feats.groupBy(F.pmod(F.xxhash64("feature"), F.lit(nf)).alias("fb")).agg(F.collect_list("feature").alias("features"), F.collect_list(F.col("f_total").cast("double")).alias("f"))
+    m = margins.groupBy(F.pmod(F.xxhash64("total"), F.lit(nm)).cast("int").alias("mb")).agg(F.collect_list(F.col("total").cast("double")).alias("t"), F.collect_list(F.col("m").cast("double")).alias("m"))
+    pairs = f.withColumn("mb", F.explode(F.sequence(F.lit(0), F.lit(nm - 1)))).join(m, "mb").select("features", "f", "t", "m")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                ids = batch.column(0).slice(i, 1).flatten()
+                totals, t, weight = (batch.column(c).slice(i, 1).flatten().to_numpy() for c in (1, 2, 3))
+                mu = np.outer(totals, t) / grand
+                z = np.maximum(-mu / np.sqrt(mu + mu * mu / theta), -np.sqrt(n))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(z @ weight), pa.array((z * z) @ weight)], names=["feature", "s", "ss"])
+
+    found = pairs.mapInArrow(meet, f"feature {feats.schema['feature'].dataType.simpleString()}, s double, ss double")
+    return found.groupBy("feature").agg(F.sum("s").alias("s"), F.sum("ss").alias("ss"))
+
+
 def residual_variance(counts: DataFrame, theta: float = 100.0) -> DataFrame:
     """(feature, variance) of analytic Pearson residuals over all cells, zeros included, clipped at sqrt(number of cells).
 
-    A zero's residual depends on both margins, so zeros are summed over the distinct cell totals, which are few next to cells.
+    A zero's residual depends on both margins, so zeros are summed over the distinct cell totals, which are few next to cells; counts
+    then add what they have beyond a zero.
     """
-    cells = counts.groupBy("cell").agg(F.sum("count").alias("total"))
-    feats = counts.groupBy("feature").agg(F.sum("count").alias("f_total"))
-    whole = cells.agg(F.sum("total").alias("grand"), F.count(F.lit(1)).alias("n"))
-    margins = cells.groupBy("total").agg(F.count(F.lit(1)).alias("m"))
-    mu = F.col("f_total") * F.col("total") / F.col("grand")
-    clip = F.sqrt("n")
-    z = lambda x: F.greatest(-clip, F.least(clip, (x - mu) / F.sqrt(mu + mu * mu / theta)))
-    # as if all were zeros, folded over an array of the distinct totals, so that no row a pair is made
-    listed = margins.agg(F.collect_list(F.struct(F.col("total").cast("double").alias("t"), F.col("m").cast("double").alias("m"))).alias("margins"))
-    grid = feats.join(F.broadcast(whole)).join(F.broadcast(listed))
-    zero = lambda t: F.greatest(-clip, -(F.col("f_total") * t / F.col("grand")) / F.sqrt(F.col("f_total") * t / F.col("grand") * (1 + F.col("f_total") * t / F.col("grand") / theta)))
-    start = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("ss"))
-    fold = F.aggregate(F.transform("margins", lambda x: F.struct(x["m"].alias("m"), zero(x["t"]).alias("z"))), start, lambda a, x: F.struct((a["s"] + x["m"] * x["z"]).alias("s"), (a["ss"] + x["m"] * x["z"] * x["z"]).alias("ss")))
-    zeros = grid.withColumn("fold", fold).select("feature", "n", "fold.s", "fold.ss")
-    seen = counts.join(cells, "cell").join(feats, "feature").join(F.broadcast(whole))
-    extra = seen.groupBy("feature").agg(F.sum(z(F.col("count")) - z(F.lit(0.0))).alias("ds"), F.sum(z(F.col("count")) * z(F.col("count")) - z(F.lit(0.0)) * z(F.lit(0.0))).alias("dss"))
+    cells = cut(counts.groupBy("cell").agg(F.sum("count").alias("total")))
+    feats = cut(counts.groupBy("feature").agg(F.sum("count").alias("f_total")))
+    grand, n = cells.agg(F.sum("total"), F.count(F.lit(1))).first()
+    if not n:
+        return feats.select("feature", F.lit(0.0).alias("variance"))
+    mu, clip = F.col("f_total") * F.col("total") / float(grand), float(n) ** 0.5
+    z = lambda x: F.greatest(F.lit(-clip), F.least(F.lit(clip), (x - mu) / F.sqrt(mu + mu * mu / theta)))
+    zeros = _as_zeros(feats, cells.groupBy("total").agg(F.count(F.lit(1)).alias("m")), float(grand), n, theta)
+    seen = counts.join(cells, "cell").join(feats, "feature").withColumns({"z": z(F.col("count")), "z0": z(F.lit(0.0))})
+    extra = seen.groupBy("feature").agg(F.sum(F.col("z") - F.col("z0")).alias("ds"), F.sum(F.col("z") * F.col("z") - F.col("z0") * F.col("z0")).alias("dss"))
     s, ss = F.col("s") + F.col("ds"), F.col("ss") + F.col("dss")
-    return zeros.join(extra, "feature").select("feature", ((ss - s * s / F.col("n")) / (F.col("n") - 1)).alias("variance"))
+    return zeros.join(extra, "feature").select("feature", ((ss - s * s / n) / F.nullif(F.lit(n - 1), F.lit(0))).alias("variance"))
 
 
 def rank_sum_test(values: DataFrame, groups: DataFrame, value: str = "norm") -> DataFrame:
@@ -86,11 +111,15 @@ def rank_sum_test(values: DataFrame, groups: DataFrame, value: str = "norm") ->
     sizes = groups.groupBy("group").agg(F.count(F.lit(1)).alias("n1"))
     n = groups.agg(F.count(F.lit(1)).alias("n"))
     seen = values.filter(F.col(value) > 0).join(groups, "cell")
-    w = Window.partitionBy("feature")
-    ties = F.count(F.lit(1)).over(Window.partitionBy("feature", value))
-    rank = F.rank().over(w.orderBy(value)) + (ties - 1) / 2
-    ranked = seen.withColumns({"rank": rank, "ties": ties * ties - 1})
-    per = ranked.groupBy("feature", "group").agg(F.sum("rank").alias("r"), F.count(F.lit(1)).alias("k"), F.sum(value).alias("s"), F.sum("ties").alias("t"))
+    # equal values count once; ranks are places in a bin of values behind the counts of the bins below, so no task holds a feature's cells
+    counted = seen.groupBy("feature", F.col(value).alias("v"), "group").agg(F.count(F.lit(1)).alias("k")).withColumn("bin", F.floor(F.log2("v") * BINS_PER_DOUBLING))
+    below = F.sum("in_bin").over(Window.partitionBy("feature").orderBy("bin")) - F.col("in_bin")
+    bins = counted.groupBy("feature", "bin").agg(F.sum("k").alias("in_bin")).withColumn("below", below)
+    upto = F.sum("k").over(Window.partitionBy("feature", "bin").orderBy("v").rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = counted.withColumns({"upto": upto, "same": F.sum("k").over(Window.partitionBy("feature", "bin", "v"))}).join(bins, ["feature", "bin"])
+    rank = F.col("below") + F.col("upto") - (F.col("same") - 1) / 2
+    k = F.col("k")
+    per = placed.groupBy("feature", "group").agg(F.sum(k * rank).alias("r"), F.sum("k").alias("k"), F.sum(k * F.col("v")).alias("s"), F.sum(k * (F.col("same") * F.col("same") - 1)).alias("t"))
     every = per.groupBy("feature").agg(F.sum("k").alias("nz"), F.sum("s").alias("s_all"), F.sum("t").alias("t_all"))
     grid = every.join(F.broadcast(sizes.join(F.broadcast(n)))).join(per, ["feature", "group"], "left").fillna(0, ["r", "k", "s"])
     n0, n1 = F.col("n") - F.col("nz"), F.col("n1")
