@@ -18,6 +18,9 @@ from ..functions.tails import chi_square_tail
 from .intervals import overlap_join
 from .tables import hash_sample
 
+#: Bins x annotations of a product, which go to every task.
+MAX_WEIGHTS = 1 << 22
+
 
 def counted_features(counts: DataFrame, sequences: DataFrame, key: str = "feature", text: str = "sequence") -> DataFrame:
     """(feature, total, gc): features with counts and the share of G and C in their sequence, null for an empty one."""
@@ -33,6 +36,39 @@ def bin_moments(counts: DataFrame, bins: DataFrame) -> DataFrame:
     return sums.join(F.broadcast(sizes), "bin").select("bin", "cell", mean.alias("mean"), (F.col("ss") / F.col("n") - mean * mean).alias("var"))
 
 
+def _by_bins(moments: DataFrame, per_bin: DataFrame) -> DataFrame:
+    """(cell, annotation, m, v): sums over bins of w1 x mean and w2 x var. Cells come with their bins as one row each, and a batch of cells
+    is multiplied with the bins x annotations weights, so there is no row for a cell, bin and annotation. The weights go to every task;
+    more than MAX_WEIGHTS of them raise."""
+    found = per_bin.limit(MAX_WEIGHTS + 1).collect()
+    if len(found) > MAX_WEIGHTS:
+        raise ValueError(f"more than {MAX_WEIGHTS} weights of bins and annotations are too many to send to every task")
+    at = {b: i for i, b in enumerate(sorted({r["bin"] for r in found}))}
+    names = {a: i for i, a in enumerate(sorted({r["annotation"] for r in found}))}
+    w1, w2 = np.zeros((len(at), len(names))), np.zeros((len(at), len(names)))
+    for r in found:
+        w1[at[r["bin"]], names[r["annotation"]]], w2[at[r["bin"]], names[r["annotation"]]] = r["w1"], r["w2"]
+    cells = moments.groupBy("cell").agg(F.collect_list(F.struct("bin", "mean", "var")).alias("b"))
+    cell, annotation = cells.schema["cell"].dataType.simpleString(), per_bin.schema["annotation"].dataType.simpleString()
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, len(batch), 1024):
+                part = batch.slice(lo, 1024)
+                inner, row = part.column(1).flatten(), np.repeat(np.arange(len(part)), part.column(1).value_lengths().to_numpy())
+                place = np.array([at.get(b, -1) for b in inner.field("bin").to_pylist()], np.int64)
+                mean, var = np.zeros((len(part), len(at))), np.zeros((len(part), len(at)))
+                used = place >= 0
+                mean[row[used], place[used]] = inner.field("mean").to_numpy()[used]
+                var[row[used], place[used]] = inner.field("var").to_numpy()[used]
+                m, v = mean @ w1, var @ w2
+                r, c = np.nonzero((m != 0) | (v != 0))
+                labels = pa.array(list(names)).take(pa.array(c))
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(r)), labels, pa.array(m[r, c]), pa.array(v[r, c])], names=["cell", "annotation", "m", "v"])
+
+    return cells.mapInArrow(multiply, f"cell {cell}, annotation {annotation}, m double, v double")
+
+
 def deviation_z(counts: DataFrame, weights: DataFrame, bins: DataFrame) -> DataFrame:
     """(cell, annotation, deviation, z): weighted counts over their expectation, less that of peaks drawn from the same bins, and
     over its standard deviation; a cell's expectation scales with its depth."""
@@ -41,7 +77,7 @@ def deviation_z(counts: DataFrame, weights: DataFrame, bins: DataFrame) -> DataF
     awaited = own.groupBy("annotation").agg(F.sum(F.col("weight") * F.col("expected")).alias("e"))
     per_bin = own.groupBy("annotation", "bin").agg(F.sum("weight").alias("w1"), F.sum(F.col("weight") * F.col("weight")).alias("w2"))
     observed = counts.join(weights, "feature").groupBy("cell", "annotation").agg(F.sum(F.col("count") * F.col("weight")).alias("o"), F.lit(0.0).alias("m"), F.lit(0.0).alias("v"))
-    drawn = bin_moments(counts, bins).join(F.broadcast(per_bin), "bin").groupBy("cell", "annotation").agg(F.lit(0.0).alias("o"), F.sum(F.col("w1") * F.col("mean")).alias("m"), F.sum(F.col("w2") * F.col("var")).alias("v"))
+    drawn = _by_bins(bin_moments(counts, bins), per_bin).select("cell", "annotation", F.lit(0.0).alias("o"), "m", "v")
     both = observed.unionByName(drawn).groupBy("cell", "annotation").agg(F.sum("o").alias("o"), F.sum("m").alias("m"), F.sum("v").alias("v"))
     depth = counts.join(bins.select("feature"), "feature", "left_semi").groupBy("cell").agg(F.sum("count").alias("d"))
     grid = depth.join(F.broadcast(awaited.join(F.broadcast(grand)))).join(both, ["cell", "annotation"], "left").fillna(0, ["o", "m", "v"])

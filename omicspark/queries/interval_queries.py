@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from ..functions.ranks import add_bh
 from ..functions.tails import poisson_above
 from ..operators import intervals as iv
+from ..operators import studies as st
 from .base import FRAGMENTS, GENES, PEAKS, fragments, genes, peaks, query, r6
 
 
@@ -116,12 +117,24 @@ def interval_promoters(t):
     return genes(t).select("gene", "chr", iv.tss(F.col("start"), F.col("end"), F.col("strand")).alias("tss"), F.when(minus, F.col("start")).otherwise(F.greatest(F.col("start") - 2, F.lit(0))).alias("body_start"), F.when(minus, F.col("end") + 2).otherwise(F.col("end")).alias("body_end"))
 
 
-@query("interval_first_class", f"""WITH c AS (SELECT p.peak, min(CASE WHEN strand = '+' THEN 1 ELSE 2 END) AS k, min(gene) AS gene FROM {PEAKS} p JOIN {GENES} g ON g.chr = p.chr AND g."start" - 20 < p."end" AND p."start" < g."end" + 20 GROUP BY 1)
-SELECT p.peak, CASE k WHEN 1 THEN 'forward' WHEN 2 THEN 'reverse' ELSE 'none' END AS kind, gene FROM {PEAKS} p LEFT JOIN c ON c.peak = p.peak""")
+@query("interval_first_class", f"""WITH c AS (SELECT p.peak, CASE WHEN strand = '+' THEN 1 ELSE 2 END AS k, min(gene) AS gene FROM {PEAKS} p JOIN {GENES} g ON g.chr = p.chr AND g."start" - 20 < p."end" AND p."start" < g."end" + 20 GROUP BY 1, 2), m AS (SELECT peak, min(k) AS k FROM c GROUP BY 1)
+SELECT p.peak, CASE m.k WHEN 1 THEN 'forward' WHEN 2 THEN 'reverse' ELSE 'none' END AS kind, gene FROM {PEAKS} p LEFT JOIN m ON m.peak = p.peak LEFT JOIN c ON c.peak = m.peak AND c.k = m.k""")
 def interval_first_class(t):
-    hits = iv.overlap_join(peaks(t), genes(t), 64, slack=20).groupBy("peak").agg(F.min(F.when(F.col("r_strand") == "+", 1).otherwise(2)).alias("k"), F.min("r_gene").alias("gene"))
-    kind = F.when(F.col("k") == 1, "forward").when(F.col("k") == 2, "reverse").otherwise("none")
-    return peaks(t).select("peak").join(hits, "peak", "left").select("peak", kind.alias("kind"), "gene")
+    g = genes(t).withColumnRenamed("gene", "name")
+    return st.first_class(peaks(t), [("forward", g.filter("strand = '+'")), ("reverse", g.filter("strand = '-'"))], 64, 20).withColumnRenamed("name", "gene")
+
+
+@query("interval_on_listed", f"SELECT * FROM {FRAGMENTS} WHERE chr IN ('A', 'R')")
+def interval_on_listed(t):
+    return st.on_listed(fragments(t), ["A", "R"], required=True)
+
+
+@query("interval_consensus_windows", f"""WITH w AS (SELECT chr, peak, ("start" + "end") // 2 AS summit FROM {PEAKS} WHERE chr IN ('A', 'R')), f AS (SELECT *, summit - 25 AS "start", summit + 25 AS "end" FROM w)
+SELECT chr, peak, summit, "start", "end", concat_ws('-', chr, "start", "end") AS name FROM f WHERE "start" >= 0 AND NOT EXISTS (SELECT 1 FROM {GENES} g WHERE g.chr = f.chr AND g."start" < f."end" AND f."start" < g."end")""")
+def interval_consensus_windows(t):
+    summits = peaks(t).select("chr", "peak", F.expr("(start + end) div 2").alias("summit"))
+    names = genes(t).filter("chr in ('A', 'R')").select("chr").distinct()
+    return st.consensus_windows(summits, names, genes(t), 50, 64)
 
 
 @query("interval_doublet_metrics", f"""WITH l AS (SELECT cell, count(*) AS n FROM {merged_sql(f"(SELECT * FROM {pieces_sql(FRAGMENTS, 'cell, chr')} WHERE depth >= 3)", 'cell, chr')} GROUP BY 1), c AS (SELECT DISTINCT cell FROM {FRAGMENTS})

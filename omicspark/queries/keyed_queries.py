@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ranks
 from ..operators import keyed as kd
+from ..operators import studies as st
 from .base import COUNTS, FRAGMENTS, GENES, PEAKS, counts, fragments, genes, peaks, query, r6
 from .table_queries import _VARIANTS, variants
 
@@ -107,7 +108,7 @@ def keyed_missing_markers(t):
 
 @query("keyed_gene_sets", "SELECT p_type AS \"set\", list_sort(list(DISTINCT p_brand)) AS symbols FROM part GROUP BY 1")
 def keyed_gene_sets(t):
-    return t("part").groupBy(F.col("p_type").alias("set")).agg(F.array_sort(F.collect_set("p_brand")).alias("symbols"))
+    return st.gene_sets(t("part"), "p_type", "p_brand")
 
 
 @query("keyed_left_cut_sites", f"""SELECT cell AS replicate, chr, "start", "start" + 1 AS "end" FROM {FRAGMENTS} WHERE cell % 2 = 1""")
@@ -136,14 +137,17 @@ SELECT c_custkey AS study, CAST(coalesce(CASE WHEN c_custkey % 3 = 0 THEN c_nati
 def keyed_study_metadata(t):
     sample = F.struct("o_orderkey", F.when(F.col("o_orderstatus") == "F", 2).otherwise(1).alias("size"))
     nested = t("orders").groupBy("o_custkey").agg(F.collect_list(sample).alias("samples"))  # discovery samples as studies nest them
-    studies = t("customer").select(F.col("c_custkey").alias("study"), F.when(F.col("c_custkey") % 3 == 0, F.col("c_nationkey")).alias("stated")).join(nested, F.col("study") == F.col("o_custkey"), "left")
-    rows = studies.select("study", "stated", F.explode_outer("samples").alias("s"))
-    return rows.groupBy("study").agg(F.coalesce(F.first("stated", True), F.sum("s.size"), F.lit(0)).cast("bigint").alias("n"), F.count("s.o_orderkey").alias("n_samples"))
+    studies = t("customer").select("c_custkey", F.when(F.col("c_custkey") % 3 == 0, F.col("c_nationkey")).alias("stated")).join(nested, F.col("c_custkey") == F.col("o_custkey"), "left")
+    return st.study_sizes(studies, "c_custkey", "stated", "samples", "size")
+
+
+def local(df, prefix="local_"):
+    return st.conform(df, studyId=F.concat(F.lit(prefix), "trait"), studyLocusId=F.col("locus"), chr=F.concat(F.lit("chr"), "chr"), pos=F.col("start"), posteriorProbability=F.col("pip"), beta=F.col("beta"))
 
 
 def conformed(t):
     """Variants of a local file in the common shape."""
-    return variants(t).select(F.concat(F.lit("local_"), "trait").alias("studyId"), F.col("locus").cast("string").alias("studyLocusId"), F.concat(F.lit("chr"), "chr").alias("chr"), F.col("start").alias("pos"), F.col("pip").cast("double").alias("posteriorProbability"), F.col("beta").cast("double").alias("beta"))
+    return local(variants(t))
 
 
 _CONFORMED = f"""(SELECT concat('local_', trait) AS studyId, CAST(locus AS VARCHAR) AS studyLocusId, concat('chr', chr) AS chr, "start" AS pos, CAST(pip AS DOUBLE) AS posteriorProbability, CAST(beta AS DOUBLE) AS beta FROM {_VARIANTS})"""
@@ -156,14 +160,13 @@ def keyed_conformed_variants(t):
 
 @query("keyed_local_metadata", f"SELECT studyId, count(*) AS n_variants, count(DISTINCT studyLocusId) AS n_loci, bool_or(beta IS NOT NULL) AS has_beta FROM {_CONFORMED} GROUP BY 1")
 def keyed_local_metadata(t):
-    return conformed(t).groupBy("studyId").agg(F.count(F.lit(1)).alias("n_variants"), F.countDistinct("studyLocusId").alias("n_loci"), F.bool_or(F.col("beta").isNotNull()).alias("has_beta"))
+    return st.variant_metadata(conformed(t))
 
 
 @query("keyed_dispatched", f"SELECT studyId, studyLocusId, count(*) AS n, round(sum(posteriorProbability), 4) AS n_signals FROM (SELECT * FROM {_CONFORMED} UNION SELECT concat('own_', studyId), studyLocusId, chr, pos, posteriorProbability, beta FROM {_CONFORMED} WHERE beta > 0) GROUP BY 1, 2")
 def keyed_dispatched(t):
-    local = conformed(t)
-    other = local.filter("beta > 0").withColumn("studyId", F.concat(F.lit("own_"), "studyId"))
-    rows = kd.union_samples([local, other]).dropDuplicates()
+    sources = [("local", variants(t)), ("own", variants(t).filter("beta > 0"))]
+    rows, _ = st.dispatched(sources, {"local": local, "own": lambda df: local(df, "own_local_")})
     return rows.groupBy("studyId", "studyLocusId").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("posteriorProbability"), 4).alias("n_signals"))
 
 
@@ -277,8 +280,7 @@ def keyed_agreement(t):
 
 @query("keyed_top_gene_context", "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_partkey IN (SELECT l_partkey FROM lineitem WHERE l_discount >= 0.1 AND l_quantity > 48)")
 def keyed_top_gene_context(t):
-    top = t("lineitem").filter("l_discount >= 0.1 and l_quantity > 48").select("l_partkey")
-    return t("lineitem").join(top, "l_partkey", "left_semi").select("l_orderkey", "l_linenumber", "l_partkey")
+    return st.in_context(t("lineitem"), "l_partkey", (F.col("l_discount") >= 0.1) & (F.col("l_quantity") > 48)).select("l_orderkey", "l_linenumber", "l_partkey")
 
 
 @query("keyed_peak_enrichment", f"""WITH n AS (SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY 1), i AS (SELECT cell, CAST(sum(count) AS BIGINT) AS in_peaks FROM {COUNTS} WHERE feature % 9 = 0 GROUP BY 1)
@@ -331,27 +333,25 @@ def keyed_marker_sets(t):
 
 @query("keyed_enriched_pairs", "SELECT l_partkey % 7 AS trait, l_suppkey AS g, bool_or(q < 0.02) AS enriched FROM (SELECT l_partkey, l_suppkey, l_linestatus, l_discount AS q FROM lineitem) GROUP BY 1, 2")
 def keyed_enriched_pairs(t):
-    return t("lineitem").groupBy((F.col("l_partkey") % 7).alias("trait"), F.col("l_suppkey").alias("g")).agg(F.bool_or(F.col("l_discount") < 0.02).alias("enriched"))
+    rows = t("lineitem").select((F.col("l_partkey") % 7).alias("trait"), F.col("l_suppkey").alias("g"), "l_discount")
+    return st.enriched_pairs(rows, ["trait", "g"], F.col("l_discount") < 0.02)
 
 
 @query("keyed_nested_samples", "SELECT c_nationkey AS sample, count(*) AS n, list(concat(c_custkey, ':', c_mktsegment) ORDER BY c_custkey) AS cells FROM customer GROUP BY 1")
 def keyed_nested_samples(t):
-    nested = t("customer").groupBy(F.col("c_nationkey").alias("sample")).agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(F.struct("c_custkey", "c_mktsegment"))).alias("cells"))
+    nested = st.nested_cells(t("customer"), "c_nationkey", "c_custkey", "c_mktsegment")
     return nested.select("sample", "n", F.transform("cells", lambda x: F.concat_ws(":", x["c_custkey"], x["c_mktsegment"])).alias("cells"))
 
 
 @query("keyed_continuous_inputs", f"""SELECT c_custkey AS cell, c_acctbal, CAST(coalesce(sum(count) FILTER (feature = 3), 0) AS BIGINT) AS f3, CAST(coalesce(sum(count) FILTER (feature = 5), 0) AS BIGINT) AS f5 FROM customer LEFT JOIN {COUNTS} ON cell = c_custkey GROUP BY 1, 2""")
 def keyed_continuous_inputs(t):
-    rows = counts(t).filter("feature in (3, 5)").groupBy("cell").pivot("feature", [3, 5]).agg(F.sum("count"))
-    wide = t("customer").select(F.col("c_custkey").alias("cell"), "c_acctbal").join(rows, "cell", "left").fillna(0, ["3", "5"])
-    return wide.select("cell", "c_acctbal", F.col("3").alias("f3"), F.col("5").alias("f5"))
+    return st.continuous_inputs(t("customer").withColumnRenamed("c_custkey", "cell"), ["c_acctbal"], counts(t), {"f3": 3, "f5": 5})
 
 
 @query("keyed_pooled_least", """WITH c AS (SELECT p_brand AS tf, l_returnflag AS ty, sum(CAST(l_quantity AS BIGINT)) AS n FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1, 2) SELECT tf, round(min(n * 1e6 / d), 4) AS least_cpm FROM (SELECT *, sum(n) OVER (PARTITION BY ty) AS d FROM c) GROUP BY 1""")
 def keyed_pooled_least(t):
-    rows = t("lineitem").join(t("part"), F.col("p_partkey") == F.col("l_partkey")).groupBy(F.col("p_brand").alias("tf"), "l_returnflag").agg(F.sum(F.col("l_quantity").cast("bigint")).alias("n"))
-    depth = rows.groupBy("l_returnflag").agg(F.sum("n").alias("d"))
-    return rows.join(F.broadcast(depth), "l_returnflag").groupBy("tf").agg(F.round(F.min(F.col("n") * 1e6 / F.col("d")), 4).alias("least_cpm"))
+    rows = t("lineitem").join(t("part"), F.col("p_partkey") == F.col("l_partkey")).select(F.col("p_brand").alias("tf"), "l_returnflag", F.col("l_quantity").cast("bigint").alias("n"))
+    return st.least_pooled_cpm(rows, "tf", "l_returnflag", "n").withColumn("least_cpm", F.round("least_cpm", 4))
 
 
 @query("keyed_detail_loci", """WITH x AS (SELECT c_nationkey, c_custkey, c_acctbal - 4500 AS v, c_custkey % 101 AS w FROM customer), p AS (SELECT *, (rank() OVER (PARTITION BY c_nationkey ORDER BY abs(v)) + (count(*) OVER (PARTITION BY c_nationkey, abs(v)) - 1) / 2) / count(*) OVER (PARTITION BY c_nationkey) AS pv, (rank() OVER (PARTITION BY c_nationkey ORDER BY abs(w)) + (count(*) OVER (PARTITION BY c_nationkey, abs(w)) - 1) / 2) / count(*) OVER (PARTITION BY c_nationkey) AS pw FROM x),
@@ -385,22 +385,15 @@ def keyed_p_histogram(t):
 
 @query("keyed_score_matrix", "SELECT s_suppkey AS peak, g AS \"group\", coalesce(r, 0) AS rank FROM supplier CROSS JOIN (SELECT DISTINCT l_returnflag AS g FROM lineitem) LEFT JOIN (SELECT l_suppkey, l_returnflag, round(percent, 6) AS r FROM (SELECT *, (rank() OVER (PARTITION BY l_returnflag ORDER BY n) + (count(*) OVER (PARTITION BY l_returnflag, n) - 1) / 2) / count(*) OVER (PARTITION BY l_returnflag) AS percent FROM (SELECT l_suppkey, l_returnflag, count(*) AS n FROM lineitem WHERE l_quantity > 40 GROUP BY 1, 2))) ON l_suppkey = s_suppkey AND l_returnflag = g")
 def keyed_score_matrix(t):
-    from ..operators.tables import percentile_rank
-
     n = t("lineitem").filter("l_quantity > 40").groupBy(F.col("l_suppkey").alias("peak"), F.col("l_returnflag").alias("group")).agg(F.count(F.lit(1)).alias("n"))
-    scores = percentile_rank(n, "n", ["group"]).select("peak", "group", F.round("pct", 6).alias("rank"))
-    grid = t("supplier").select(F.col("s_suppkey").alias("peak")).join(F.broadcast(t("lineitem").select(F.col("l_returnflag").alias("group")).distinct()))
-    return grid.join(scores, ["peak", "group"], "left").fillna(0.0, ["rank"])
+    return st.rank_matrix(n, t("supplier").select(F.col("s_suppkey").alias("peak")), "peak", "group", "n").withColumns(r6("rank"))
 
 
 @query("keyed_zero_filled_scores", "SELECT a.trait, b.g AS \"group\", coalesce(s, 0) AS score, coalesce(n, 0) AS n, CASE WHEN b.g < 2 THEN 'low' ELSE 'high' END AS compartment FROM (SELECT DISTINCT l_partkey % 97 AS trait FROM lineitem) a CROSS JOIN (SELECT DISTINCT l_suppkey % 5 AS g FROM lineitem) b LEFT JOIN (SELECT l_partkey % 97 AS trait, l_suppkey % 5 AS g, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS s, count(*) AS n FROM lineitem WHERE l_discount > 0.09 GROUP BY 1, 2) USING (trait, g)")
 def keyed_zero_filled_scores(t):
-    from ..operators.tables import complete
-
     rows = t("lineitem").withColumns({"trait": F.col("l_partkey") % 97, "group": F.col("l_suppkey") % 5})
-    high = F.col("l_discount") > 0.09
-    per = rows.groupBy("trait", "group").agg(F.coalesce(F.sum(F.when(high, F.col("l_quantity").cast("bigint"))), F.lit(0)).alias("score"), F.count_if(high).alias("n"))
-    return complete(per, ["trait"], ["group"], {"score": 0, "n": 0}).withColumn("compartment", F.when(F.col("group") < 2, "low").otherwise("high"))
+    filled = st.zero_filled(rows, "trait", "group", F.col("l_quantity").cast("bigint"), F.col("l_discount") > 0.09)
+    return filled.withColumn("compartment", F.when(F.col("group") < 2, "low").otherwise("high"))
 
 
 @query("keyed_split_natural", "SELECT p_partkey, p_brand, dense_rank() OVER (ORDER BY CAST(substr(p_brand, 7) AS INTEGER)) AS part FROM part")
@@ -466,15 +459,12 @@ def keyed_standardised_differences(t):
 @query("keyed_unpivoted_overlaps", f"""WITH n AS (SELECT p.peak % 7 AS trait, count(*) AS n_overlaps, count(DISTINCT p.peak) AS n_peaks FROM {PEAKS} p JOIN {FRAGMENTS} f ON f.chr = p.chr AND f."start" < p."end" AND p."start" < f."end" GROUP BY 1)
 SELECT trait, 'n_overlaps' AS measure, n_overlaps AS value, n_overlaps >= 100 AS enough FROM n UNION ALL SELECT trait, 'n_peaks', n_peaks, n_overlaps >= 100 FROM n""")
 def keyed_unpivoted_overlaps(t):
-    from ..operators.intervals import overlap_join
-
-    n = overlap_join(fragments(t), peaks(t), 32).groupBy((F.col("r_peak") % 7).alias("trait")).agg(F.count(F.lit(1)).alias("n_overlaps"), F.countDistinct("r_peak").alias("n_peaks")).withColumn("enough", F.col("n_overlaps") >= 100)
-    return n.unpivot(["trait", "enough"], ["n_overlaps", "n_peaks"], "measure", "value")
+    return st.overlap_measures(fragments(t), peaks(t), 32, F.col("r_peak") % 7, 100)
 
 
 @query("keyed_donor_counts", "SELECT c_nationkey AS donor, count(*) AS n FROM customer GROUP BY 1")
 def keyed_donor_counts(t):
-    return t("customer").groupBy(F.col("c_nationkey").alias("donor")).agg(F.count(F.lit(1)).alias("n"))
+    return st.donor_counts(t("customer"), "c_nationkey")
 
 
 @query("keyed_focal_coverage", f"""WITH s AS (SELECT cell % 4 AS focal, chr, unnest(["start", "end" - 1]) AS pos FROM {FRAGMENTS}), w AS (SELECT gene, chr, "start" - 50 AS lo, "end" + 50 AS hi, ascii(substr(gene, 8, 1)) % 4 AS focal FROM {GENES})
@@ -484,3 +474,9 @@ def keyed_focal_coverage(t):
 
     windows = genes(t).select("gene", "chr", (F.col("start") - 50).alias("start"), (F.col("end") + 50).alias("end"), (F.ascii(F.substring("gene", 8, 1)) % 4).cast("bigint").alias("focal"))
     return link_coverage(fragments(t).withColumn("focal", F.col("cell") % 4), windows, "gene", "focal", 10)
+
+
+@query("keyed_cohort_samples", "SELECT o_orderkey, o_custkey, o_orderpriority, o_totalprice FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 5000) AND o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_totalprice >= 100000")
+def keyed_cohort_samples(t):
+    cohort = t("customer").filter("c_acctbal > 5000").select(F.col("c_custkey").alias("o_custkey"))
+    return st.cohort_samples(t("orders"), cohort, "o_custkey", "o_orderpriority", ["1-URGENT", "2-HIGH"], "o_totalprice", 100_000).select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ranks
 from ..operators import matrix as mx
+from ..operators import studies as st
 from .base import COUNTS, counts, query, r6
 
 
@@ -126,10 +127,15 @@ def matrix_deviations(t):
 
 @query("matrix_large_features", f"SELECT feature, cell, count FROM {COUNTS} WHERE feature IN (SELECT feature FROM {COUNTS} GROUP BY 1 HAVING sum(count) > 800)")
 def matrix_large_features(t):
-    rows = counts(t)
-    return rows.join(rows.groupBy("feature").agg(F.sum("count").alias("n")).filter("n > 800"), "feature", "left_semi").select("feature", "cell", "count")
+    return st.large_features(counts(t), 800).select("feature", "cell", "count")
 
 
 @query("rank_spearman", "WITH x AS (SELECT l_returnflag, l_quantity, l_extendedprice FROM lineitem), r AS (SELECT l_returnflag, rank() OVER (PARTITION BY l_returnflag ORDER BY l_quantity) + (count(*) OVER (PARTITION BY l_returnflag, l_quantity) - 1) / 2 AS a, rank() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice) + (count(*) OVER (PARTITION BY l_returnflag, l_extendedprice) - 1) / 2 AS b FROM x) SELECT l_returnflag, round(corr(a, b), 6) AS rho, count(*) AS n FROM r GROUP BY 1")
 def rank_spearman(t):
     return ranks.spearman(t("lineitem"), "l_quantity", "l_extendedprice", ["l_returnflag"]).withColumns(r6("rho"))
+
+
+@query("matrix_requested_cells", f"SELECT feature, cell, count FROM {COUNTS} WHERE cell % 3 = 0 AND feature IN (SELECT feature FROM {COUNTS} WHERE cell % 3 = 0 GROUP BY 1 HAVING sum(count) > 50)")
+def matrix_requested_cells(t):
+    cells = t("supplier").filter("s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("cell"))
+    return st.large_features(counts(t), 50, cells).select("feature", "cell", "count")

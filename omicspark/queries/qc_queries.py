@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ranks import share
 from ..operators import qc
+from ..operators import studies as st
 from .base import COUNTS, counts, query, r6
 
 RULES = ["o_totalprice < 60000", "o_custkey % 10 = 3", "o_orderstatus = 'P' and o_totalprice > 300000"]
@@ -127,8 +128,7 @@ def qc_donors_in_kept(t):
 @query("qc_class_by_exclusion", """
 WITH x AS (SELECT o_orderpriority, o_orderstatus, count(*) AS n FROM orders WHERE o_totalprice < 60000 GROUP BY 1, 2) SELECT o_orderpriority, o_orderstatus, n, round(100 * n / sum(n) OVER (PARTITION BY o_orderpriority), 6) AS percent FROM x""")
 def qc_class_by_exclusion(t):
-    n = t("orders").filter("o_totalprice < 60000").groupBy("o_orderpriority", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
-    return n.withColumn("percent", F.round(100 * share("n", ["o_orderpriority"]), 6))
+    return st.class_percentages(t("orders").filter("o_totalprice < 60000"), "o_orderpriority", "o_orderstatus").withColumn("percent", F.round("percent", 6))
 
 
 _SETS = ("click", "view", "purchase")
