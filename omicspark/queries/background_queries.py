@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..operators import attribution as at
 from ..operators import background as bg
 from ..operators import enrichment as en
 from ..operators import labels as lb
@@ -186,3 +187,12 @@ def background_motif_matches(t):
 
     motifs = {"GATA": np.array([[1, 9, 1, 9], [1, 1, 1, 1], [9, 1, 1, 1], [1, 1, 9, 1]], float), "CACC": np.array([[1, 9, 1, 1], [9, 1, 9, 9], [1, 1, 1, 1], [1, 1, 1, 1]], float)}
     return scan_motifs(t("part").filter("p_size > 10").select("p_partkey", _sequence().alias("sequence")), motifs, "p_partkey", "sequence")
+
+
+@query("background_attribution_weights")
+def background_attribution_weights(t):
+    """Weights of the groups behind line items with a discount, by a prior that held-out brands choose."""
+    rows = t("lineitem").filter("l_discount > 0").join(t("part"), F.col("p_partkey") == F.col("l_partkey"))
+    own = rows.groupBy(F.col("l_suppkey").alias("locus"), F.col("l_partkey").alias("feature"), F.col("p_brand").alias("chr")).agg(F.sum("l_discount").alias("mass"))
+    bins = t("part").select(F.col("p_partkey").alias("feature"), (F.col("p_size") % 10).alias("bin"))
+    return at.weight_table(at.attributed(own, likelihood(t), bins, draws=3), own)

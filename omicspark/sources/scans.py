@@ -84,6 +84,46 @@ def read_motifs(spark: SparkSession, path: str) -> DataFrame:
     return blocks.filter("id <> ''").select("id", F.explode("rows").alias("row")).select("id", cells[0].cast("int").alias("place"), *[cells[i + 1].cast("double").alias(b) for i, b in enumerate("ACGT")])
 
 
+def trim_motifs(motifs: DataFrame, least: int = 8, share: float = 0.5) -> DataFrame:
+    """Motifs (id, place, A, C, G, T) cut to their best-supported window, places numbered anew from 1: as wide as the stretch between the
+    first and the last place with `share` of the greatest total, `least` places at least (all, if there are fewer), around that
+    stretch, where the totals sum to most; ties to the first."""
+    row = F.struct("place", *"ACGT")
+    listed = motifs.groupBy("id").agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    listed = listed.withColumn("totals", F.transform("rows", lambda r: r["A"] + r["C"] + r["G"] + r["T"]))
+    high = F.transform("totals", lambda x: x >= share * F.array_max("totals"))
+    listed = listed.withColumns({"n": F.size("rows"), "lo": F.array_position(high, True).cast("int") - 1, "hi": F.size("rows") - F.array_position(F.reverse(high), True).cast("int")})
+    listed = listed.withColumn("width", F.least(F.greatest(F.col("hi") - F.col("lo") + 1, F.lit(least)), F.col("n")))
+    starts = F.sequence(F.greatest(F.lit(0), F.col("hi") - F.col("width") + 1), F.least("lo", F.col("n") - F.col("width")))
+    support = lambda s: F.aggregate(F.slice("totals", s + 1, F.col("width")), F.lit(0.0), lambda a, x: a + x)
+    best = F.array_max(F.transform(starts, lambda s: F.struct(F.round(support(s), 9).alias("sum"), (-s).alias("minus"))))
+    kept = listed.withColumn("first", -best["minus"]).select("id", F.posexplode(F.slice("rows", F.col("first") + 1, F.col("width"))).alias("i", "r"))
+    return kept.select("id", (F.col("i") + 1).alias("place"), *[F.col(f"r.{b}") for b in "ACGT"])
+
+
+def read_mapping(spark: SparkSession, path: str | None, keys: Sequence[str], unique: Sequence[Sequence[str]], known: DataFrame, without: dict[str, str] | None = None) -> DataFrame:
+    """An optional tab-separated mapping table of text columns; without a path an empty one. Raises, naming all that is wrong, where a key
+    column or value is missing, a combination of `unique` columns repeats, a value holds what it may not (`without`: column ->
+    pattern), or the first key isn't among `known`. One pass counts the violations."""
+    if path is None:
+        return spark.createDataFrame([], ", ".join(f"{k} string" for k in keys))
+    rows = spark.read.csv(path, sep="\t", header=True)
+    missing = [k for k in keys if k not in rows.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    checks = {f"rows without {k}": F.count_if(F.col(k).isNull()) for k in keys}
+    checks |= {f"repeated {' and '.join(u)}": F.count(F.lit(1)) - F.countDistinct(*[F.coalesce(F.col(c), F.lit("")) for c in u]) for u in unique}
+    checks |= {f"{k} with {pattern!r}": F.count_if(F.col(k).rlike(pattern)) for k, pattern in (without or {}).items()}
+    counts = rows.agg(*[c.alias(f"c{i}") for i, c in enumerate(checks.values())]).first()
+    wrong = {name: n for name, n in zip(checks, counts, strict=True) if n}
+    unknown = rows.select(keys[0]).dropna().join(known.select(F.col(known.columns[0]).cast("string").alias(keys[0])), keys[0], "left_anti").count()
+    if unknown:
+        wrong[f"{keys[0]} not known"] = unknown
+    if wrong:
+        raise ValueError(f"{path}: " + ", ".join(f"{n} {name}" for name, n in wrong.items()))
+    return rows
+
+
 def write_regions(df: DataFrame, path: str, by: str) -> None:
     """Tab-separated chr, start, end and what follows, one folder a group."""
     df.repartition(by).write.partitionBy(by).csv(path, sep="\t")

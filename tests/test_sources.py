@@ -70,3 +70,52 @@ def test_sessions_split_at_gaps(spark):
     rows = [(1, "2024-01-01 00:00:00"), (1, "2024-01-01 00:20:00"), (1, "2024-01-01 02:00:00"), (2, "2024-01-01 00:00:00")]
     df = spark.createDataFrame(rows, "user_id long, ts string").withColumn("ts", F.to_timestamp("ts"))
     assert sorted((r.user_id, r.n) for r in tiles.sessions(df).collect()) == [(1, 1), (1, 2), (2, 1)]
+
+
+def test_motifs_are_trimmed_to_the_best_supported_window(spark):
+    import numpy as np
+
+    from omicspark.sources.scans import trim_motifs
+
+    rng = np.random.default_rng(1)
+    motifs = {f"m{i}": rng.integers(0, 9, (int(rng.integers(3, 20)), 4)) + (np.arange(4) == 0) for i in range(60)}
+    motifs["short"] = np.ones((4, 4), int)
+    motifs["flanked"] = np.array([[1, 0, 0, 0]] * 4 + [[9, 9, 9, 9]] * 3 + [[2, 0, 0, 0]] * 6)
+    df = spark.createDataFrame([(k, p + 1, *map(float, r)) for k, m in motifs.items() for p, r in enumerate(m)], "id string, place int, A double, C double, G double, T double").repartition(3)
+    got = {}
+    for r in trim_motifs(df).orderBy("id", "place").collect():
+        got.setdefault(r.id, []).append((r.place, r.A, r.C, r.G, r["T"]))
+    for k, m in motifs.items():
+        totals = m.sum(1)
+        core = np.flatnonzero(totals >= totals.max() / 2)
+        lo, hi, n = core[0], core[-1], len(m)
+        width = min(max(hi - lo + 1, 8), n)
+        starts = list(range(max(0, hi - width + 1), min(lo, n - width) + 1))
+        start = max(starts, key=lambda s: (totals[s : s + width].sum(), -s))
+        assert got[k] == [(i + 1, *map(float, r)) for i, r in enumerate(m[start : start + width])]
+
+
+def test_optional_mapping_is_checked(spark, tmp_path):
+    from omicspark.sources.scans import read_mapping
+
+    known = spark.createDataFrame([("w1",), ("w2",)], "well string")
+    read = lambda text: read_mapping(spark, str(write(text)), ["well", "donor", "sample"], [["well", "donor"], ["well", "sample"]], known, {"sample": "_"})
+
+    def write(text):
+        file = tmp_path / f"{abs(hash(text))}.tsv"
+        file.write_text(text)
+        return file
+
+    good = "well\tdonor\tsample\nw1\td1\ts1\nw1\td2\ts2\nw2\td1\ts1\n"
+    assert read(good).count() == 3
+    assert read_mapping(spark, None, ["well", "donor"], [], known).collect() == []
+    for text, said in [
+        (good + "w1\td1\ts3\n", "repeated well and donor"),
+        (good + "w2\td9\ts1\n", "repeated well and sample"),
+        (good + "w2\td9\ta_b\n", "sample with"),
+        (good + "w3\td9\ts9\n", "well not known"),
+        (good + "w2\t\ts9\n", "rows without donor"),
+        ("well\tdonor\nw1\td1\n", "no column sample"),
+    ]:
+        with pytest.raises(ValueError, match=said):
+            read(text)
