@@ -55,9 +55,9 @@ def background_variability_tails(t):
     return bg.variability(bg.deviation_z(counts(t), weights(t), bins(t)))
 
 
-@query("background_trait_z", f"""SELECT trait, cell, round(z, 6) AS z FROM (SELECT annotation AS trait, cell, z FROM {_Z.replace(_WEIGHTS, "(SELECT concat('t', l_partkey % 7) AS annotation, l_partkey AS feature, least(1, sum(l_discount)) AS weight FROM lineitem WHERE l_partkey % 11 = 0 GROUP BY 1, 2)")})""")
+@query("background_trait_z", f"""SELECT trait, cell, round(z, 6) AS z FROM (SELECT annotation AS trait, cell, z FROM {_Z.replace(_WEIGHTS, "(SELECT concat('t', l_partkey % 7) AS annotation, l_partkey AS feature, least(1, sum(l_discount)) AS weight FROM lineitem GROUP BY 1, 2)")})""")
 def background_trait_z(t):
-    traits = t("lineitem").filter("l_partkey % 11 = 0").groupBy(F.concat(F.lit("t"), F.col("l_partkey") % 7).alias("annotation"), F.col("l_partkey").alias("feature")).agg(F.least(F.lit(1.0), F.sum("l_discount")).alias("weight"))
+    traits = t("lineitem").groupBy(F.concat(F.lit("t"), F.col("l_partkey") % 7).alias("annotation"), F.col("l_partkey").alias("feature")).agg(F.least(F.lit(1.0), F.sum("l_discount")).alias("weight"))
     return bg.deviation_z(counts(t), traits, bins(t)).select(F.col("annotation").alias("trait"), "cell", F.round("z", 6).alias("z"))
 
 
@@ -161,12 +161,12 @@ def background_attribution_likelihood(t):
     return likelihood(t).withColumn("likelihood", F.round("likelihood", 9))
 
 
-_PAIRS = "(SELECT l_suppkey AS locus, l_partkey AS feature, sum(l_discount) AS mass FROM lineitem WHERE l_discount > 0.08 GROUP BY 1, 2)"
+_PAIRS = "(SELECT l_suppkey AS locus, l_partkey AS feature, sum(l_discount) AS mass FROM lineitem GROUP BY 1, 2)"
 
 
 @query("background_locus_shares", f"""WITH p AS (SELECT locus, "group", sum(mass * likelihood / t) AS p FROM (SELECT *, sum(likelihood) OVER (PARTITION BY locus, feature) AS t FROM {_PAIRS} JOIN {_LIKELIHOOD} USING (feature)) GROUP BY 1, 2) SELECT locus, "group", round(p / sum(p) OVER (PARTITION BY locus), 6) AS share FROM p""")
 def background_locus_shares(t):
-    pairs = t("lineitem").filter("l_discount > 0.08").groupBy(F.col("l_suppkey").alias("locus"), F.col("l_partkey").alias("feature")).agg(F.sum("l_discount").alias("mass"))
+    pairs = t("lineitem").groupBy(F.col("l_suppkey").alias("locus"), F.col("l_partkey").alias("feature")).agg(F.sum("l_discount").alias("mass"))
     return bg.locus_shares(pairs, likelihood(t)).withColumns(r6("share"))
 
 
@@ -186,7 +186,7 @@ def background_motif_matches(t):
     from ..operators.learners import scan_motifs
 
     motifs = {"GATA": np.array([[1, 9, 1, 9], [1, 1, 1, 1], [9, 1, 1, 1], [1, 1, 9, 1]], float), "CACC": np.array([[1, 9, 1, 1], [9, 1, 9, 9], [1, 1, 1, 1], [1, 1, 1, 1]], float)}
-    return scan_motifs(t("part").filter("p_size > 10").select("p_partkey", _sequence().alias("sequence")), motifs, "p_partkey", "sequence")
+    return scan_motifs(t("part").select("p_partkey", _sequence().alias("sequence")), motifs, "p_partkey", "sequence")
 
 
 @query("background_attribution_weights")

@@ -283,11 +283,11 @@ def keyed_top_gene_context(t):
     return st.in_context(t("lineitem"), "l_partkey", (F.col("l_discount") >= 0.1) & (F.col("l_quantity") > 48)).select("l_orderkey", "l_linenumber", "l_partkey")
 
 
-@query("keyed_peak_enrichment", f"""WITH n AS (SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY 1), i AS (SELECT cell, CAST(sum(count) AS BIGINT) AS in_peaks FROM {COUNTS} WHERE feature % 9 = 0 GROUP BY 1)
+@query("keyed_peak_enrichment", f"""WITH n AS (SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY 1), i AS (SELECT cell, CAST(sum(count) AS BIGINT) AS in_peaks FROM {COUNTS} WHERE feature IN (SELECT p_partkey FROM part WHERE p_size <= 5) GROUP BY 1)
 SELECT l_suppkey AS cell, n, coalesce(in_peaks, 0) AS in_peaks, round(log10(greatest(coalesce(in_peaks, 0), 1)), 6) AS log10_in_peaks, round(coalesce(in_peaks, 0) / n / 0.02, 6) AS enrichment FROM n LEFT JOIN i ON cell = l_suppkey""")
 def keyed_peak_enrichment(t):
     totals = t("lineitem").groupBy(F.col("l_suppkey").alias("cell")).agg(F.count(F.lit(1)).alias("n"))
-    return kd.cut_site_enrichment(counts(t).filter("feature % 9 = 0"), totals, "cell", 2, 100).withColumns(r6("log10_in_peaks", "enrichment"))
+    return kd.cut_site_enrichment(counts(t).join(t("part").filter("p_size <= 5").select(F.col("p_partkey").alias("feature")), "feature", "left_semi"), totals, "cell", 2, 100).withColumns(r6("log10_in_peaks", "enrichment"))
 
 
 @query("keyed_cohort_support", """WITH r AS (SELECT c_nationkey, count(*) AS n, sum(o_orderkey % 90) AS cells, string_agg(DISTINCT o_orderstatus, ',' ORDER BY o_orderstatus) AS wells FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_totalprice > 400000 GROUP BY 1), f AS (SELECT c_nationkey, count(*) AS n FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_totalprice > 480000 GROUP BY 1)

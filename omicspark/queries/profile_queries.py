@@ -3,9 +3,11 @@
 from pyspark.sql import functions as F
 
 from ..operators import heritability as hr
+from ..operators import matrix as mx
 from ..operators import profiles as pf
 from ..operators.models import block_crossproducts
-from .base import COUNTS, FRAGMENTS, GENES, PEAKS, counts, fragments, genes, peaks, query, r6
+from . import matrix_queries  # noqa: F401 - registers the SQL of residual variances
+from .base import COUNTS, FRAGMENTS, GENES, ORACLE_SQL, PEAKS, counts, fragments, genes, peaks, query, r6
 from .interval_queries import merged_sql, pieces_sql
 from .table_queries import _VARIANTS, variants
 
@@ -33,13 +35,15 @@ def profile_consensus_peaks(t):
     return pf.consensus_peaks(rows.dropDuplicates(["name"]), "replicate", "score", "name", sizes, 5, 100_000, 500)
 
 
-_CHOSEN = f"(SELECT feature, row_number() OVER (ORDER BY feature) - 1 AS place FROM (SELECT DISTINCT feature FROM {COUNTS} WHERE feature % 50 = 1))"
+_CHOSEN = f"(SELECT feature, row_number() OVER (ORDER BY feature) - 1 AS place FROM (SELECT feature FROM ({ORACLE_SQL['matrix_residual_variance']}) ORDER BY variance DESC, feature LIMIT 40))"
 
 
 def chosen(t):
+    """The 40 features of greatest residual variance, in order."""
     from pyspark.sql import Window
 
-    return counts(t).filter("feature % 50 = 1").select("feature").distinct().withColumn("place", F.row_number().over(Window.orderBy("feature")) - 1)
+    top = mx.residual_variance(counts(t)).orderBy(F.round("variance", 6).desc(), "feature").limit(40)
+    return top.select("feature", (F.row_number().over(Window.orderBy("feature")) - 1).alias("place"))
 
 
 @query("profile_residual_vectors", f"""WITH c AS {COUNTS}, d AS (SELECT cell, sum(count) AS d FROM c GROUP BY 1), f AS (SELECT feature, place, sum(count) AS f FROM c JOIN {_CHOSEN} USING (feature) GROUP BY 1, 2), x AS (SELECT d.cell, f.place, coalesce(count, 0) AS x, f * d / (SELECT sum(count) FROM c) AS mu, (SELECT count(*) FROM d) AS n FROM d CROSS JOIN f LEFT JOIN c ON c.cell = d.cell AND c.feature = f.feature)
@@ -166,10 +170,10 @@ def heritability_locus_contributions(t):
 
 def loci(t):
     """Loci of suppliers by chromosome-like parts, so that they are apart from each other."""
-    return variants(t).withColumn("chr", F.concat("chr", F.col("locus") % 11)).filter("pip > 0.08").withColumn("locus", F.concat_ws(":", "locus", "chr", F.floor(F.col("start") / 200)))
+    return variants(t).withColumn("chr", F.concat("chr", F.col("locus") % 11)).withColumn("locus", F.concat_ws(":", "locus", "chr", F.floor(F.col("start") / 200)))
 
 
-@query("heritability_islands", f"""WITH v AS (SELECT concat(chr, locus % 11) AS chr, "start", "end", concat_ws(':', locus, concat(chr, locus % 11), CAST(floor("start" / 200) AS BIGINT)) AS locus FROM {_VARIANTS} WHERE pip > 0.08), s AS (SELECT chr, locus, min("start") AS "start", max("end") AS "end" FROM v GROUP BY 1, 2), m AS (SELECT * FROM {merged_sql('s', gap=10)}) SELECT locus, concat_ws(':', m.chr, m."start") AS island FROM s JOIN m ON m.chr = s.chr AND s."start" < m."end" AND m."start" < s."end" """)
+@query("heritability_islands", f"""WITH v AS (SELECT concat(chr, locus % 11) AS chr, "start", "end", concat_ws(':', locus, concat(chr, locus % 11), CAST(floor("start" / 200) AS BIGINT)) AS locus FROM {_VARIANTS}), s AS (SELECT chr, locus, min("start") AS "start", max("end") AS "end" FROM v GROUP BY 1, 2), m AS (SELECT * FROM {merged_sql('s', gap=10)}) SELECT locus, concat_ws(':', m.chr, m."start") AS island FROM s JOIN m ON m.chr = s.chr AND s."start" < m."end" AND m."start" < s."end" """)
 def heritability_islands(t):
     return hr.merged_loci(loci(t), "locus", 10)
 
