@@ -8,6 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def correlation(x: str, y: str) -> Column:
+    """Pearson correlation over rows that have both; null where one of them doesn't vary (there F.corr divides by zero)."""
+    return F.try_divide(F.regr_sxy(y, x), F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x)))
+
+
 def average_rank(value: str, by: Sequence[str] = ()) -> Column:
     """Rank from 1 in which ties share their mean rank; nulls get null."""
     w = Window.partitionBy(*by)
@@ -63,4 +68,4 @@ def spearman(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame
     """(by..., rho, n): rank correlation with average ties over rows that have both values."""
     both = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
     ranked = both.withColumn("_x", average_rank(x, by)).withColumn("_y", average_rank(y, by))
-    return ranked.groupBy(*by).agg(F.corr("_x", "_y").alias("rho"), F.count(F.lit(1)).alias("n"))
+    return ranked.groupBy(*by).agg(correlation("_x", "_y").alias("rho"), F.count(F.lit(1)).alias("n"))

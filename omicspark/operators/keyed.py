@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.ranks import average_rank, natural_key
+from ..functions.ranks import average_rank, correlation, natural_key
 
 
 def on_chromosomes(df: DataFrame, names: DataFrame, chrom: str = "chr") -> DataFrame:
@@ -290,7 +290,7 @@ def standardised_differences(df: DataFrame, by: Sequence[str], score: str, covar
 def agreement(df: DataFrame, by: Sequence[str], x: str, y: str, least: float) -> DataFrame:
     """Correlation of two scores and counts of rows where both, one or none reach `least`."""
     a, b = F.col(x) >= least, F.col(y) >= least
-    return df.groupBy(*by).agg(F.corr(x, y).alias("r"), F.count_if(a & b).alias("both"), F.count_if(a & ~b).alias("first_only"), F.count_if(~a & b).alias("second_only"), F.count_if(~a & ~b).alias("neither"))
+    return df.groupBy(*by).agg(correlation(x, y).alias("r"), F.count_if(a & b).alias("both"), F.count_if(a & ~b).alias("first_only"), F.count_if(~a & b).alias("second_only"), F.count_if(~a & ~b).alias("neither"))
 
 
 def dosages(df: DataFrame, key: str, packed: str, n: int) -> DataFrame:

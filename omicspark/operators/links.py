@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ranks import correlation
 from ..functions.vectors import distance
 from .differential import leading_factors, products
 from .loops import cut
@@ -212,5 +213,5 @@ def link_values(pairs: DataFrame, genes: DataFrame, peaks: DataFrame, on: Sequen
 
 
 def link_correlations(values: DataFrame) -> DataFrame:
-    """(cell_group, gene, peak, n, r)."""
-    return values.groupBy("cell_group", "gene", "peak").agg(F.count(F.lit(1)).alias("n"), F.corr("gene_value", "peak_value").alias("r"))
+    """(cell_group, gene, peak, n, r); r is null where a value doesn't vary."""
+    return values.groupBy("cell_group", "gene", "peak").agg(F.count(F.lit(1)).alias("n"), correlation("gene_value", "peak_value").alias("r"))

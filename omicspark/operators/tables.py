@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ranks import average_rank, natural_key, share, top_n
+from ..functions.ranks import average_rank, correlation, natural_key, share, top_n
 
 
 def complete(df: DataFrame, first: Sequence[str], second: Sequence[str], fill: dict) -> DataFrame:
@@ -109,7 +109,7 @@ def r_squared(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFram
     """Squared Pearson correlation; null where either doesn't vary."""
     both = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
     varies = (F.stddev_samp(x) > 0) & (F.stddev_samp(y) > 0)
-    return both.groupBy(*by).agg(F.when(varies, F.corr(x, y) * F.corr(x, y)).alias("r2"), F.count(F.lit(1)).alias("n"))
+    return both.groupBy(*by).agg(F.when(varies, correlation(x, y) * correlation(x, y)).alias("r2"), F.count(F.lit(1)).alias("n"))
 
 
 def merge_keyed(parts: Sequence[DataFrame], key: str) -> DataFrame:
