@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import differential as df_
+from ..operators import quasi as qs
 from .base import query, r6
 
 _JOINED = "lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey"
@@ -122,3 +123,40 @@ def differential_by_type(t):
 @query("differential_type_support", f"WITH d AS (SELECT donor, count(*) AS n, count(DISTINCT type) AS k FROM {_SAMPLES} WHERE type IN ('A', 'R') GROUP BY 1) SELECT CAST(sum(n) AS BIGINT) AS n_samples, count(*) AS n_donors, count(*) FILTER (k = 2) AS n_paired FROM d")
 def differential_type_support(t):
     return df_.type_support(samples(t), ["A", "R"])
+
+
+def _quasi(t):
+    own, names = df_.design_columns(samples(t), ["grp"])
+    return qs.quasi_fits(values(t), own, names, {"odd": [0, 1]})
+
+
+@query("differential_quasi")
+def differential_quasi(t):
+    """Dispersions shrunken to a trend, quasi F tests of odd against even donors."""
+    return qs.quasi_table(_quasi(t), ["odd"])
+
+
+def _by_kind(t, rows, factors, contrast, block=None):
+    own, names = df_.design_columns(samples(t), factors)
+    return qs.fit_by_kind(rows, own, names, {"c": contrast}, block, 10_000, 20)
+
+
+@query("differential_kind_quasi")
+def differential_kind_quasi(t):
+    return _by_kind(t, feature_counts(t).withColumnRenamed("count", "value"), ["grp", "type"], [0, 1, 0, 0])
+
+
+@query("differential_kind_weighted")
+def differential_kind_weighted(t):
+    """Counts with an intercept alone."""
+    return _by_kind(t, feature_counts(t).withColumnRenamed("count", "value"), [], [1])
+
+
+@query("differential_kind_blocked")
+def differential_kind_blocked(t):
+    return _by_kind(t, feature_counts(t).withColumnRenamed("count", "value"), ["type"], [0, 1, -1], "donor")
+
+
+@query("differential_kind_linear", f"SELECT feature, 'c' AS contrast, round(avg(value) FILTER (grp = 'odd') - avg(value) FILTER (grp = 'even'), 6) AS estimate, CAST(count(*) - 2 AS INTEGER) AS df, 'linear' AS method FROM {_EXPRESSED} JOIN {_SAMPLES} USING (sample) GROUP BY 1")
+def differential_kind_linear(t):
+    return _by_kind(t, values(t), ["grp"], [0, 1]).select("feature", "contrast", F.round("estimate", 6).alias("estimate"), "df", "method")
