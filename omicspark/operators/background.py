@@ -128,16 +128,43 @@ def reference_features(counts: DataFrame, cells: DataFrame, most: int = 50, seed
     return rows.join(F.broadcast(n)).select("feature", F.log1p(F.col("s") / F.col("n")).alias("abundance"), (F.col("k") / F.col("n")).alias("detection"))
 
 
-def matched_controls(reference: DataFrame, sets: DataFrame, replicates: int = 999, neighbours: int = 50, seed: int = 1) -> DataFrame:
-    """(label, marker, replicate, feature): for each marker and replicate one of its nearest features by scaled abundance and
-    detection, drawn by hash; markers of any set are no controls. Markers are a panel, so they are few next to features."""
-    scale = reference.agg(F.stddev_samp("abundance").alias("sa"), F.stddev_samp("detection").alias("sd"))
-    markers = sets.select("feature").distinct()
-    pool = reference.join(markers, "feature", "left_anti").select(F.col("feature").alias("control"), F.col("abundance").alias("a"), F.col("detection").alias("b"))
-    own = reference.join(markers, "feature").join(F.broadcast(scale))
+def nearest_features(reference: DataFrame, markers: DataFrame, k: int, levels: int = 16) -> DataFrame:
+    """(feature, control, place): the k features that are nearest to each marker by scaled abundance and detection, ties by name,
+    places from 0; markers are no controls, and features without a number take no part. Exact, by grids that halve their width.
+
+    A marker uses the finest grid on which its square and the eight around it hold k features: the k nearest are within 2.83 widths
+    then, so in the squares up to three away, and only those features are compared. Of features that lie at one point k are enough.
+    """
+    known = reference.filter("abundance IS NOT NULL AND detection IS NOT NULL")
+    one = lambda x: F.coalesce(F.nullif(x, F.lit(0.0)), F.lit(1.0))
+    scale = known.agg(one(F.stddev_samp("abundance")).alias("sa"), one(F.stddev_samp("detection")).alias("sd"), *[f(c).alias(n + c[0]) for n, f in (("lo_", F.min), ("hi_", F.max)) for c in ("abundance", "detection")])
+    extent = F.greatest((F.col("hi_a") - F.col("lo_a")) / F.col("sa"), (F.col("hi_d") - F.col("lo_d")) / F.col("sd"), F.lit(1e-9))
+    rows = known.join(F.broadcast(scale)).withColumns({"u": (F.col("abundance") - F.col("lo_a")) / F.col("sa"), "v": (F.col("detection") - F.col("lo_d")) / F.col("sd"), "extent": extent})
+    rows = rows.select("feature", "abundance", "detection", "sa", "sd", F.explode(F.transform(F.sequence(F.lit(0), F.lit(levels - 1)), lambda i: F.struct(i.alias("level"), F.floor(F.col("u") * F.pow(F.lit(2.0), i) / F.col("extent")).alias("x"), F.floor(F.col("v") * F.pow(F.lit(2.0), i) / F.col("extent")).alias("y")))).alias("g"))
+    rows = rows.select("feature", "abundance", "detection", "sa", "sd", "g.*")
+    names = markers.select("feature").distinct()
+    same = Window.partitionBy("level", "abundance", "detection").orderBy("feature")
+    pool = rows.join(names, "feature", "left_anti").withColumn("_same", F.row_number().over(same)).filter(F.col("_same") <= k)
+    pool = pool.select(F.col("feature").alias("control"), F.col("abundance").alias("a"), F.col("detection").alias("b"), "level", "x", "y")
+    own = rows.join(names, "feature", "left_semi")
+
+    def around(df: DataFrame, reach: int) -> DataFrame:
+        steps = F.sequence(F.lit(-reach), F.lit(reach))
+        return df.withColumn("_dx", F.explode(steps)).withColumn("_dy", F.explode(steps)).withColumns({"x": F.col("x") + F.col("_dx"), "y": F.col("y") + F.col("_dy")}).drop("_dx", "_dy")
+
+    held = pool.groupBy("level", "x", "y").agg(F.count(F.lit(1)).alias("n"))
+    finest = around(own.select("feature", "level", "x", "y"), 1).join(held, ["level", "x", "y"]).groupBy("feature", "level").agg(F.sum("n").alias("n"))
+    finest = finest.filter((F.col("n") >= k) | (F.col("level") == 0)).groupBy("feature").agg(F.max("level").alias("level"))
     away = F.pow((F.col("abundance") - F.col("a")) / F.col("sa"), 2) + F.pow((F.col("detection") - F.col("b")) / F.col("sd"), 2)
     w = Window.partitionBy("feature").orderBy(F.round("away", 12), "control")
-    near = pool.join(F.broadcast(own)).withColumn("away", away).withColumn("place", F.row_number().over(w) - 1).filter(F.col("place") < neighbours)
+    near = around(own.join(finest, ["feature", "level"]), 3).join(pool, ["level", "x", "y"]).withColumn("away", away)
+    return near.withColumn("place", F.row_number().over(w) - 1).filter(F.col("place") < k).select("feature", "control", "place")
+
+
+def matched_controls(reference: DataFrame, sets: DataFrame, replicates: int = 999, neighbours: int = 50, seed: int = 1) -> DataFrame:
+    """(label, marker, replicate, feature): for each marker and replicate one of its nearest features by scaled abundance and
+    detection, drawn by hash; markers of any set are no controls."""
+    near = nearest_features(reference, sets, neighbours)
     found = near.groupBy("feature").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "control"))), lambda x: x["control"]).alias("controls"))
     draws = sets.select("label", "feature").distinct().join(found, "feature").withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
     at = F.pmod(F.xxhash64("label", "feature", "replicate", F.lit(seed)), F.size("controls")).cast("int")

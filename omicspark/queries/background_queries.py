@@ -91,6 +91,15 @@ def background_reference_features(t):
     return bg.reference_features(counts(t), cells(t), 1_000_000).withColumns(r6("abundance", "detection"))  # all cells, so that SQL gives the same
 
 
+@query("background_control_neighbours", f"""WITH n AS (SELECT count(*) AS n FROM supplier), d AS (SELECT cell, sum(count) AS d FROM {COUNTS} GROUP BY 1),
+r AS (SELECT feature, round(ln(1 + sum(count * 1e4 / d) / (SELECT n FROM n)), 3) AS a, round(count(*) / (SELECT n FROM n), 6) AS b FROM {COUNTS} JOIN d USING (cell) GROUP BY 1), s AS (SELECT stddev_samp(a) AS sa, stddev_samp(b) AS sb FROM r), m AS (SELECT p_partkey AS feature FROM part WHERE p_size <= 3)
+SELECT feature, control, CAST(place AS INTEGER) AS place FROM (SELECT x.feature, y.feature AS control, row_number() OVER (PARTITION BY x.feature ORDER BY round(pow((x.a - y.a) / sa, 2) + pow((x.b - y.b) / sb, 2), 12), y.feature) - 1 AS place FROM r x JOIN m ON m.feature = x.feature CROSS JOIN s JOIN r y ON y.feature NOT IN (SELECT feature FROM m)) WHERE place < 20""")
+def background_control_neighbours(t):
+    """The features from which controls are drawn; abundances of all cells, rounded, so that SQL meets the same ties."""
+    reference = bg.reference_features(counts(t), cells(t), 1_000_000).withColumns({"abundance": F.round("abundance", 3), "detection": F.round("detection", 6)})
+    return bg.nearest_features(reference, sets(t), 20)
+
+
 @query("background_matched_controls")
 def background_matched_controls(t):
     return bg.matched_controls(bg.reference_features(counts(t), cells(t)), sets(t), 99, 20)

@@ -57,6 +57,29 @@ def test_matched_controls_are_near(spark):
         assert len({r.feature for r in got if r.marker == m}) > 5
 
 
+@pytest.mark.parametrize("kind", ["spread", "tied", "few", "flat"])
+def test_nearest_features_are_exact(spark, kind):
+    rng = np.random.default_rng(6)
+    n, k = (12, 20) if kind == "few" else (400, 20)
+    x = np.c_[rng.exponential(1, n) ** 3, rng.uniform(0, 1, n)]
+    if kind == "tied":
+        x[:250] = 0.0
+        x[250:] = np.round(x[250:], 1)
+    if kind == "flat":
+        x[:, 1] = 0.5
+    rows = [(i, *map(float, r)) for i, r in enumerate(x)] + [(n, None, 0.5), (n + 1, 0.5, None)]
+    markers = [0, 5, n - 1, n]
+    got = {}
+    for r in bg.nearest_features(spark.createDataFrame(rows, "feature int, abundance double, detection double"), spark.createDataFrame([(m,) for m in markers * 2], "feature int"), k).collect():
+        got.setdefault(r.feature, {})[r.place] = r.control
+    scaled = x / np.where(x.std(0, ddof=1) > 0, x.std(0, ddof=1), 1)
+    pool = [i for i in range(n) if i not in markers]
+    assert set(got) == set(markers[:3])
+    for m in markers[:3]:
+        want = sorted(pool, key=lambda i: (round(float(((scaled[i] - scaled[m]) ** 2).sum()), 12), i))[:k]
+        assert [got[m][i] for i in range(len(want))] == want and len(got[m]) == len(want)
+
+
 def test_shift_offsets_are_allowed_and_even(spark):
     blocks, bad = [(1, "c", 500, 510), (2, "c", 5, 9), (3, "d", 50, 60)], [("c", 560, 600), ("c", 400, 420), ("d", 0, 1000)]
     df = lambda rows, s: spark.createDataFrame(rows, s)
