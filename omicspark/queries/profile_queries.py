@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..operators import doublets as db
 from ..operators import heritability as hr
 from ..operators import matrix as mx
 from ..operators import profiles as pf
@@ -77,6 +78,14 @@ def profile_doublets(t):
     return pf.doublet_scores(t("embeddings").select(F.col("vec_id").cast("bigint").alias("id"), F.col("embedding").cast("array<double>").alias("vector")), 10)
 
 
+@query("profile_classified_doublets")
+def profile_classified_doublets(t):
+    """Depth: the summed size of a vector's entries."""
+    v = t("embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vector"))
+    cells = v.withColumn("depth", F.aggregate("vector", F.lit(0.0), lambda a, x: a + F.abs(x)))
+    return db.called_doublets(db.classified_doublets(cells, 10, 8, trees=10), 0.1)
+
+
 @query("profile_lifted", f"""WITH b AS (SELECT chr, "start" AS s, "start" + 70 AS e, concat('x', chr) AS to_chr, "start" * 2 + 5 AS to_start FROM {GENES}) SELECT to_chr AS chr, greatest("start", s) + to_start - s AS "start", least("end", e) + to_start - s AS "end", peak FROM {PEAKS} p JOIN b ON b.chr = p.chr AND "start" < e AND s < "end" """)
 def profile_lifted(t):
     blocks = genes(t).select("chr", "start", (F.col("start") + 70).alias("end"), F.concat(F.lit("x"), "chr").alias("to_chr"), (F.col("start") * 2 + 5).alias("to_start"))
