@@ -3,8 +3,8 @@
 A text is cut where no piece of the vocabulary reaches across (before a space mark that follows another character, and around
 line ends). The different segments of a chunk of an Arrow batch are encoded side by side: each row is a segment, and each
 round takes from each row's agenda of adjacent symbol pairs the one of best score, the leftmost of equals. Long segments
-and those with characters outside the vocabulary use a heap. The sentencepiece library encodes a changing quarter of the same
-segments of every chunk, and a difference stops the job.
+and those with characters outside the vocabulary use a heap. The sentencepiece library then encodes every whole text of the
+chunk, and a difference stops the job.
 """
 
 from __future__ import annotations
@@ -29,8 +29,6 @@ SHORT = 48
 #: Characters and texts encoded together at most; a single longer text is a chunk of its own.
 CHUNK = 1_000_000
 NONE = np.int32(1 << 30)
-#: Of the short segments of a chunk, one in so many is held against the library, others in other chunks; the rest always.
-CHECKED = np.uint64(4)
 
 
 def _gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -166,13 +164,13 @@ class PieceCodec:
     def split(self, text: str) -> list[str]:
         return self.segments.findall(MARK + text.replace(" ", MARK)) if text else []
 
-    def verify(self, segments: list[str], ids: list[list[int]]) -> None:
-        # the library puts a mark before each, as it does before a text: a line end shields the segment's start
-        lead = self.library.encode("\n")
-        theirs = self.library.encode(["\n" + s.replace(MARK, " ") for s in segments], num_threads=1)
-        for s, own, lib in zip(segments, ids, theirs, strict=True):
-            if lib[: len(lead)] != lead or lib[len(lead) :] != own:
-                raise ValueError(f"the library encodes {s[:80]!r} otherwise")
+    def verify(self, texts: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        """Every text whole against the library; ends: where each text ends among the ids."""
+        lo = 0
+        for text, theirs, hi in zip(texts, self.library.encode(texts, num_threads=1), ends.tolist(), strict=True):
+            if not np.array_equal(ids[lo:hi], theirs):
+                raise ValueError(f"the library encodes {text[:80]!r} otherwise")
+            lo = hi
 
     def encode_chunk(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and where each text ends among them."""
@@ -221,11 +219,11 @@ class PieceCodec:
             ids.append(np.array(made, np.int32))
             total += len(made)
         flat = np.concatenate(ids)
-        if self.check:
-            some = np.concatenate([plain[mixed[plain] % CHECKED == np.uint64(len(points)) % CHECKED], np.flatnonzero(odd)])
-            self.verify([line[starts[i] : starts[i] + lengths[i]] for i in some.tolist()], [flat[begin[i] : begin[i] + sizes[i]].tolist() for i in some.tolist()])
         done = np.concatenate([[0], np.cumsum(sizes)])
-        return flat[_gather(begin, sizes)].astype(np.int64), done[np.searchsorted(starts, ends)]
+        found, stop = flat[_gather(begin, sizes)].astype(np.int64), done[np.searchsorted(starts, ends)]
+        if self.check:
+            self.verify(texts, found, stop)
+        return found, stop
 
     def encode(self, text: str) -> list[int]:
         return [i for s in self.split(text) for i in self.merge(s)]

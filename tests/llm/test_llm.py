@@ -291,6 +291,23 @@ def test_pieces_of_random_text(pieces):
         assert raw.decode() == pieces.library.decode(ids.tolist()) == pieces.decode(ids.tolist())
 
 
+def test_pieces_are_all_held_against_the_library(monkeypatch):
+    codec = sentencepieces.PieceCodec(sentencepieces.default_model())
+    words = ["river", "house", "stone", "walking", "yellow", "seven", "paper", "morning", "q" * 50, "\U0001f642", "\n"]
+    right = codec.merge_rows
+    for k, word in enumerate(words):
+        texts = ["", " ".join(words[:k]), f"{' '.join(words[:k])} {word} {' '.join(words[k:])}", ""]
+        assert [x[0].tolist() for x in codec.outcomes(texts)] == [codec.library.encode(x) for x in texts]
+        # one segment whose merges end one short: whichever it is, the job stops
+        own = codec.symbol[np.frombuffer(f"▁{word}".encode("utf-32-le"), np.uint32)]
+        wrong = lambda rows, own=own: np.where((rows == own).all(axis=1)[:, None], rows, right(rows)) if rows.shape[1] == len(own) else right(rows)
+        with monkeypatch.context() as m:
+            m.setattr(codec, "merge_rows", wrong)
+            if word.isascii() and 1 < len(word) < sentencepieces.SHORT:
+                with pytest.raises(ValueError, match="library"):
+                    list(codec.outcomes(texts))
+
+
 @pytest.fixture(scope="module")
 def codec():
     return byte_bpe.ByteCodec(*byte_bpe.default_ranks())
