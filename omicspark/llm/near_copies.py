@@ -26,6 +26,8 @@ SHINGLE = 5
 FINGERPRINTS, WIDTH = 6, 6
 #: Buckets up to this size pass on all their pairs.
 DIRECT = 2
+#: Links up to this number end in one task.
+SMALL = 1 << 18
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _HALF = np.uint64(32)
 _rng = np.random.default_rng(42)
@@ -184,7 +186,7 @@ def linked(own: DataFrame, texts: DataFrame) -> DataFrame:
     sets = cut(texts.select("h", "l", "text").join(chosen, ["h", "l"]).select("node", "text").mapInArrow(_sets, "node bigint, own binary").dropDuplicates(["node"]))
     side = lambda x: sets.select(F.col("node").alias(x), F.col("own").alias(f"of_{x}"))
     links = cut(pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "of_u", "of_v").mapInArrow(_verify, "u bigint, v bigint"))
-    roots = components(links)
+    roots = components(links, small=SMALL)
     large = met.filter("key is not null")
     members = large.select("key", F.col("v").alias("node")).unionByName(large.select("key", F.col("u").alias("node")).distinct())
     members = cut(members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")))
@@ -196,7 +198,7 @@ def linked(own: DataFrame, texts: DataFrame) -> DataFrame:
     alike = whole.groupBy("key").agg(F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("a"), F.sum(F.xxhash64("node", F.lit(1)).cast("decimal(38,0)")).alias("b")).groupBy("a", "b").agg(F.min("key").alias("key")).select("key")
     again = whole.join(alike, "key", "left_semi").join(sets, "node").select("key", "node", "root", "own")
     more = again.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_across, "u bigint, v bigint")
-    return components(links.unionByName(more))
+    return components(links.unionByName(more), small=SMALL)
 
 
 def sketched(texts: DataFrame) -> DataFrame:

@@ -122,6 +122,22 @@ def test_components(spark):
     assert got == {x: r for x, r in root.items() if any(x in p and p[0] != p[1] for p in pairs)}
 
 
+def test_small_graphs_end_without_rounds(spark, monkeypatch):
+    rng = random.Random(18)
+    pairs = [(rng.randrange(-300, 300), rng.randrange(-300, 300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1500)] + [(7, 7)]
+    df = spark.createDataFrame([*pairs, *pairs[:9]], "u long, v long").repartition(5)
+    rounds = {(r.node, r.root) for r in components.components(df).collect()}
+    assert {(r.node, r.root) for r in components.components(df, small=1000).collect()} == rounds
+    assert {(r.node, r.root) for r in components.components(df, small=100).collect()} == rounds  # more edges than that
+    assert components.components(df.limit(0), small=1000).collect() == []
+    words = [f"w{i}" for i in range(900)]
+    texts = [(i, " ".join(words[10 * i : 10 * i + 200])) for i in range(60)]  # each is like the next, far ones share nothing
+    cuts, cut = [], components.cut
+    monkeypatch.setattr(components, "cut", lambda df: cuts.append(1) or cut(df))
+    assert [r.doc_id for r in near_copies.keep_one(spark.createDataFrame(texts, "doc_id long, text string")).collect()] == [0]
+    assert len(cuts) <= 4
+
+
 def test_keep_one(docs, none):
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
