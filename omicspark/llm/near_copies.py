@@ -1,11 +1,14 @@
-"""Near copies by word shingles: ball hashing over min-wise fingerprints, and exact verification.
-
-A text is its set of five-word shingles. Its sketch is 36 min-hashes, each equal in two texts with the probability of their
-Jaccard similarity, in six fingerprints of six. Each fingerprint emits six keys, with one of its min-hashes left out, so texts
-meet in a key if at most one of the six differs (radius 1): at similarity s in 1 - (1 - s^6 - 6 (1 - s) s^5)^6 of pairs, 0.998
-at 0.8 and 0.9999 at 0.85. Pairs that meet are linked if the Jaccard similarity of their sets (64-bit hashes of shingles) is
-0.8 or more. Buckets of two pass on their pair. Larger ones first pass on a star; only those that its links leave apart are
-searched again, whole, by rarest shingles (prefix filter), which finds every pair of the bucket between parts not yet linked.
+"""Near copies by word shingles: ball hashing over SimHash fingerprints, and exact verification.
+
+A text is its set of five-word shingles. Its fingerprint is a SimHash of 192 bits, each the majority of one bit of the shingles'
+hashes, in twelve blocks of 16. Each block emits itself and all its variants of one bit, half of the radius of 2, so blocks up
+to 2 bits apart meet in the middle. The blocks of so many texts would fill all 65,536 values, so each goes with a min-hash of
+its own, and meets the blocks of texts with that min-hash. At similarity s a bit differs with probability arccos(2s / (1 + s)) / pi
+(0.15 at 0.8) and a min-hash is equal with s: a pair at 0.8 meets with probability 0.999. Pairs that meet are verified on
+all 192 bits, of which 54 may differ (29 do on average at 0.8), and linked if the Jaccard similarity of their sets (64-bit
+hashes of shingles) is 0.8 or more. Small buckets pass on their pairs. Larger ones first pass on a star; only those that its
+links leave apart are searched again, whole, by rarest shingles (prefix filter), which finds every pair of the bucket between
+parts not yet linked.
 """
 
 from __future__ import annotations
@@ -22,18 +25,26 @@ from .common import cut, quoted, spare
 from .components import components
 
 SHINGLE = 5
-#: Fingerprints of a text, and min-hashes of each.
-FINGERPRINTS, WIDTH = 6, 6
+#: 64-bit words of a fingerprint; its blocks, each with a min-hash, and their bits.
+WORDS = 3
+BLOCKS, WIDTH = 12, 14
+#: Bits that differ in fingerprints of a linked pair, at most.
+FAR = 54
 #: Buckets up to this size pass on all their pairs.
-DIRECT = 2
+DIRECT = 8
+#: Pairs of a large bucket that are verified one by one, for each member.
+PAIRS = 8
 #: Links up to this number end in one task.
 SMALL = 1 << 18
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _HALF = np.uint64(32)
 _rng = np.random.default_rng(42)
-_FLIP = _rng.integers(0, 1 << 64, FINGERPRINTS * WIDTH, np.uint64)
-_TIMES = _rng.integers(0, 1 << 64, FINGERPRINTS * WIDTH, np.uint64) | np.uint64(1)
-_PLACE = _rng.integers(0, 1 << 64, (FINGERPRINTS, WIDTH), np.uint64)
+_FLIP = _rng.integers(0, 1 << 64, BLOCKS, np.uint64)
+_TIMES = _rng.integers(0, 1 << 64, BLOCKS, np.uint64) | np.uint64(1)
+_PLACE = _rng.integers(0, 1 << 64, BLOCKS, np.uint64)
+_SPIN = _rng.integers(0, 1 << 64, WORDS, np.uint64) | np.uint64(1)
+#: What a block is changed by: nothing, or one bit.
+_BALL = np.array([0, *(1 << i for i in range(WIDTH))], np.uint64)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -57,15 +68,30 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(_mix(runs))
 
 
-def ball(own: np.ndarray) -> np.ndarray:
-    """Keys of one set of shingles: of each fingerprint, all its min-hashes but one."""
-    if not len(own):
-        return np.empty(0, np.int64)
-    least = np.full(len(_TIMES), np.iinfo(np.uint64).max, np.uint64)
+def fingerprint(own: np.ndarray) -> np.ndarray:
+    """SimHash of one set of shingles: a bit is set if over half of the hashes have it."""
+    counts = np.zeros(64 * WORDS, np.int64)
+    for lo in range(0, len(own), 255):
+        h = _mix(_mix((own[lo : lo + 255, None] ^ _FLIP[:WORDS]) * _SPIN))
+        counts += np.unpackbits(h.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint8)
+    return np.packbits(2 * counts > len(own), bitorder="little").view(np.uint64)
+
+
+def least(own: np.ndarray) -> np.ndarray:
+    """The min-hashes that go with the blocks of one set of shingles."""
+    out = np.full(BLOCKS, np.iinfo(np.uint64).max, np.uint64)
     for lo in range(0, len(own), 1 << 12):
-        np.minimum(least, _mix((own[lo : lo + (1 << 12), None] ^ _FLIP) * _TIMES).min(axis=0), out=least)
-    each = _mix(least.reshape(FINGERPRINTS, WIDTH) ^ _PLACE)
-    return _mix((each.sum(axis=1, keepdims=True) - each) ^ _PLACE).ravel().view(np.int64)
+        np.minimum(out, _mix((own[lo : lo + (1 << 12), None] ^ _FLIP) * _TIMES).min(axis=0), out=out)
+    return out
+
+
+def balls(prints: np.ndarray, leasts: np.ndarray) -> np.ndarray:
+    """Keys of texts, a row each: every block and its variants of one bit, with its min-hash. The last five bits of a key are
+    the bit that was changed, counted from 1, or 0; the others name the bucket."""
+    bits = np.unpackbits(np.ascontiguousarray(prints).view(np.uint8), axis=1, count=BLOCKS * WIDTH, bitorder="little")
+    blocks = bits.reshape(-1, BLOCKS, WIDTH).astype(np.uint64) @ _BALL[1:]
+    keys = _mix((_mix(leasts ^ _PLACE)[..., None] ^ blocks[..., None] ^ _BALL) * _ODD)
+    return ((keys & ~np.uint64(31)) | np.arange(len(_BALL), dtype=np.uint64)).reshape(len(prints), -1).view(np.int64)
 
 
 def alike(a: int, b: int, both: int) -> bool:
@@ -74,29 +100,43 @@ def alike(a: int, b: int, both: int) -> bool:
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The columns of the batch but the last, the text, and node, a hash of its set, and keys."""
+    """The columns of the batch but the last, the text, and node, a hash of its set, fingerprint and min-hashes."""
     for batch in batches:
         sets = [shingles(x.as_py()) for x in batch.column(batch.num_columns - 1)]
         node = pa.array([xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63) for s in sets], pa.int64())
-        keys = pa.array([ball(s) for s in sets], pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], node, keys], names=[*batch.schema.names[:-1], "node", "keys"])
+        own = [pa.array([f(s).view(np.int64) if len(s) else np.empty(0, np.int64) for s in sets], pa.list_(pa.int64())) for f in (fingerprint, least)]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], node, *own], names=[*batch.schema.names[:-1], "node", "fp", "least"])
+
+
+def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 1024):
+            node, *own = batch.slice(lo, 1024).columns
+            keys = balls(*(c.flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(node), -1) for c in own))
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(node.to_numpy(zero_copy_only=False), keys.shape[1]))], names=["key", "node"])
 
 
 def _pairs_of(keys: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
-    """(u, v, key) of whole buckets, sorted by key and node: all pairs of a small one, the star of a large one with its key."""
+    """(u, v, key) of whole buckets, sorted by key and node: all pairs of a small one, the star of a large one with its bucket.
+
+    Members in which the same bit was changed have equal blocks, and meet in the bucket of the block itself.
+    """
+    keys, bit = keys >> 5, keys & 31
     new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]]))
     sizes = np.diff(new)
-    large = np.repeat(sizes > DIRECT, sizes)
+    alone = (bit[new[:-1]] > 0) & (bit[new[:-1]] == bit[new[1:] - 1])
+    large = np.repeat((sizes > DIRECT) & ~alone, sizes)
+    small = np.repeat((sizes <= DIRECT) & ~alone, sizes)
     head = np.repeat(nodes[new[:-1]], sizes)
     star = large & (nodes != head)
     u, v, key = [head[star]], [nodes[star]], [keys[star]]
-    k, x = keys[~large], nodes[~large]
-    for d in range(1, int(sizes[sizes <= DIRECT].max(initial=1))):
-        same = np.flatnonzero(k[d:] == k[:-d])
+    k, x, c = keys[small], nodes[small], bit[small]
+    for d in range(1, int(sizes[(sizes <= DIRECT) & ~alone].max(initial=1))):
+        same = np.flatnonzero((k[d:] == k[:-d]) & ((c[d:] != c[:-d]) | (c[d:] == 0)))
         u.append(x[same])
         v.append(x[same + d])
     u, v, n = np.concatenate(u), np.concatenate(v), len(key[0])
-    return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(np.concatenate([key[0], np.zeros(len(u) - n, np.int64)]), mask=np.arange(len(u)) >= n)], names=["u", "v", "key"])
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v)), pa.array(np.concatenate([key[0], np.zeros(len(u) - n, np.int64)]), mask=np.arange(len(u)) >= n)], names=["u", "v", "key"])
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,8 +145,8 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k, x = (batch.column(j).to_numpy(zero_copy_only=False) for j in (0, 1))
         if not len(k):
             continue
-        whole = int(np.searchsorted(k, k[-1])) if k[0] != k[-1] else 0  # the last bucket may go on in the next batch
-        if held_k and held_k[0][0] != k[0] and not whole:
+        whole = int(np.searchsorted(k, k[-1] & -32))  # the last bucket may go on in the next batch
+        if held_k and held_k[0][0] >> 5 != k[0] >> 5 and not whole:
             yield _pairs_of(np.concatenate(held_k), np.concatenate(held_x))
             held_k, held_x = [], []
         elif whole:
@@ -159,6 +199,49 @@ def across(roots: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
     return out
 
 
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The columns of whole buckets, sorted by the first."""
+    held: list[pa.RecordBatch] = []
+    arrays = lambda rows: [c.to_numpy(zero_copy_only=False) for c in pa.Table.from_batches(rows).columns]
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = batch.column(0).to_numpy(zero_copy_only=False)
+        new = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
+        for lo, hi in zip(new[:-1], new[1:], strict=True):
+            if held and held[0].column(0)[0].as_py() != key[lo]:
+                yield arrays(held)
+                held = []
+            held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield arrays(held)
+
+
+def between(root: np.ndarray, prints: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """Pairs of members of different roots whose fingerprints differ in at most FAR bits; None if there are more than that many."""
+    _, part, size = np.unique(root, return_inverse=True, return_counts=True)
+    rest = np.flatnonzero(part != size.argmax())  # each pair has one of these
+    minor, u, v, n = part != size.argmax(), [], [], 0
+    for lo in range(0, len(rest), 64):
+        i = rest[lo : lo + 64]
+        far = sum(np.bitwise_count(prints[i, None, w] ^ prints[None, :, w]).astype(np.int16) for w in range(WORDS))
+        a, b = np.nonzero((far <= FAR) & (part[i, None] != part[None, :]) & (~minor[None, :] | (i[:, None] < np.arange(len(part)))))
+        u.append(i[a])
+        v.append(b)
+        n += len(a)
+        if n > most:
+            return None
+    return np.concatenate(u or [rest]), np.concatenate(v or [rest])
+
+
+def _between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(u, v, key): of (key, node, root, f0, f1, ...) the pairs to verify; of buckets with too many of them the nodes, roots and key."""
+    for key, node, root, *words in _buckets(batches):
+        met = between(root, np.stack(words, 1).view(np.uint64), PAIRS * len(node))
+        u, v = (node, root) if met is None else (np.minimum(node[met[0]], node[met[1]]), np.maximum(node[met[0]], node[met[1]]))
+        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(np.resize(key, len(u)), mask=np.full(len(u), met is not None))], names=["u", "v", "key"])
+
+
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def out(rows: list[tuple]) -> pa.RecordBatch:
         found = across([r[2] for r in rows], [np.frombuffer(r[3], np.uint64) for r in rows])
@@ -176,19 +259,28 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def linked(own: DataFrame, texts: DataFrame) -> DataFrame:
-    """(node, root) of the texts that are linked to another. own: h, l, node, keys (see sketched); texts: h, l, text of the same
-    rows, of which only those move whose node meets another."""
-    keyed = own.select("node", "keys").dropDuplicates(["node"]).select(F.explode("keys").alias("key"), "node")
-    met = cut(keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_pairs, "u bigint, v bigint, key bigint"))
-    pairs = met.select("u", "v").distinct()
-    nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-    chosen = own.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("h", "l")).alias("c")).select("node", F.col("c.h").alias("h"), F.col("c.l").alias("l"))
-    sets = cut(texts.select("h", "l", "text").join(chosen, ["h", "l"]).select("node", "text").mapInArrow(_sets, "node bigint, own binary").dropDuplicates(["node"]))
-    side = lambda x: sets.select(F.col("node").alias(x), F.col("own").alias(f"of_{x}"))
-    links = cut(pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "of_u", "of_v").mapInArrow(_verify, "u bigint, v bigint"))
+    """(node, root) of the texts that are linked to another. own: h, l, node, fp, least (see sketched); texts: h, l, text of the
+    same rows, of which only those move whose node meets another."""
+    distinct = own.filter(F.size("fp") > 0).select("node", "fp", "least").dropDuplicates(["node"])
+    keyed = distinct.mapInArrow(_emit, "key bigint, node bigint").repartition(F.shiftright("key", 5))
+    met = cut(keyed.sortWithinPartitions("key", "node").mapInArrow(_pairs, "u bigint, v bigint, key bigint"))
+    words = lambda c: [F.col(c)[i] for i in range(WORDS)]
+    side = lambda df, x, c: df.select(F.col("node").alias(x), F.col(c).alias(f"of_{x}"))
+    apart_by = sum((F.bit_count(a.bitwiseXOR(b)) for a, b in zip(words("of_u"), words("of_v"), strict=True)), F.lit(0))
+    pairs = cut(met.select("u", "v").distinct().join(side(distinct, "u", "fp"), "u").join(side(distinct, "v", "fp"), "v").filter(apart_by <= FAR).select("u", "v"))
+
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        chosen = own.join(nodes.distinct(), "node", "left_semi").groupBy("node").agg(F.min(F.struct("h", "l")).alias("c")).select("node", F.col("c.h").alias("h"), F.col("c.l").alias("l"))
+        return cut(texts.select("h", "l", "text").join(chosen, ["h", "l"]).select("node", "text").mapInArrow(_sets, "node bigint, own binary").dropDuplicates(["node"]))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        sets = sets_of(pairs.select(F.explode(F.array("u", "v")).alias("node")))
+        return cut(pairs.join(side(sets, "u", "own"), "u").join(side(sets, "v", "own"), "v").select("u", "v", "of_u", "of_v").mapInArrow(_verify, "u bigint, v bigint"))
+
+    links = verified(pairs)
     roots = components(links, small=SMALL)
     large = met.filter("key is not null")
-    members = large.select("key", F.col("v").alias("node")).unionByName(large.select("key", F.col("u").alias("node")).distinct())
+    members = large.select("key", F.col("v").alias("node")).unionByName(large.select("key", F.col("u").alias("node"))).distinct()
     members = cut(members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")))
     apart = members.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("key")
     if apart.isEmpty():
@@ -196,15 +288,21 @@ def linked(own: DataFrame, texts: DataFrame) -> DataFrame:
     # keys that meet in the same nodes are searched once
     whole = members.join(apart, "key", "left_semi")
     alike = whole.groupBy("key").agg(F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("a"), F.sum(F.xxhash64("node", F.lit(1)).cast("decimal(38,0)")).alias("b")).groupBy("a", "b").agg(F.min("key").alias("key")).select("key")
-    again = whole.join(alike, "key", "left_semi").join(sets, "node").select("key", "node", "root", "own")
-    more = again.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_across, "u bigint, v bigint")
-    return components(links.unionByName(more), small=SMALL)
+    again = whole.join(alike, "key", "left_semi").join(distinct.select("node", *(x.alias(f"f{i}") for i, x in enumerate(words("fp")))), "node")
+    again = again.select("key", "node", "root", *(f"f{i}" for i in range(WORDS))).repartition("key").sortWithinPartitions("key", "node")
+    left = cut(again.mapInArrow(_between, "u bigint, v bigint, key bigint"))
+    links = links.unionByName(verified(left.filter("key is null").select("u", "v").distinct().join(pairs, ["u", "v"], "left_anti")))
+    many = left.filter("key is not null").select("key", F.col("u").alias("node"), F.col("v").alias("root"))
+    if not many.isEmpty():
+        many = many.join(sets_of(many.select("node")), "node").select("key", "node", "root", "own")
+        links = links.unionByName(many.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_across, "u bigint, v bigint"))
+    return components(links, small=SMALL)
 
 
 def sketched(texts: DataFrame) -> DataFrame:
-    """(h, l, id, node, keys), a checkpoint without the texts. texts: h, l, id, text; h and l name a row's content."""
+    """(h, l, id, node, fp, least), a checkpoint without the texts. texts: h, l, id, text; h and l name a row's content."""
     rows = texts.select("h", "l", "id", "text")
-    return cut(rows.mapInArrow(_sketch, f"h bigint, l bigint, id {rows.schema['id'].dataType.simpleString()}, node bigint, keys array<bigint>"))
+    return cut(rows.mapInArrow(_sketch, f"h bigint, l bigint, id {rows.schema['id'].dataType.simpleString()}, node bigint, fp array<bigint>, least array<bigint>"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

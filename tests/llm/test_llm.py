@@ -175,6 +175,41 @@ def test_keep_one_drops_planted_near_copies(spark):
     assert sum(i % 1000 == 1 for i in got) <= 0.02 * copies
 
 
+def test_near_copies_meet_in_balls_of_simhash_blocks():
+    rng, met, bits = np.random.default_rng(21), 0, []
+    for k in range(1000):
+        every = rng.integers(0, 1 << 64, 100, np.uint64)
+        a, b = np.sort(every[:90]), np.sort(every[10:])  # Jaccard 0.8
+        prints, leasts = (np.stack([f(a), f(b)]) for f in (near_copies.fingerprint, near_copies.least))
+        if k < 20:  # the majority of each bit of the hashes, in words of 64
+            h = near_copies._mix(near_copies._mix((a[:, None] ^ near_copies._FLIP[: near_copies.WORDS]) * near_copies._SPIN))
+            want = [sum(1 << i for i in range(64) if sum(int(x) >> i & 1 for x in w) > 45) for w in h.T]
+            assert prints[0].tolist() == want
+        far = [int(x).bit_count() for x in prints[0] ^ prints[1]]
+        bits.append(sum(far))
+        whole = sum((int(x) ^ int(y)) << 64 * i for i, (x, y) in enumerate(prints.T))
+        blocks = [(whole >> near_copies.WIDTH * i & (1 << near_copies.WIDTH) - 1).bit_count() for i in range(near_copies.BLOCKS)]
+        near = any(d <= 2 and x == y for d, x, y in zip(blocks, *leasts, strict=True))
+        keys = near_copies.balls(prints, leasts) >> 5
+        assert keys.shape[1] == near_copies.BLOCKS * (near_copies.WIDTH + 1)
+        assert bool(set(keys[0].tolist()) & set(keys[1].tolist())) == near
+        met += near
+    assert met >= 997 and max(bits) <= near_copies.FAR
+    assert abs(np.mean(bits) / (64 * near_copies.WORDS) - math.acos(1.6 / 1.8) / math.pi) < 0.01
+
+
+def test_members_of_large_buckets_by_fingerprint():
+    rng = np.random.default_rng(22)
+    prints = rng.integers(0, 1 << 64, (150, near_copies.WORDS), np.uint64)
+    for i in range(1, 150, 2):  # each second one is near the one before
+        prints[i] = prints[i - 1] ^ np.uint64(1 << i % 64)
+    root = rng.integers(0, 5, 150)
+    got = near_copies.between(root, prints, 1000)
+    want = {(i, j) for i in range(150) for j in range(i) if root[i] != root[j] and sum(int(x).bit_count() for x in prints[i] ^ prints[j]) <= near_copies.FAR}
+    assert sorted((max(p), min(p)) for p in zip(*(x.tolist() for x in got), strict=True)) == sorted(want) and len(want) > 40
+    assert near_copies.between(root, prints, 40) is None
+
+
 def test_near_copies_in_large_buckets(spark):
     rng = random.Random(13)
     base = [f"b{i}" for i in range(300)]
