@@ -6,9 +6,11 @@ to 2 bits apart meet in the middle. The blocks of so many texts would fill all 6
 its own, and meets the blocks of texts with that min-hash. At similarity s a bit differs with probability arccos(2s / (1 + s)) / pi
 (0.15 at 0.8) and a min-hash is equal with s: a pair at 0.8 meets with probability 0.999. Pairs that meet are verified on
 all 192 bits, of which 54 may differ (29 do on average at 0.8), and linked if the Jaccard similarity of their sets (64-bit
-hashes of shingles) is 0.8 or more. Small buckets pass on their pairs. Larger ones first pass on a star; only those that its
-links leave apart are searched again, whole, by rarest shingles (prefix filter), which finds every pair of the bucket between
-parts not yet linked.
+hashes of shingles) is 0.8 or more. Small buckets pass on their pairs. A text is in up to fifteen buckets of a min-hash, so the
+larger ones of a min-hash are searched together, once, by all bits: up to a few pairs a member are verified one by one; if more
+are near, the sets move to one task, where rarest shingles (prefix filter) find every pair between parts not yet linked. If more
+texts than TOGETHER are in the larger buckets of a min-hash, each of its buckets passes on a star, and only those that its links
+leave apart are searched, each by itself.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ FAR = 54
 DIRECT = 8
 #: Pairs of a large bucket that are verified one by one, for each member.
 PAIRS = 8
+#: Members of the large buckets of one min-hash that are searched in one task, at most.
+TOGETHER = 1 << 12
 #: Links up to this number end in one task.
 SMALL = 1 << 18
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -87,15 +91,17 @@ def least(own: np.ndarray) -> np.ndarray:
 
 def balls(prints: np.ndarray, leasts: np.ndarray) -> np.ndarray:
     """Keys of texts, a row each: every block and its variants of one bit, with its min-hash. The last five bits of a key are
-    the bit that was changed, counted from 1, or 0; the others name the bucket."""
+    the bit that was changed, counted from 1, or 0; the others name the bucket, by a hash of the min-hash, then the block. Keys
+    are 0 or more."""
     bits = np.unpackbits(np.ascontiguousarray(prints).view(np.uint8), axis=1, count=BLOCKS * WIDTH, bitorder="little")
     blocks = bits.reshape(-1, BLOCKS, WIDTH).astype(np.uint64) @ _BALL[1:]
-    keys = _mix((_mix(leasts ^ _PLACE)[..., None] ^ blocks[..., None] ^ _BALL) * _ODD)
-    return ((keys & ~np.uint64(31)) | np.arange(len(_BALL), dtype=np.uint64)).reshape(len(prints), -1).view(np.int64)
+    of_least = _mix(_mix(leasts ^ _PLACE) * _ODD) >> np.uint64(WIDTH + 6) << np.uint64(WIDTH + 5)
+    keys = of_least[..., None] | (blocks[..., None] ^ _BALL) << np.uint64(5)
+    return (keys | np.arange(len(_BALL), dtype=np.uint64)).reshape(len(prints), -1).view(np.int64)
 
 
 def alike(a: int, b: int, both: int) -> bool:
-    """Jaccard similarity of 0.8 or more, for sets of a and b members that share so many."""
+    """Jaccard similarity of 0.8 or more, for sets of a and b members that share so many; or arrays of them."""
     return 5 * both >= 4 * (a + b - both)
 
 
@@ -117,7 +123,8 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _pairs_of(keys: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
-    """(u, v, key) of whole buckets, sorted by key and node: all pairs of a small one, the star of a large one with its bucket.
+    """(u, v, key) of whole buckets, sorted by key and node: all pairs of a small one, the star of a large one, its middle
+    included, with its bucket.
 
     Members in which the same bit was changed have equal blocks, and meet in the bucket of the block itself.
     """
@@ -128,8 +135,7 @@ def _pairs_of(keys: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
     large = np.repeat((sizes > DIRECT) & ~alone, sizes)
     small = np.repeat((sizes <= DIRECT) & ~alone, sizes)
     head = np.repeat(nodes[new[:-1]], sizes)
-    star = large & (nodes != head)
-    u, v, key = [head[star]], [nodes[star]], [keys[star]]
+    u, v, key = [head[large]], [nodes[large]], [keys[large]]
     k, x, c = keys[small], nodes[small], bit[small]
     for d in range(1, int(sizes[(sizes <= DIRECT) & ~alone].max(initial=1))):
         same = np.flatnonzero((k[d:] == k[:-d]) & ((c[d:] != c[:-d]) | (c[d:] == 0)))
@@ -178,24 +184,32 @@ def across(roots: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
     _, token, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     owner, begin = np.repeat(np.arange(len(sets)), n), np.concatenate([[0], np.cumsum(n)])
     order = np.lexsort((token, count[token], owner))  # of each member the rarest first; alike sets share one of the first
-    first, root, number, out = n - (4 * n + 4) // 5 + 1, np.unique(roots, return_inverse=True)[1], len(count), []
-    seen: dict[int, list[int]] = {}
-    mark = np.zeros(number, bool)
+    first, root, out = n - (4 * n + 4) // 5 + 1, np.unique(roots, return_inverse=True)[1], []
+    lead = order[np.arange(len(order)) - begin[owner] < first[owner]]
+    lead = lead[count[token[lead]] > 1]
+    lead = lead[np.lexsort((owner[lead], token[lead]))]  # the members of each token, in order
+    start = np.flatnonzero(np.concatenate([[True], np.diff(token[lead]) > 0]))[: len(lead)]
+    start = np.repeat(start, np.diff([*start, len(lead)]))
+    who, mine = owner[lead], np.argsort(owner[lead], kind="stable")
+    at = np.searchsorted(who[mine], np.arange(len(sets) + 1))
+    mark, hit = np.zeros(len(count), np.int32), np.zeros(len(sets), bool)
     for i in range(len(sets)):
-        lead = token[order[begin[i] : begin[i] + first[i]]].tolist()
-        met = {j for t in lead for j in seen.get(t, ())}
-        if met:
-            met = np.fromiter(met, np.int64, len(met))
-            met = met[(root[met] != root[i]) & (5 * np.minimum(n[met], n[i]) >= 4 * np.maximum(n[met], n[i]))]
-            mark[token[begin[i] : begin[i + 1]]] = True
-            for j in np.sort(met).tolist():
-                if root[j] != root[i] and alike(n[i], n[j], int(mark[token[begin[j] : begin[j + 1]]].sum())):
-                    out.append((i, j))
-                    root[root == root[j]] = root[i]
-            mark[token[begin[i] : begin[i + 1]]] = False
-        for t in lead:
-            if count[t] > 1:
-                seen.setdefault(t, []).append(i)
+        hit[:i] = False
+        for k in mine[at[i] : at[i + 1]].tolist():
+            hit[who[start[k] : k]] = True
+        met = np.flatnonzero(hit[:i] & (root[:i] != root[i]) & (5 * np.minimum(n[:i], n[i]) >= 4 * np.maximum(n[:i], n[i])))
+        if not len(met):
+            continue
+        mark[token[begin[i] : begin[i + 1]]] = 1
+        if 2 * len(met) > i:
+            both = np.add.reduceat(mark[token[: begin[i]]], begin[:i])[met]
+        else:
+            both = np.add.reduceat(mark[np.concatenate([token[begin[j] : begin[j + 1]] for j in met.tolist()])], np.cumsum(n[met]) - n[met])
+        mark[token[begin[i] : begin[i + 1]]] = 0
+        for j in met[alike(n[i], n[met], both)].tolist():
+            if root[j] != root[i]:
+                out.append((i, j))
+                root[root == root[j]] = root[i]
     return out
 
 
@@ -267,7 +281,15 @@ def linked(own: DataFrame, texts: DataFrame) -> DataFrame:
     words = lambda c: [F.col(c)[i] for i in range(WORDS)]
     side = lambda df, x, c: df.select(F.col("node").alias(x), F.col(c).alias(f"of_{x}"))
     apart_by = sum((F.bit_count(a.bitwiseXOR(b)) for a, b in zip(words("of_u"), words("of_v"), strict=True)), F.lit(0))
-    pairs = cut(met.select("u", "v").distinct().join(side(distinct, "u", "fp"), "u").join(side(distinct, "v", "fp"), "v").filter(apart_by <= FAR).select("u", "v"))
+    large = met.filter("key is not null").withColumn("least", -1 - F.shiftright("key", WIDTH))
+    members = cut(large.select(F.col("least").alias("key"), F.col("v").alias("node")).distinct())
+    full = cut(members.groupBy("key").count().filter(F.col("count") > TOGETHER).select("key"))
+    meet = met.filter("key is null").select("u", "v")
+    if not full.isEmpty():  # of these each bucket is searched by itself
+        single = large.join(full.withColumnRenamed("key", "least"), "least", "left_semi")
+        members = members.join(full, "key", "left_anti").unionByName(single.select("key", F.col("v").alias("node")))
+        meet = meet.unionByName(single.filter("u <> v").select("u", "v"))
+    pairs = cut(meet.distinct().join(side(distinct, "u", "fp"), "u").join(side(distinct, "v", "fp"), "v").filter(apart_by <= FAR).select("u", "v"))
 
     def sets_of(nodes: DataFrame) -> DataFrame:
         chosen = own.join(nodes.distinct(), "node", "left_semi").groupBy("node").agg(F.min(F.struct("h", "l")).alias("c")).select("node", F.col("c.h").alias("h"), F.col("c.l").alias("l"))
@@ -279,8 +301,6 @@ def linked(own: DataFrame, texts: DataFrame) -> DataFrame:
 
     links = verified(pairs)
     roots = components(links, small=SMALL)
-    large = met.filter("key is not null")
-    members = large.select("key", F.col("v").alias("node")).unionByName(large.select("key", F.col("u").alias("node"))).distinct()
     members = cut(members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")))
     apart = members.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("key")
     if apart.isEmpty():

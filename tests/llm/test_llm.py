@@ -236,6 +236,36 @@ def test_near_copies_in_large_buckets(spark):
     assert near_copies.keep_one(df).count() == len(set(root))
 
 
+def test_large_buckets_of_a_min_hash_move_a_text_once(spark, monkeypatch):
+    rng = random.Random(23)
+    base, texts = [f"b{i}" for i in range(200)], []
+    for k in range(240):  # most are like a few others, and further from the rest than 0.8
+        near = texts[rng.randrange(k)].split() if k % 2 else list(base)
+        for at in rng.sample(range(200), 2 if k % 2 else 8):
+            near[at] = f"x{k}y{at}"
+        texts.append(" ".join(near))
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if root[i] != root[j] and five_word_jaccard(texts[i], texts[j]) >= 0.8:
+                root = [root[i] if r == root[j] else r for r in root]
+    assert 40 < len(set(root)) < 200
+    rows, cut = [], near_copies.cut
+    monkeypatch.setattr(near_copies, "cut", lambda df: rows.append((df.columns, (own := cut(df)).count())) or own)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert near_copies.keep_one(df).count() == len(set(root))
+    most = max(x for columns, x in rows if columns == ["key", "node", "root"])
+    assert 240 < most <= near_copies.BLOCKS * 240  # not once for each of a text's 180 buckets
+    monkeypatch.setattr(near_copies, "TOGETHER", 100)  # more than that: bucket by bucket
+    rows.clear()
+    assert near_copies.keep_one(df).count() == len(set(root))
+    assert max(x for columns, x in rows if columns == ["key", "node", "root"]) > near_copies.BLOCKS * 240
+    got, sets = list(range(len(texts))), [near_copies.shingles(x) for x in texts]
+    for i, j in near_copies.across(got, sets):
+        got = [got[i] if r == got[j] else r for r in got]
+    assert len(set(zip(root, got, strict=True))) == len(set(root)) == len(set(got))
+
+
 def test_quality(docs, rows, none):
     q = {r.doc_id: r.quality for r in quality.score_quality(docs).collect()}
     for doc_id, text, *_ in rows:
