@@ -6,11 +6,11 @@ to 2 bits apart meet in the middle. The blocks of so many texts would fill all 6
 its own, and meets the blocks of texts with that min-hash. At similarity s a bit differs with probability arccos(2s / (1 + s)) / pi
 (0.15 at 0.8) and a min-hash is equal with s: a pair at 0.8 meets with probability 0.999. Pairs that meet are verified on
 all 192 bits, of which 54 may differ (29 do on average at 0.8), and linked if the Jaccard similarity of their sets (64-bit
-hashes of shingles) is 0.8 or more. Small buckets pass on their pairs. A text is in up to fifteen buckets of a min-hash, so the
-larger ones of a min-hash are searched together, once, by all bits: up to a few pairs a member are verified one by one; if more
-are near, the sets move to one task, where rarest shingles (prefix filter) find every pair between parts not yet linked. If more
-texts than TOGETHER are in the larger buckets of a min-hash, each of its buckets passes on a star, and only those that its links
-leave apart are searched, each by itself.
+hashes of shingles) is 0.8 or more. A text is in up to fifteen buckets of a min-hash, so those that share a bucket of it with
+another are searched together, once, by all bits: up to a few pairs a member are verified one by one; of a group with more near
+pairs than that first the shortest tree that connects them. If its links leave parts of the group apart, the pairs between parts
+are verified, or, if they are many, the sets move to one task, where rarest shingles (prefix filter) find every pair between
+parts. If more texts than TOGETHER share buckets of a min-hash, each of its buckets is a group by itself.
 """
 
 from __future__ import annotations
@@ -32,11 +32,9 @@ WORDS = 3
 BLOCKS, WIDTH = 12, 14
 #: Bits that differ in fingerprints of a linked pair, at most.
 FAR = 54
-#: Buckets up to this size pass on all their pairs.
-DIRECT = 8
-#: Pairs of a large bucket that are verified one by one, for each member.
+#: Pairs of a group that are verified one by one, for each member.
 PAIRS = 8
-#: Members of the large buckets of one min-hash that are searched in one task, at most.
+#: Members of the buckets of one min-hash that are searched in one task, at most.
 TOGETHER = 1 << 12
 #: Links up to this number end in one task.
 SMALL = 1 << 18
@@ -122,9 +120,8 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(node.to_numpy(zero_copy_only=False), keys.shape[1]))], names=["key", "node"])
 
 
-def _pairs_of(keys: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
-    """(u, v, key) of whole buckets, sorted by key and node: all pairs of a small one, the star of a large one, its middle
-    included, with its bucket.
+def _shared_of(keys: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
+    """(key, node) of whole buckets, sorted by key: the bucket and its members, if it has several.
 
     Members in which the same bit was changed have equal blocks, and meet in the bucket of the block itself.
     """
@@ -132,20 +129,11 @@ def _pairs_of(keys: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
     new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]]))
     sizes = np.diff(new)
     alone = (bit[new[:-1]] > 0) & (bit[new[:-1]] == bit[new[1:] - 1])
-    large = np.repeat((sizes > DIRECT) & ~alone, sizes)
-    small = np.repeat((sizes <= DIRECT) & ~alone, sizes)
-    head = np.repeat(nodes[new[:-1]], sizes)
-    u, v, key = [head[large]], [nodes[large]], [keys[large]]
-    k, x, c = keys[small], nodes[small], bit[small]
-    for d in range(1, int(sizes[(sizes <= DIRECT) & ~alone].max(initial=1))):
-        same = np.flatnonzero((k[d:] == k[:-d]) & ((c[d:] != c[:-d]) | (c[d:] == 0)))
-        u.append(x[same])
-        v.append(x[same + d])
-    u, v, n = np.concatenate(u), np.concatenate(v), len(key[0])
-    return pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v)), pa.array(np.concatenate([key[0], np.zeros(len(u) - n, np.int64)]), mask=np.arange(len(u)) >= n)], names=["u", "v", "key"])
-
-
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    shared = np.repeat((sizes > 1) & ~alone, sizes)
+    return pa.RecordBatch.from_arrays([pa.array(keys[shared]), pa.array(nodes[shared])], names=["key", "node"])
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held_k, held_x = [], []
     for batch in batches:
         k, x = (batch.column(j).to_numpy(zero_copy_only=False) for j in (0, 1))
@@ -153,15 +141,15 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         whole = int(np.searchsorted(k, k[-1] & -32))  # the last bucket may go on in the next batch
         if held_k and held_k[0][0] >> 5 != k[0] >> 5 and not whole:
-            yield _pairs_of(np.concatenate(held_k), np.concatenate(held_x))
+            yield _shared_of(np.concatenate(held_k), np.concatenate(held_x))
             held_k, held_x = [], []
         elif whole:
-            yield _pairs_of(np.concatenate([*held_k, k[:whole]]), np.concatenate([*held_x, x[:whole]]))
+            yield _shared_of(np.concatenate([*held_k, k[:whole]]), np.concatenate([*held_x, x[:whole]]))
             held_k, held_x = [], []
         held_k.append(k[whole:])
         held_x.append(x[whole:])
     if held_k:
-        yield _pairs_of(np.concatenate(held_k), np.concatenate(held_x))
+        yield _shared_of(np.concatenate(held_k), np.concatenate(held_x))
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,8 +236,48 @@ def between(root: np.ndarray, prints: np.ndarray, most: int) -> tuple[np.ndarray
     return np.concatenate(u or [rest]), np.concatenate(v or [rest])
 
 
+def tree(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that connect all members whom pairs of at most FAR bits connect, by as few bits as can be; of more than TOGETHER
+    members a star."""
+    n = len(prints)
+    if n > TOGETHER:
+        return np.zeros(n - 1, np.int64), np.arange(1, n)
+    words, done, i = np.ascontiguousarray(prints.T), np.zeros(n, bool), 0
+    least, to, out = np.full(n, 255, np.uint8), np.zeros(n, np.int64), []
+    for _ in range(n - 1):
+        done[i], least[i] = True, 255
+        far = np.bitwise_count(words ^ words[:, i, None]).sum(axis=0, dtype=np.uint8)
+        closer = (far < least) & ~done
+        least[closer], to[closer] = far[closer], i
+        i = int(least.argmin())
+        if least[i] <= FAR:
+            out.append((to[i], i))
+    u, v = np.array(out, np.int64).reshape(-1, 2).T
+    return u, v
+
+
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(u, v, key): of (key, node, root, f0, f1, ...) the near pairs of each group; of groups with too many of them a tree and the key."""
+    held: list[list[np.ndarray]] = []
+
+    def out() -> pa.RecordBatch:
+        u, v, key, some = (np.concatenate(x) for x in zip(*held, strict=True))
+        held.clear()
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v)), pa.array(key, mask=~some)], names=["u", "v", "key"])
+
+    for key, node, root, *words in _buckets(batches):
+        prints = np.stack(words, 1).view(np.uint64)
+        met = between(root, prints, PAIRS * len(node))
+        u, v = tree(prints) if met is None else met
+        held.append([node[u], node[v], key[u], np.full(len(u), met is None)])
+        if len(held) >= 1 << 10:
+            yield out()
+    if held:
+        yield out()
+
+
 def _between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(u, v, key): of (key, node, root, f0, f1, ...) the pairs to verify; of buckets with too many of them the nodes, roots and key."""
+    """(u, v, key): of (key, node, root, f0, f1, ...) the pairs to verify; of groups with too many of them the nodes, roots and key."""
     for key, node, root, *words in _buckets(batches):
         met = between(root, np.stack(words, 1).view(np.uint64), PAIRS * len(node))
         u, v = (node, root) if met is None else (np.minimum(node[met[0]], node[met[1]]), np.maximum(node[met[0]], node[met[1]]))
@@ -277,19 +305,22 @@ def linked(own: DataFrame, texts: DataFrame) -> DataFrame:
     same rows, of which only those move whose node meets another."""
     distinct = own.filter(F.size("fp") > 0).select("node", "fp", "least").dropDuplicates(["node"])
     keyed = distinct.mapInArrow(_emit, "key bigint, node bigint").repartition(F.shiftright("key", 5))
-    met = cut(keyed.sortWithinPartitions("key", "node").mapInArrow(_pairs, "u bigint, v bigint, key bigint"))
-    words = lambda c: [F.col(c)[i] for i in range(WORDS)]
+    met = cut(keyed.sortWithinPartitions("key", "node").mapInArrow(_shared, "key bigint, node bigint"))
+    prints = distinct.select("node", *(F.col("fp")[i].alias(f"f{i}") for i in range(WORDS)))
     side = lambda df, x, c: df.select(F.col("node").alias(x), F.col(c).alias(f"of_{x}"))
-    apart_by = sum((F.bit_count(a.bitwiseXOR(b)) for a, b in zip(words("of_u"), words("of_v"), strict=True)), F.lit(0))
-    large = met.filter("key is not null").withColumn("least", -1 - F.shiftright("key", WIDTH))
-    members = cut(large.select(F.col("least").alias("key"), F.col("v").alias("node")).distinct())
+    least = -1 - F.shiftright("key", WIDTH)
+    members = cut(met.select(least.alias("key"), "node").distinct())
     full = cut(members.groupBy("key").count().filter(F.col("count") > TOGETHER).select("key"))
-    meet = met.filter("key is null").select("u", "v")
     if not full.isEmpty():  # of these each bucket is searched by itself
-        single = large.join(full.withColumnRenamed("key", "least"), "least", "left_semi")
-        members = members.join(full, "key", "left_anti").unionByName(single.select("key", F.col("v").alias("node")))
-        meet = meet.unionByName(single.filter("u <> v").select("u", "v"))
-    pairs = cut(meet.distinct().join(side(distinct, "u", "fp"), "u").join(side(distinct, "v", "fp"), "v").filter(apart_by <= FAR).select("u", "v"))
+        single = met.withColumn("least", least).join(full.withColumnRenamed("key", "least"), "least", "left_semi")
+        members = members.join(full, "key", "left_anti").unionByName(single.select("key", "node"))
+    # keys that meet in the same nodes are searched once
+    alike = members.groupBy("key").agg(F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("a"), F.sum(F.xxhash64("node", F.lit(1)).cast("decimal(38,0)")).alias("b")).groupBy("a", "b").agg(F.min("key").alias("key")).select("key")
+    members = cut(members.join(alike, "key", "left_semi").select("key", "node", F.col("node").alias("root")))
+
+    def groups(members: DataFrame) -> DataFrame:
+        rows = members.join(prints, "node").select("key", "node", "root", *prints.columns[1:])
+        return rows.repartition("key").sortWithinPartitions("key", "node")
 
     def sets_of(nodes: DataFrame) -> DataFrame:
         chosen = own.join(nodes.distinct(), "node", "left_semi").groupBy("node").agg(F.min(F.struct("h", "l")).alias("c")).select("node", F.col("c.h").alias("h"), F.col("c.l").alias("l"))
@@ -299,18 +330,16 @@ def linked(own: DataFrame, texts: DataFrame) -> DataFrame:
         sets = sets_of(pairs.select(F.explode(F.array("u", "v")).alias("node")))
         return cut(pairs.join(side(sets, "u", "own"), "u").join(side(sets, "v", "own"), "v").select("u", "v", "of_u", "of_v").mapInArrow(_verify, "u bigint, v bigint"))
 
+    near = cut(groups(members).mapInArrow(_near, "u bigint, v bigint, key bigint"))
+    pairs = cut(near.select("u", "v").distinct())
     links = verified(pairs)
     roots = components(links, small=SMALL)
-    members = cut(members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")))
-    apart = members.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("key")
+    some = members.join(near.filter("key is not null").select("key").distinct(), "key", "left_semi").drop("root")
+    some = cut(some.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")))
+    apart = some.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("key")
     if apart.isEmpty():
         return roots
-    # keys that meet in the same nodes are searched once
-    whole = members.join(apart, "key", "left_semi")
-    alike = whole.groupBy("key").agg(F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("a"), F.sum(F.xxhash64("node", F.lit(1)).cast("decimal(38,0)")).alias("b")).groupBy("a", "b").agg(F.min("key").alias("key")).select("key")
-    again = whole.join(alike, "key", "left_semi").join(distinct.select("node", *(x.alias(f"f{i}") for i, x in enumerate(words("fp")))), "node")
-    again = again.select("key", "node", "root", *(f"f{i}" for i in range(WORDS))).repartition("key").sortWithinPartitions("key", "node")
-    left = cut(again.mapInArrow(_between, "u bigint, v bigint, key bigint"))
+    left = cut(groups(some.join(apart, "key", "left_semi")).mapInArrow(_between, "u bigint, v bigint, key bigint"))
     links = links.unionByName(verified(left.filter("key is null").select("u", "v").distinct().join(pairs, ["u", "v"], "left_anti")))
     many = left.filter("key is not null").select("key", F.col("u").alias("node"), F.col("v").alias("root"))
     if not many.isEmpty():

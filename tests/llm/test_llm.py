@@ -210,6 +210,40 @@ def test_members_of_large_buckets_by_fingerprint():
     assert near_copies.between(root, prints, 40) is None
 
 
+def test_near_copies_pass_on_no_pairs_of_buckets(spark, monkeypatch):
+    rng = random.Random(31)
+    base, texts = [f"b{i}" for i in range(200)], []
+    for k in range(300):  # one group, in which nearly all pairs are near by fingerprint
+        near = list(base)
+        for at in rng.sample(range(200), 2):
+            near[at] = f"x{k}y{at}"
+        texts.append(" ".join(near))
+    rows, cut = [], near_copies.cut
+    monkeypatch.setattr(near_copies, "cut", lambda df: rows.append((df.columns, (own := cut(df)).count())) or own)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.doc_id for r in near_copies.keep_one(df).collect()] == [0]
+    pairs = [x for columns, x in rows if columns == ["u", "v"]]
+    assert len(pairs) > 1 and max(pairs) < 5 * 300  # trees of the groups, not the pairs of every bucket
+
+
+def test_trees_of_near_members():
+    rng = np.random.default_rng(33)
+    prints = rng.integers(0, 1 << 64, (90, near_copies.WORDS), np.uint64)
+    for i in range(1, 90):  # chains of thirty: each is near the one before
+        if i % 30:
+            prints[i] = prints[i - 1] ^ np.uint64(0xFFFFF << i % 40)
+    near = [(i, j) for i in range(90) for j in range(i) if sum(int(x).bit_count() for x in prints[i] ^ prints[j]) <= near_copies.FAR]
+    u, v = near_copies.tree(prints)
+
+    def parts(pairs):
+        root = list(range(90))
+        for i, j in pairs:
+            root = [root[i] if r == root[j] else r for r in root]
+        return {frozenset(i for i in range(90) if root[i] == r) for r in root}
+
+    assert parts(near) == parts(zip(u.tolist(), v.tolist(), strict=True)) and len(u) == 90 - len(parts(near))
+
+
 def test_near_copies_in_large_buckets(spark):
     rng = random.Random(13)
     base = [f"b{i}" for i in range(300)]
