@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .intervals import overlap_join
+from .intervals import overlap_join, places
 from .tables import complete, percentile_rank
 
 #: Columns of a variant, whatever its source.
@@ -121,9 +121,12 @@ def zero_filled(df: DataFrame, row: str, column: str, value: Column, used: Colum
 
 
 def overlap_measures(df: DataFrame, peaks: DataFrame, width: int, by: Column, least: int) -> DataFrame:
-    """(trait, enough, measure, value): overlaps, and peaks with one, by a column of the hits (the peaks' columns are r_...), against a
-    threshold of overlaps."""
-    hits = overlap_join(df, peaks, width).groupBy(by.alias("trait")).agg(F.count(F.lit(1)).alias("n_overlaps"), F.countDistinct("r_peak").alias("n_peaks"))
+    """(trait, enough, measure, value): overlaps, and peaks with one, by a column of the peaks (named r_... in it), against a threshold
+    of overlaps. Different places of both sides meet once, with their numbers of rows."""
+    named = peaks.select(*[F.col(c).alias(f"r_{c}") for c in peaks.columns])
+    traits = named.select("r_chr", "r_start", "r_end", "r_peak", by.alias("trait"))
+    met = overlap_join(places(df, n=F.count(F.lit(1))), places(peaks), width).groupBy("r_chr", "r_start", "r_end").agg(F.sum("n").alias("n"))
+    hits = traits.join(met, ["r_chr", "r_start", "r_end"]).groupBy("trait").agg(F.sum("n").alias("n_overlaps"), F.countDistinct("r_peak").alias("n_peaks"))
     return hits.withColumn("enough", F.col("n_overlaps") >= least).unpivot(["trait", "enough"], ["n_overlaps", "n_peaks"], "measure", "value")
 
 
