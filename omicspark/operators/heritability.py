@@ -120,8 +120,9 @@ def multinomial_weights(clusters: DataFrame, cluster: str, draws: int, seed: int
 
 def mass_inside(variants: DataFrame, ranges: DataFrame, width: int, mass: str = "pip") -> DataFrame:
     """(annotation, locus, inside, total): mass of each locus inside each annotation's ranges; a variant counts once. ranges: chr,
-    start, end, annotation."""
-    hit = overlap_join(variants, ranges, width).select("locus", "variant", mass, F.col("r_annotation").alias("annotation")).distinct()
+    start, end, annotation. Ranges of an annotation that overlap are merged first, so a variant meets few of them."""
+    merged = merge_intervals(ranges, ("annotation", "chr"), -1, width).drop("n")
+    hit = overlap_join(variants, merged, width).select("locus", "variant", mass, F.col("r_annotation").alias("annotation")).distinct()
     inside = hit.groupBy("annotation", "locus").agg(F.sum(mass).alias("inside"))
     total = variants.groupBy("locus").agg(F.sum(mass).alias("total"))
     return total.join(F.broadcast(ranges.select("annotation").distinct())).join(inside, ["annotation", "locus"], "left").fillna(0.0, ["inside"]).select("annotation", "locus", "inside", "total")

@@ -30,3 +30,11 @@ def test_overlap_measures(spark, pairs):
     found = st.overlap_measures(fragments, peaks, 8, F.col("r_peak") % 2, 700).collect()
     assert sorted((r.trait, r.measure, r.value, r.enough) for r in found) == [(0, "n_overlaps", 600, False), (0, "n_peaks", 15, False), (1, "n_overlaps", 600, False), (1, "n_peaks", 15, False)]
     assert sum(pairs) == 1
+
+
+def test_mass_inside(spark, pairs):
+    variants = spark.createDataFrame([(i, i % 2, "A", i % 10, i % 10 + 1, 0.5) for i in range(20)], "variant int, locus int, chr string, start bigint, end bigint, pip double")
+    ranges = spark.createDataFrame([("A", i % 3, i % 3 + 3, "x") for i in range(30)] + [("A", 8, 20, "y")], "chr string, start bigint, end bigint, annotation string")
+    found = sorted(map(tuple, hr.mass_inside(variants, ranges, 4).collect()))
+    assert found == [("x", 0, 3.0, 5.0), ("x", 1, 2.0, 5.0), ("y", 0, 1.0, 5.0), ("y", 1, 1.0, 5.0)]
+    assert sum(pairs) == 14
