@@ -154,24 +154,53 @@ def most_specific(df: DataFrame, group: str, value: str, key: str, share_of: flo
     return ranked.filter((F.col("_n") <= F.ceil(F.col("_m") * share_of)) & (F.col(value) > 0)).drop("_n", "_m")
 
 
+def drawn_medians(df: DataFrame, by: Sequence[str], cluster: str, value: str, draws: int, seed: int) -> DataFrame:
+    """(by..., draw, m): exact median of each group's values in each draw (rows as often as their cluster is taken; draw 0: each once).
+
+    Equal values are added up first. The values are then put in order by range partitions, each counted behind those before it, so no
+    task holds a group's values; `percentile` would keep every different value of a group and draw in one map.
+    """
+    taken = multinomial_weights(df, cluster, draws, seed)
+    times = [F.coalesce(F.max(F.when(F.col("draw") == i, F.col("times"))), F.lit(0)) for i in range(1, draws + 1)]
+    weights = cut(taken.groupBy(F.col(cluster).alias("_c")).agg(F.array(*times).alias("_times")))
+    rows = df.filter(F.col(value).isNotNull()).select(*by, cluster, F.col(value).alias("_v")).join(weights, F.col(cluster) == F.col("_c"), "left")
+    n = [f"_n{i}" for i in range(draws + 1)]
+    added = [F.count(F.lit(1)).alias(n[0])] + [F.sum(F.coalesce(F.col("_times")[i - 1], F.lit(0))).alias(n[i]) for i in range(1, draws + 1)]
+    per = rows.groupBy(*by, "_v").agg(*added)
+    parts = cut(per.repartitionByRange(*by, "_v").withColumn("_part", F.spark_partition_id()))
+    sums = parts.groupBy(*by, "_part").agg(*[F.sum(x).alias(x) for x in n])  # one row a group and partition
+    group = Window.partitionBy(*by)
+    before = group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    known = sums.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], F.col("_part").alias("_p"), F.array(*[F.coalesce(F.sum(x).over(before), F.lit(0)) for x in n]).alias("_before"), F.array(*[F.sum(x).over(group) for x in n]).alias("_all"))
+    on = [F.col("_part") == F.col("_p"), *[F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)]]
+    inside = Window.partitionBy("_part", *by).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    placed = parts.withColumns({x: F.struct(F.col(x).alias("k"), F.sum(x).over(inside).alias("upto")) for x in n}).join(F.broadcast(known), on)
+    held = []
+    for i, x in enumerate(n):
+        end = F.col("_before")[i] + F.col(x)["upto"]
+        total, start = F.col("_all")[i], end - F.col(x)["k"]
+        has = lambda at: ((at >= start) & (at < end)).cast("int")  # noqa: B023, E731 - used in this round only
+        held.append(F.struct(F.lit(i).alias("draw"), (has(F.floor((total - 1) / 2)) + has(F.ceil((total - 1) / 2))).alias("halves")))
+    middle = placed.select(*by, "_v", F.explode(F.array(*held)).alias("x")).filter("x.halves > 0")
+    return middle.groupBy(*by, F.col("x.draw").alias("draw")).agg((F.sum(F.col("_v") * F.col("x.halves")) / 2).alias("m"))
+
+
 def bootstrap_medians(df: DataFrame, by: Sequence[str], cluster: str, value: str, draws: int = 50, seed: int = 1) -> DataFrame:
     """Median per group and its 95 % range over resamples of whole clusters: as many hash-drawn picks with replacement as there are
     clusters."""
-    weights = multinomial_weights(df, cluster, draws, seed)
-    every = df.select(*by, cluster, value).join(weights, cluster)
-    medians = every.groupBy(*by, "draw").agg(F.expr(f"percentile({value}, 0.5, times)").alias("m"))
-    ranges = medians.groupBy(*by).agg(F.percentile("m", 0.025).alias("low"), F.percentile("m", 0.975).alias("high"))
-    return df.groupBy(*by).agg(F.percentile(value, 0.5).alias("median")).join(ranges, list(by))
+    m, drawn = F.col("m"), F.col("draw") > 0
+    medians = cut(drawn_medians(df, by, cluster, value, draws, seed))
+    ranges = medians.groupBy(*by).agg(F.max(F.when(~drawn, m)).alias("median"), F.percentile(F.when(drawn, m), 0.025).alias("low"), F.percentile(F.when(drawn, m), 0.975).alias("high"), F.count_if(drawn).alias("_k"))
+    return ranges.filter("_k > 0").drop("_k")
 
 
 def bootstrap_ratios(df: DataFrame, reference: str, key: str, cluster: str, value: str, draws: int = 50, seed: int = 1) -> DataFrame:
     """(key, ratio, low, high): each key's median over that of the reference key, with its 95 % range over the same resamples."""
-    base = df.filter(F.col(key) == reference).agg(F.percentile(value, 0.5).alias("_r"))
-    weights = multinomial_weights(df, cluster, draws, seed)
-    per = df.select(key, cluster, value).join(weights, cluster).groupBy(key, "draw").agg(F.expr(f"percentile({value}, 0.5, times)").alias("m"))
-    drawn = per.join(per.filter(F.col(key) == reference).select("draw", F.col("m").alias("r")), "draw").filter("r <> 0").groupBy(key).agg(F.percentile(F.col("m") / F.col("r"), 0.025).alias("low"), F.percentile(F.col("m") / F.col("r"), 0.975).alias("high"))
-    own = df.groupBy(key).agg(F.percentile(value, 0.5).alias("m")).join(F.broadcast(base))
-    return own.select(key, (F.col("m") / F.col("_r")).alias("ratio")).join(drawn, key)
+    medians = cut(drawn_medians(df, [key], cluster, value, draws, seed))
+    base = medians.filter(F.col(key) == reference).select("draw", F.col("m").alias("r"))
+    both = medians.join(F.broadcast(base), "draw").withColumn("q", F.col("m") / F.when(F.col("r") != 0, F.col("r")))
+    drawn = both.filter("draw > 0 AND r <> 0").groupBy(key).agg(F.percentile("q", 0.025).alias("low"), F.percentile("q", 0.975).alias("high"))
+    return both.filter("draw = 0").select(key, F.col("q").alias("ratio")).join(drawn, key)
 
 
 def make_unique(df: DataFrame, name: str, order: str) -> DataFrame:

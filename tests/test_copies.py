@@ -10,6 +10,7 @@ from omicspark.operators import reports as rp
 from omicspark.operators import studies as st
 
 
+@pytest.fixture
 def pairs(monkeypatch):
     """Number of pairs of each overlap join that studies or heritability make."""
     made = []
@@ -53,3 +54,20 @@ def test_cut_sites(spark):
     single = iv.cut_sites_per_region(fragments, regions.filter("peak < 9"), "cell", "peak", 4)
     assert {(r.peak, r.cell): r.n for r in single.collect()} == {k: v for k, v in expected.items() if k[0] < 9}
     assert "Exchange hashpartitioning(r_peak#" not in single._jdf.queryExecution().executedPlan().toString()
+
+
+def test_drawn_medians(spark):
+    rng = np.random.default_rng(1)
+    rows = [("ab"[i % 2], int(c), float(v)) for i, (c, v) in enumerate(zip(rng.integers(0, 12, 400), rng.integers(-9, 30, 400) / 4, strict=True))]
+    df = spark.createDataFrame(rows + [("a", 3, None)], "g string, c int, v double").repartition(5)
+    found = {(r.g, r.draw): r.m for r in rp.drawn_medians(df, ["g"], "c", "v", 4, 1).collect()}
+    times = {(r.c, r.draw): r.times for r in hr.multinomial_weights(df, "c", 4, 1).collect()}
+    for (g, draw), m in found.items():
+        taken = [v for a, c, v in rows if a == g for _ in range(times.get((c, draw), 0) if draw else 1)]
+        assert m == np.median(taken)
+    assert len(found) == 10
+    both = {r.g: r for r in rp.bootstrap_medians(df, ["g"], "c", "v", 4, 1).collect()}
+    ratios = {r.g: r for r in rp.bootstrap_ratios(df, "a", "g", "c", "v", 4, 1).collect()}
+    for g in "ab":
+        assert both[g].median == found[g, 0] and both[g].low == pytest.approx(np.quantile([found[g, d] for d in range(1, 5)], 0.025))
+        assert ratios[g].ratio == found[g, 0] / found["a", 0] and ratios[g].high == pytest.approx(np.quantile([found[g, d] / found["a", d] for d in range(1, 5)], 0.975))
